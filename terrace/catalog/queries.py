@@ -630,6 +630,11 @@ def star_join_effective_date_range(i: Inputs) -> DataFrame:
     return sales.star_join(*_star(i), sales.AS_OF, method="range")
 
 
+@query(sql.sales(sql.star("as_of", "f.*, region, category")))
+def star_join_effective_date_sweep(i: Inputs) -> DataFrame:
+    return sales.star_join(*_star(i), sales.AS_OF, method="sweep")
+
+
 @query(sql.sales(sql.business("naive")))
 def business_sales_naive(i: Inputs) -> DataFrame:
     return sales.business_sales(*_star(i), sales.NAIVE, CENTS)
@@ -645,6 +650,11 @@ def business_sales_effective_date(i: Inputs) -> DataFrame:
     return sales.business_sales(*_star(i), sales.AS_OF, CENTS)
 
 
+@query(sql.sales(sql.business("as_of")))
+def business_sales_effective_date_sweep(i: Inputs) -> DataFrame:
+    return sales.business_sales(*_star(i), sales.AS_OF, CENTS, method="sweep")
+
+
 @query(sql.sales(sql.business("naive") + " ORDER BY total_sales DESC, region, category LIMIT 20"))
 def top_business_sales(i: Inputs) -> DataFrame:
     return sales.top_business_sales(business_sales_naive(i))

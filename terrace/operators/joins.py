@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from terrace.operators.cdc import IS_CURRENT, VALID_FROM, VALID_TO
 from terrace.operators.ordered import fill_forward
+from terrace.session import materialize
 
 INTERVAL = (VALID_FROM, VALID_TO, IS_CURRENT)
+# Versions per key up to which comparing a fact with all of them beats a sweep.
+MAX_VERSIONS = 32
 
 
 def inner_using(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -49,7 +52,7 @@ def effective_date_join(
     keys: Sequence[str] | str,
     at: str,
     *,
-    method: str = "sweep",
+    method: str = "auto",
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Each fact row with the attributes of the dimension version valid at its time ``at``.
@@ -58,16 +61,24 @@ def effective_date_join(
     must not overlap, as those of a type 2 table never do.
 
     ``sweep``  both sides are put in time order per key and the version is carried
-               forward: linear in facts plus versions, also for keys with many of both
+               forward: linear in facts plus versions, also for keys with many of both,
+               at the price of a shuffle of the facts
     ``range``  equi join with the interval as residual condition: compares every fact
-               with every version of its key, good for dimensions with few versions
+               with every version of its key; a small dimension is broadcast and the
+               facts then do not move
+    ``auto``   stores the dimension to learn its true size, then takes ``range`` if no
+               key has more than ``MAX_VERSIONS`` versions, else ``sweep``
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if method == "auto":
+        dim = materialize(dim, "dimension")
+        most = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+        method = "range" if (most or 0) <= MAX_VERSIONS else "sweep"
     if method == "range":
         return _range_join(fact, dim, keys, at)
-    if method != "sweep":
-        raise ValueError(f"method must be 'sweep' or 'range', not '{method}'")
-    return _sweep_join(fact, dim, keys, at, hot_rows)
+    if method == "sweep":
+        return _sweep_join(fact, dim, keys, at, hot_rows)
+    raise ValueError(f"method must be 'auto', 'sweep' or 'range', not '{method}'")
 
 
 def _present(names: Sequence[str]) -> Column:

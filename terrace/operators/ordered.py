@@ -22,13 +22,17 @@ from terrace.session import materialize
 SLICE = "_slice"
 # A key is cut into slices above this many rows.
 DEFAULT_HOT_ROWS = 10_000_000
-# An input whose estimated size is within one scan split fits one task: nothing to cut.
+# Sources no larger than one scan split fit one task: nothing to cut.
 SMALL_INPUT_BYTES = 128 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; unknown sources count as unbounded."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def source_bytes(df: DataFrame) -> int:
+    """Total size of the sources ``df`` reads; an unknown source counts as unbounded.
+
+    Asked of the analysed plan, so it costs neither a job nor an optimizer run.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size()))
 
 
 def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -54,11 +58,11 @@ def split_hot_keys(
     """Separate the rows of hot keys and cut them into slices of about ``hot_rows`` rows.
 
     ``order`` must not tie within a key on its own across different slices; rows equal
-    on ``keys`` and ``order`` always share a slice. With ``hot_rows`` unset, an input
-    that fits one task is not inspected at all.
+    on ``keys`` and ``order`` always share a slice. With ``hot_rows`` unset,
+    small sources are not inspected at all; this decides about speed, never about results.
     """
     if hot_rows is None:
-        if estimated_bytes(df) <= SMALL_INPUT_BYTES:
+        if source_bytes(df) <= SMALL_INPUT_BYTES:
             return Split(df, None)
         hot_rows = DEFAULT_HOT_ROWS
 

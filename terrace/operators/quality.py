@@ -50,11 +50,15 @@ def _resolve(df: DataFrame, rule_set: Iterable[Rule]) -> list[Rule]:
     repeated = {n for n in names if names.count(n) > 1}
     if repeated:
         raise ValueError(f"rule names repeat: {sorted(repeated)}")
-    for r in checked:
-        try:
-            df.select(r.holds.cast("boolean"))
-        except AnalysisException as e:
-            raise ValueError(f"rule {r.name}: cannot evaluate '{r.predicate}': {e}") from e
+    try:
+        df.select(*[r.holds.cast("boolean").alias(r.name) for r in checked])
+    except AnalysisException:
+        for r in checked:
+            try:
+                df.select(r.holds.cast("boolean"))
+            except AnalysisException as e:
+                raise ValueError(f"rule {r.name}: cannot evaluate '{r.predicate}': {e}") from e
+        raise
     return checked
 
 

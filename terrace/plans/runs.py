@@ -7,14 +7,13 @@ the stored silver tables. Calls repeat safely, since all progress is in the chec
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from terrace import fixed_values as fixed
 from terrace.functions.dates import AsOf
-from terrace.operators.append import append_flows
 from terrace.operators.cdc import Cdc
 from terrace.plans import bank, sales
 from terrace.sources import stream_csv, stream_parquet
@@ -28,6 +27,7 @@ class Layers:
 
     spark: SparkSession
     root: str
+    _schemas: dict[str, StructType] = field(default_factory=dict)
 
     def path(self, dataset: str) -> str:
         return f"{self.root}/tables/{dataset}"
@@ -36,19 +36,39 @@ class Layers:
         return f"{self.root}/checkpoints/{dataset}"
 
     def read(self, dataset: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(dataset))
+        reader = self.spark.read
+        if dataset in self._schemas:
+            reader = reader.schema(self._schemas[dataset])
+        return reader.parquet(self.path(dataset))
 
     def stream(self, dataset: str) -> DataFrame:
-        return stream_parquet(self.spark, self.path(dataset), self.read(dataset).schema)
-
-    def append(self, dataset: str, df: DataFrame) -> None:
-        finish(write_stream(df, path=self.path(dataset), checkpoint=self.checkpoint(dataset), name=None))
-
-    def capture(self, dataset: str, df: DataFrame, cdc: Cdc, kind: int) -> None:
-        finish(stream_scd(df, cdc, kind, self.path(dataset), self.checkpoint(dataset)))
-
-    def materialize(self, dataset: str, df: DataFrame) -> None:
+        schema = self._schemas[dataset] if dataset in self._schemas else self.read(dataset).schema
+        return stream_parquet(self.spark, self.path(dataset), schema)
+
+    def append(self, **datasets: DataFrame) -> None:
+        """Bring append-only datasets up to date; the queries run side by side."""
+        self._schemas.update({name: df.schema for name, df in datasets.items()})
+        finish(
+            *[
+                write_stream(df, path=self.path(name), checkpoint=self.checkpoint(name))
+                for name, df in datasets.items()
+            ]
+        )
+
+    def capture(self, **datasets: tuple[DataFrame, Cdc, int]) -> None:
+        """Bring change tables up to date; the queries run side by side."""
+        finish(
+            *[
+                stream_scd(df, cdc, kind, self.path(name), self.checkpoint(name))
+                for name, (df, cdc, kind) in datasets.items()
+            ]
+        )
+
+    def materialize(self, dataset: str, df: DataFrame) -> DataFrame:
+        """Recompute a dataset in full."""
         df.write.mode("overwrite").parquet(self.path(dataset))
+        self._schemas[dataset] = df.schema
+        return self.read(dataset)
 
 
 def run_bank(
@@ -60,47 +80,48 @@ def run_bank(
     as_of: AsOf = None,
     max_files: int | None = None,
     customer_tiebreak: tuple[str, ...] = (),
+    transaction_tiebreak: tuple[str, ...] = (),
     money: str | None = None,
 ) -> Layers:
     """Files to gold for the bank datasets; read them from the returned ``Layers``."""
     t = Layers(spark, root)
     t.append(
-        "landing_customers_incremental",
-        stream_csv(spark, customers_folder, fixed.CUSTOMERS_SCHEMA, max_files=max_files),
-    )
-    t.append(
-        "landing_accounts_incremental",
-        stream_csv(spark, accounts_folder, fixed.ACCOUNTS_SCHEMA, max_files=max_files),
+        landing_customers_incremental=stream_csv(
+            spark, customers_folder, fixed.CUSTOMERS_SCHEMA, max_files=max_files
+        ),
+        landing_accounts_incremental=stream_csv(
+            spark, accounts_folder, fixed.ACCOUNTS_SCHEMA, max_files=max_files
+        ),
     )
-    t.append("bronze_customers_clean", bank.bronze_customers_clean(t.stream("landing_customers_incremental")))
-    t.append("bronze_accounts_clean", bank.bronze_accounts_clean(t.stream("landing_accounts_incremental")))
     t.append(
-        "silver_customers_transformed",
-        bank.silver_customers_transformed(t.stream("bronze_customers_clean"), as_of),
+        bronze_customers_clean=bank.bronze_customers_clean(t.stream("landing_customers_incremental")),
+        bronze_accounts_clean=bank.bronze_accounts_clean(t.stream("landing_accounts_incremental")),
     )
     t.append(
-        "silver_accounts_transactions_transformed",
-        bank.silver_accounts_transactions_transformed(t.stream("bronze_accounts_clean")),
-    )
-    t.capture(
-        "silver_customers_transformed_scd1",
-        t.stream("silver_customers_transformed"),
-        bank.customers_cdc(*customer_tiebreak),
-        TYPE_1,
+        silver_customers_transformed=bank.silver_customers_transformed(t.stream("bronze_customers_clean"), as_of),
+        silver_accounts_transactions_transformed=bank.silver_accounts_transactions_transformed(
+            t.stream("bronze_accounts_clean")
+        ),
     )
     t.capture(
-        "silver_accounts_transactions_transformed_scd2",
-        t.stream("silver_accounts_transactions_transformed"),
-        bank.transactions_cdc(),
-        TYPE_2,
+        silver_customers_transformed_scd1=(
+            t.stream("silver_customers_transformed"),
+            bank.customers_cdc(*customer_tiebreak),
+            TYPE_1,
+        ),
+        silver_accounts_transactions_transformed_scd2=(
+            t.stream("silver_accounts_transactions_transformed"),
+            bank.transactions_cdc(*transaction_tiebreak),
+            TYPE_2,
+        ),
     )
-    t.materialize(
+    joined = t.materialize(
         "gold_cust_acc_trns_mv",
         bank.gold_cust_acc_trns_mv(
             t.read("silver_customers_transformed"), t.read("silver_accounts_transactions_transformed")
         ),
     )
-    t.materialize("gold_cust_acc_trans_agg", bank.gold_cust_acc_trans_agg(t.read("gold_cust_acc_trns_mv"), money))
+    t.materialize("gold_cust_acc_trans_agg", bank.gold_cust_acc_trans_agg(joined, money))
     return t
 
 
@@ -116,21 +137,22 @@ def run_sales(
 ) -> Layers:
     """Source streams to ``business_sales``. ``feeds`` are the regional sales streams."""
     t = Layers(spark, root)
-    t.append("customers_stg", sales.customers_stg(customers))
-    t.append("products_stg", sales.products_stg(products))
-    t.append("sales_stg", sales.sales_stg(append_flows(*feeds)))
-
-    views: dict[str, tuple[Callable[[DataFrame], DataFrame], Cdc]] = {
-        "customers": (sales.customers_enr_view, sales.CUSTOMERS),
-        "products": (sales.products_enr_view, sales.PRODUCTS),
-        "sales": (sales.sales_enr_view, sales.SALES),
-    }
-    for name, (view, cdc) in views.items():
-        t.capture(f"{name}_enr", view(t.stream(f"{name}_stg")), cdc, TYPE_1)
-    t.capture("dim_customers", sales.customers_enr_view(t.stream("customers_stg")), sales.CUSTOMERS, TYPE_2)
-    t.capture("dim_products", sales.products_enr_view(t.stream("products_stg")), sales.PRODUCTS, TYPE_2)
-    t.capture("fact_sales", sales.sales_enr_view(t.stream("sales_stg")), sales.SALES, TYPE_1)
-
+    t.append(
+        customers_stg=sales.customers_stg(customers),
+        products_stg=sales.products_stg(products),
+        sales_stg=sales.sales_stg(*feeds),
+    )
+    customers_view = sales.customers_enr_view(t.stream("customers_stg"))
+    products_view = sales.products_enr_view(t.stream("products_stg"))
+    sales_view = sales.sales_enr_view(t.stream("sales_stg"))
+    t.capture(
+        customers_enr=(customers_view, sales.CUSTOMERS, TYPE_1),
+        products_enr=(products_view, sales.PRODUCTS, TYPE_1),
+        sales_enr=(sales_view, sales.SALES, TYPE_1),
+        dim_customers=(customers_view, sales.CUSTOMERS, TYPE_2),
+        dim_products=(products_view, sales.PRODUCTS, TYPE_2),
+        fact_sales=(sales_view, sales.SALES, TYPE_1),
+    )
     t.materialize(
         "business_sales",
         sales.business_sales(

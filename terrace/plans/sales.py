@@ -74,7 +74,7 @@ def fact_sales(view: DataFrame) -> DataFrame:
 
 
 def star_join(
-    fact: DataFrame, customers: DataFrame, products: DataFrame, mode: str = NAIVE, method: str = "sweep"
+    fact: DataFrame, customers: DataFrame, products: DataFrame, mode: str = NAIVE, method: str = "auto"
 ) -> DataFrame:
     """Fact rows with the region and category of their customer and product.
 
@@ -108,7 +108,7 @@ def business_sales(
     products: DataFrame,
     mode: str = NAIVE,
     money: str | None = None,
-    method: str = "sweep",
+    method: str = "auto",
 ) -> DataFrame:
     """Total sales per region and category, see ``star_join`` for ``mode``."""
     if mode == AS_OF:

@@ -7,8 +7,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Settings the operators are laid out for. Shuffle partitions are for the cluster to set:
+# about 128 MB of shuffle data each, which AQE then coalesces where a stage has less.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    # Clean-up stages are long lists of expressions. Methods above this size are not
+    # compiled by the JVM, so such stages run faster operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 WORK_DIR_SETTING = "spark.checkpoint.dir"
 _session_roots: dict[str, str] = {}
+_stored: dict[str, list[str]] = {}
 
 
 def local_session(app: str = "terrace", cpus: int | str = "*", partitions: int = 8, **conf: str) -> SparkSession:
@@ -17,7 +29,7 @@ def local_session(app: str = "terrace", cpus: int | str = "*", partitions: int =
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SETTINGS)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
@@ -49,12 +61,22 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what ``materialize`` stored for this application, once its results are written."""
+    app = spark.sparkContext.applicationId
+    for path in _stored.pop(app, []):
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the work folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, and gives Catalyst the
     true file size, so that it broadcasts the result only when it is small.
     """
-    path = new_work_dir(df.sparkSession, label)
+    spark = df.sparkSession
+    path = new_work_dir(spark, label)
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,10 +31,16 @@ def write_stream(
     return writer.start(path) if path is not None else writer.toTable(table)
 
 
-def finish(query: StreamingQuery) -> StreamingQuery:
-    """Wait for a query that stops by itself; its failure is raised here."""
-    query.awaitTermination()
-    return query
+def finish(*queries: StreamingQuery) -> None:
+    """Wait for queries that stop by themselves; then raise the first failure, if any."""
+    failures = []
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as e:
+            failures.append(e)
+    if failures:
+        raise failures[0]
 
 
 def rows_read(query: StreamingQuery) -> int:
