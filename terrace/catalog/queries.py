@@ -952,8 +952,8 @@ def quarantine_rows(i: Inputs) -> DataFrame:
 
 @query(
     sql.sales(
-        "SELECT *, md5(concat_ws('|', CAST(customer_id AS STRING), CAST(valid_from AS STRING))) AS surrogate_key "
-        "FROM dim_customers"
+        "SELECT *, md5('{\"customer_id\":' || CAST(customer_id AS STRING) || ',\"valid_from\":\"' || "
+        "CAST(valid_from AS STRING) || '\"}') AS surrogate_key FROM dim_customers"
     )
 )
 def dim_surrogate_keys(i: Inputs) -> DataFrame:

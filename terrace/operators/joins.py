@@ -42,8 +42,8 @@ def with_surrogate_key(dim: DataFrame, keys: Sequence[str], name: str = "surroga
 
     It needs no sequence generator, so recomputing any partition gives the same keys.
     """
-    parts = [F.col(c).cast("string") for c in (*keys, VALID_FROM)]
-    return dim.withColumn(name, F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])))
+    # JSON keeps NULL, empty and quoted key values apart.
+    return dim.withColumn(name, F.md5(F.to_json(F.struct(*keys, VALID_FROM))))
 
 
 def effective_date_join(
