@@ -279,15 +279,25 @@ def scd2(df: DataFrame, cdc: Cdc) -> DataFrame:
 def _local_changes(
     rows: DataFrame, by: Sequence[str], order: Sequence[str], tracked: Sequence[str]
 ) -> DataFrame:
-    """Mark rows that differ from the row before them; NULL on the first row of a window."""
+    """Compare each row with its neighbours in one pass.
+
+    ``_opens``  differs from the row before it (NULL on the first row of a window)
+    ``_closes``  differs from the row after it (NULL on the last row), at ``_closed_at``
+    """
     window = per_key(by, order)
+
+    def differs(prefix: str) -> Column:
+        deleted = F.col(prefix + _DELETE)
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in tracked], F.lit(True))
+        return F.when(deleted.isNotNull(), ~((deleted == F.col(_DELETE)) & (F.col(_DELETE) | same)))
+
     before = {f"_before_{c}": F.lag(c).over(window) for c in (_DELETE, *tracked)}
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_before_{c}")) for c in tracked], F.lit(True))
-    was_delete = F.col(f"_before_{_DELETE}")
-    changed = F.when(
-        was_delete.isNotNull(), ~((was_delete == F.col(_DELETE)) & (F.col(_DELETE) | same))
+    after = {f"_after_{c}": F.lead(c).over(window) for c in (_DELETE, *tracked)}
+    return (
+        rows.withColumns({**before, **after, "_closed_at": F.lead(order[0]).over(window)})
+        .withColumns({"_opens": differs("_before_"), "_closes": differs("_after_")})
+        .drop(*before, *after)
     )
-    return rows.withColumns(before).withColumn("_changed", changed).drop(*before)
 
 
 def _slice_carry(
@@ -295,53 +305,52 @@ def _slice_carry(
 ) -> DataFrame:
     """What each slice of a hot key needs from the slices around it; one row per slice."""
     seen = F.struct(_DELETE, *[F.when(~F.col(_DELETE), F.col(c)).alias(c) for c in tracked])
-    first = F.col("_changed").isNull()
-    position = F.struct(*order)
-    start = F.struct(F.col(order[0]).alias("at"))
+    first, last = F.col("_opens").isNull(), F.col("_closes").isNull()
     edges = rows.groupBy(*keys, SLICE).agg(
         F.max(F.when(first, seen)).alias("_first_seen"),
-        F.max(F.when(first, start)).alias("_first_at"),
-        F.max_by(seen, position).alias("_last_seen"),
-        F.max(F.when(F.col("_changed"), start)).alias("_last_inner_start"),
+        F.max(F.when(first, F.col(order[0]))).alias("_first_at"),
+        F.max(F.when(last, seen)).alias("_last_seen"),
+        F.max(F.when(F.col("_opens"), F.col(order[0]))).alias("_last_inner_start"),
     )
     along = per_key(keys, [SLICE])
     edges = edges.withColumn(
-        "_in_changed", ~F.lag("_last_seen").over(along).eqNullSafe(F.col("_first_seen"))
-    ).withColumn(
-        "_last_start", F.coalesce("_last_inner_start", F.when(F.col("_in_changed"), F.col("_first_at")))
-    )
+        "_in_opens", ~F.lag("_last_seen").over(along).eqNullSafe(F.col("_first_seen"))
+    ).withColumn("_last_start", F.coalesce("_last_inner_start", F.when(F.col("_in_opens"), F.col("_first_at"))))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     return edges.select(
         *keys,
         SLICE,
-        "_in_changed",
+        "_in_opens",
         F.last("_last_start", ignorenulls=True).over(earlier).alias("_in_start"),
-        F.lead("_in_changed").over(along).alias("_next_changed"),
+        F.lead("_in_opens").over(along).alias("_next_opens"),
         F.lead("_first_at").over(along).alias("_next_at"),
     )
 
 
-def _versions(
-    rows: DataFrame, by: Sequence[str], order: Sequence[str], *, carried: bool = False
-) -> DataFrame:
+def _versions(rows: DataFrame, by: Sequence[str], order: Sequence[str], *, carried: bool = False) -> DataFrame:
     """Keep the last row of each version and give it its interval.
 
-    The row after it, if any, opens the next version, so its sequence closes this one.
+    Only rows that open or close a version matter. The row that closes one is the row
+    that opened it, or comes right after that row among those kept.
     """
-    changed = F.coalesce("_changed", "_in_changed" if carried else F.lit(True))
-    window = per_key(by, order)
-    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = F.struct(F.col(order[0]).alias("at"))
-    start = F.last(F.when(F.col("_changed"), at), ignorenulls=True).over(so_far)
-    closes = F.lead("_changed").over(window)
-    closed_at = F.lead(at).over(window)
+    opens, closes, closed_at, before = F.lit(True), F.lit(True), F.lit(None), F.lag(order[0]).over(per_key(by, order))
     if carried:
-        start = F.coalesce(start, F.col("_in_start"))
-        closes = F.coalesce(closes, F.col("_next_changed"))
-        closed_at = F.coalesce(closed_at, F.col("_next_at"))
+        opens, closes, closed_at = F.col("_in_opens"), F.coalesce("_next_opens", F.lit(True)), F.col("_next_at")
+        before = F.coalesce(before, F.col("_in_start"))
+    edges = rows.withColumns(
+        {
+            "_opens": F.coalesce("_opens", opens),
+            "_closed_at": F.when(F.col("_closes").isNotNull(), F.col("_closed_at")).otherwise(closed_at),
+            "_closes": F.coalesce("_closes", closes),
+        }
+    ).filter("_opens OR _closes")
     return (
-        rows.withColumn("_changed", changed)
-        .withColumns({"_start": start, "_closes": closes, "_closed_at": closed_at})
-        .filter(F.coalesce("_closes", F.lit(True)))
-        .withColumns({VALID_FROM: F.col("_start.at"), VALID_TO: F.col("_closed_at.at")})
+        edges.withColumn("_opened_at", before)
+        .filter("_closes")
+        .withColumns(
+            {
+                VALID_FROM: F.when(F.col("_opens"), F.col(order[0])).otherwise(F.col("_opened_at")),
+                VALID_TO: F.col("_closed_at"),
+            }
+        )
     )
