@@ -33,6 +33,7 @@ from terrace.operators import (
     scd2,
     with_surrogate_key,
 )
+from terrace.operators.datasets import save_table, save_view
 from terrace.plans import bank, runs, sales, users
 from terrace.session import new_work_dir
 from terrace.sources import read_csv, scan_table, select_all, stream_csv, stream_parquet, stream_table
@@ -336,8 +337,7 @@ def silver_transactions_scd2(i: Inputs) -> DataFrame:
 @query(sql.bank("SELECT * FROM silver_customers"))
 def view_passthrough(i: Inputs) -> DataFrame:
     name = f"silver_customers_transformed_view_{uuid.uuid4().hex}"
-    _silver_customers(i).createOrReplaceTempView(name)
-    return scan_table(i.spark, name).drop("transformation_date")
+    return save_view(_silver_customers(i), name).drop("transformation_date")
 
 
 @query(sql.bank("SELECT * FROM silver_transactions"))
@@ -470,7 +470,7 @@ def sql_select_star(i: Inputs) -> DataFrame:
     schema = f"terrace_{uuid.uuid4().hex}"
     folder = new_work_dir(i.spark, "schema")
     i.spark.sql(f"CREATE DATABASE {schema} LOCATION '{folder}'")
-    i.table("orders").write.saveAsTable(f"{schema}.orders")
+    save_table(i.table("orders"), f"{schema}.orders", "orders as given")
     return select_all(i.spark, schema, "orders")
 
 

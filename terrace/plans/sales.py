@@ -23,10 +23,12 @@ AS_OF = "as_of"
 
 
 def customers_stg(source: DataFrame, observe: Observation | str | None = None) -> DataFrame:
+    """Customer changes as delivered; rule violations are counted and kept."""
     return expect(source, rules(fixed.SALES_CUSTOMER_RULES, WARN), observe)
 
 
 def products_stg(source: DataFrame, observe: Observation | str | None = None) -> DataFrame:
+    """Product changes as delivered; rule violations are counted and kept."""
     return expect(source, rules(fixed.SALES_PRODUCT_RULES, WARN), observe)
 
 
@@ -36,6 +38,7 @@ def sales_stg(*feeds: DataFrame, observe: Observation | str | None = None) -> Da
 
 
 def customers_enr_view(staged: DataFrame) -> DataFrame:
+    """Customer changes with upper-case names."""
     return staged.withColumn("customer_name", F.upper("customer_name"))
 
 
@@ -46,30 +49,37 @@ def products_enr_view(staged: DataFrame, *, null_if_malformed: bool = False) ->
 
 
 def sales_enr_view(staged: DataFrame) -> DataFrame:
+    """Sales with their total amount."""
     return staged.withColumn("total_amount", F.col("quantity") * F.col("amount"))
 
 
 def customers_enr(view: DataFrame) -> DataFrame:
+    """Current customers."""
     return cdc.scd1(view, CUSTOMERS)
 
 
 def products_enr(view: DataFrame) -> DataFrame:
+    """Current products."""
     return cdc.scd1(view, PRODUCTS)
 
 
 def sales_enr(view: DataFrame) -> DataFrame:
+    """Current sales."""
     return cdc.scd1(view, SALES)
 
 
 def dim_customers(view: DataFrame) -> DataFrame:
+    """Customer dimension with history."""
     return cdc.scd2(view, CUSTOMERS)
 
 
 def dim_products(view: DataFrame) -> DataFrame:
+    """Product dimension with history."""
     return cdc.scd2(view, PRODUCTS)
 
 
 def fact_sales(view: DataFrame) -> DataFrame:
+    """Sales facts: the latest state of each sale."""
     return cdc.scd1(view, SALES)
 
 

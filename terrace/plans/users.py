@@ -9,6 +9,7 @@ from terrace.functions import is_valid_email
 
 
 def sample_users(users: DataFrame) -> DataFrame:
+    """The columns of users in use."""
     return users.select("user_id", "email", "name", "user_type")
 
 

@@ -1,4 +1,4 @@
-from terrace.streaming.change_tables import backfill, current_rows, history, stream_scd
+from terrace.streaming.change_tables import backfill, current_rows, history, remove_covered, stream_scd
 from terrace.streaming.dedup import dedup_within_watermark
 from terrace.streaming.sinks import finish, write_stream
 
@@ -8,6 +8,7 @@ __all__ = [
     "dedup_within_watermark",
     "finish",
     "history",
+    "remove_covered",
     "stream_scd",
     "write_stream",
 ]

@@ -13,8 +13,8 @@ state so far, for type 2 the changes since the last run in key order, so that re
 one key skips most row groups. A flow is one streaming query (its id is in its
 checkpoint); several flows may feed one target.
 
-A folder counts only when complete (``_SUCCESS`` present). Deltas covered by a run are
-ignored by readers and may be removed by retention.
+A folder counts only when complete (``_SUCCESS`` present). What a run covers is ignored by
+readers and may be deleted with ``remove_covered``.
 """
 
 from __future__ import annotations
@@ -74,6 +74,20 @@ class _Flow:
         return [self.run(*r) for r in runs] + [self.delta(b) for b in self.deltas_after(last)]
 
 
+    def covered(self) -> list[str]:
+        """Folders no reader uses: deltas up to the last run, and runs a newer one holds."""
+        runs = self.runs()
+        if not runs:
+            return []
+        kept = {self.run(*r) for r in runs}
+        # Only runs that ended before the last one: a newer one may be in the making.
+        older = [
+            f"{self.root}/runs/{n}" for n in _children(self.spark, f"{self.root}/runs") if int(n.split("-")[1]) < runs[-1][1]
+        ]
+        deltas = [self.delta(int(n)) for n in _children(self.spark, f"{self.root}/deltas") if int(n) <= runs[-1][1]]
+        return [p for p in older if p not in kept] + deltas
+
+
 def _check(kind: int) -> None:
     if kind not in (TYPE_1, TYPE_2):
         raise ValueError(f"kind must be {TYPE_1} or {TYPE_2}, not {kind}")
@@ -146,6 +160,20 @@ def backfill(df: DataFrame, cdc: Cdc, kind: int, target: str, name: str = "backf
     _add_delta(_Flow(df.sparkSession, f"{target}/{name}", kind), df, cdc, 0)
 
 
+def remove_covered(spark: SparkSession, target: str, kind: int) -> int:
+    """Delete what compaction has made redundant; returns the number of folders.
+
+    Call it when no reader that started before the last compaction is still running.
+    """
+    _check(kind)
+    removed = 0
+    for flow in _children(spark, target):
+        for folder in _Flow(spark, f"{target}/{flow}", kind).covered():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return removed
+
+
 def _stored(spark: SparkSession, target: str, kind: int) -> DataFrame:
     paths = [p for f in _children(spark, target) for p in _Flow(spark, f"{target}/{f}", kind).paths()]
     if not paths:

@@ -9,7 +9,7 @@ from terrace.operators.append import append_flows
 from terrace.operators.cdc import Cdc, scd1, scd2
 from terrace.plans import bank, runs
 from terrace.sources import read_csv, stream_csv, stream_parquet, with_audit_columns
-from terrace.streaming import backfill, change_tables, current_rows, dedup_within_watermark, finish, history, stream_scd, write_stream
+from terrace.streaming import backfill, change_tables, current_rows, dedup_within_watermark, finish, history, remove_covered, stream_scd, write_stream
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
 from tests.helpers import rows, same_rows
 
@@ -57,6 +57,26 @@ def test_stream_equals_batch_over_runs_and_compactions(spark, tmp_path, case, ki
     (flow,) = os.listdir(target)
     assert flow != "None" and len(os.listdir(f"{target}/{flow}/deltas")) == 6
     assert len(os.listdir(f"{target}/{flow}/runs")) == 1
+    assert remove_covered(spark, target, kind) == 4
+    assert len(os.listdir(f"{target}/{flow}/deltas")) == 2
+    again = current_rows(spark, target, cdc) if kind == TYPE_1 else history(spark, target, cdc)
+    assert same_rows(again, got)
+
+
+@pytest.mark.parametrize("kind", [TYPE_1, TYPE_2])
+def test_removal_after_every_compaction(spark, tmp_path, kind):
+    cdc = Cdc("k", "seq", columns=["a"], deletes="op = 'D'")
+    data = changes(120)
+    target = f"{tmp_path}/t"
+    for n in range(6):
+        put(spark, f"{tmp_path}/in", str(n), data[n * 20 : n * 20 + 20])
+        finish(stream_scd(feed(spark, f"{tmp_path}/in"), cdc, kind, target, f"{tmp_path}/c", compact_every=2))
+        remove_covered(spark, target, kind)
+    (flow,) = os.listdir(target)
+    assert os.listdir(f"{target}/{flow}/deltas") == []
+    assert len(os.listdir(f"{target}/{flow}/runs")) == (1 if kind == TYPE_1 else 3)
+    got = current_rows(spark, target, cdc) if kind == TYPE_1 else history(spark, target, cdc)
+    assert same_rows(got, (scd1 if kind == TYPE_1 else scd2)(spark.createDataFrame(data, SCHEMA), cdc))
 
 
 @pytest.mark.parametrize("kind", [TYPE_1, TYPE_2])
