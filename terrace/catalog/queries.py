@@ -36,8 +36,24 @@ from terrace.operators import (
 from terrace.operators.datasets import save_table, save_view
 from terrace.plans import bank, runs, sales, users
 from terrace.session import new_work_dir
-from terrace.sources import read_csv, scan_table, select_all, stream_csv, stream_parquet, stream_table
-from terrace.streaming import current_rows, dedup_within_watermark, finish, history, stream_scd, write_stream
+from terrace.sources import (
+    read_csv,
+    scan_table,
+    select_all,
+    stream_csv,
+    stream_parquet,
+    stream_table,
+    with_audit_columns,
+)
+from terrace.streaming import (
+    backfill,
+    current_rows,
+    dedup_within_watermark,
+    finish,
+    history,
+    stream_scd,
+    write_stream,
+)
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
 
 Query = Callable[[Inputs], DataFrame]
@@ -111,7 +127,12 @@ def case_gender(i: Inputs) -> DataFrame:
     return i.customers_raw.select("customer_id", gender.alias("gender"))
 
 
-@query(sql.bank("SELECT customer_id, upper(coalesce(CASE WHEN trim(status) <> '' THEN status END, 'unknown')) AS status FROM customers_raw"))
+@query(
+    sql.bank(
+        "SELECT customer_id, upper(coalesce(CASE WHEN trim(status) <> '' THEN status END, 'unknown')) AS status "
+        "FROM customers_raw"
+    )
+)
 def case_status_blank(i: Inputs) -> DataFrame:
     status = F.upper(fn.blank_to(F.col("status"), fixed.STATUS_DEFAULT))
     return i.customers_raw.select("customer_id", status.alias("status"))
@@ -781,8 +802,8 @@ def scd2_ignore_nulls(i: Inputs) -> DataFrame:
     return scd2(feed, Cdc("user_id", _SEQUENCE, columns=["event_type"], ignore_nulls=True))
 
 
-# The same history with every key above 40 events cut into slices, so that the way hot
-# keys take is checked on the whole table as well.
+# The same history with every key above the mean number of events cut into slices, so
+# that the way hot keys take is checked on the whole table as well.
 @query(sql.scd2("events", ["user_id"], ["ts", "event_id"], ["event_type"], _IN_PLACE))
 def scd2_hot_keys(i: Inputs) -> DataFrame:
     mean = i.events.groupBy("user_id").count().agg(F.avg("count")).first()[0]
@@ -857,6 +878,18 @@ def csv_schema_on_read(i: Inputs) -> DataFrame:
     return read_csv(i.spark, _csv_folder(i.customers_raw, "customers_csv"), fixed.CUSTOMERS_SCHEMA)
 
 
+@query(sql.bank("SELECT customer_id, true AS has_file, true AS has_time FROM customers_raw"))
+def csv_audit_columns(i: Inputs) -> DataFrame:
+    landed = with_audit_columns(
+        read_csv(i.spark, _csv_folder(i.customers_raw, "customers_csv"), fixed.CUSTOMERS_SCHEMA)
+    )
+    return landed.select(
+        "customer_id",
+        F.col("source_file").endswith(".csv").alias("has_file"),
+        F.col("ingested_at").isNotNull().alias("has_time"),
+    )
+
+
 def _event_table(i: Inputs) -> str:
     """A table holding the events, filled by a streaming query."""
     schema = f"terrace_{uuid.uuid4().hex}"
@@ -935,6 +968,18 @@ def stream_scd2(i: Inputs) -> DataFrame:
     return history(i.spark, _captured(i, cdc, TYPE_2), cdc)
 
 
+@query(sql.scd1("events", "user_id", _EVENT_ORDER, _LATEST))
+def stream_scd1_after_backfill(i: Inputs) -> DataFrame:
+    """Errors and sign-ups come as a backfill, all other events from the stream."""
+    cdc = Cdc("user_id", _SEQUENCE)
+    root = new_work_dir(i.spark, "capture")
+    early = F.col("event_type").isin("error", "signup")
+    backfill(i.events.filter(early), cdc, TYPE_1, f"{root}/table")
+    rest = _event_stream_in_batches(i).filter(~early)
+    finish(stream_scd(rest, cdc, TYPE_1, f"{root}/table", f"{root}/checkpoint"))
+    return current_rows(i.spark, f"{root}/table", cdc)
+
+
 # --- extensions -------------------------------------------------------------
 
 

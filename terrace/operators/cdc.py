@@ -8,6 +8,8 @@ order, any number of times, gives the same table. The streaming form relies on t
 Type 2 keeps every version of a key with the half-open interval ``[valid_from,
 valid_to)`` in which it held. It is one pass of windows per key; hot keys are cut into
 slices (see ``ordered``).
+
+Data columns must be of types Spark can order (no maps). Sequences must not be NULL.
 """
 
 from __future__ import annotations

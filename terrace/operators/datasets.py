@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +37,12 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
     """Name a query, batch or streaming, without storing anything."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def preview(spark: SparkSession, tables: Iterable[str], rows: int = 10) -> None:
+    """Print a few rows and the row count of each table."""
+    for table in tables:
+        df = spark.read.table(table)
+        print(f"===== {table} =====")
+        df.limit(rows).show(truncate=False)
+        df.selectExpr("count(*) AS row_count").show()

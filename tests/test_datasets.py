@@ -1,7 +1,7 @@
 import pytest
 
 from terrace import session
-from terrace.operators.datasets import comment_of, save_table, save_view
+from terrace.operators.datasets import comment_of, preview, save_table, save_view
 from terrace.plans import BANK, SALES, USERS, bank
 from terrace.sources import scan_table, select_all, stream_parquet, stream_table
 from terrace.streaming import finish, write_stream
@@ -22,12 +22,14 @@ def schema(spark, tmp_path):
     spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
-def test_tables_are_replaced_and_commented(spark, schema):
+def test_tables_are_replaced_and_commented(spark, schema, capsys):
     save_table(spark.range(3), f"{schema}.t")
     df = save_table(spark.range(5), f"{schema}.t", "five o'clock")
     assert df.count() == 5
     described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {schema}.t").collect()}
     assert described["Comment"] == "five o'clock"
+    preview(spark, [f"{schema}.t"], 2)
+    assert "|        5|" in capsys.readouterr().out
     before = spark.catalog.currentDatabase()
     assert select_all(spark, schema, "t").count() == 5
     assert spark.catalog.currentDatabase() == before
