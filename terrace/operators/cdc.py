@@ -174,6 +174,11 @@ def _says(name: str, *position: str) -> Column:
     return F.when(F.col(_DELETE) | F.col(name).isNotNull(), F.struct(*position, value))
 
 
+def _state_keys(cdc: Cdc) -> list[str]:
+    """Keys alone where possible: the state is then partitioned for joins on the key."""
+    return [*cdc.key_list, *([_TRUNCATE] if cdc.truncates is not None else [])]
+
+
 def scd1_state(df: DataFrame, cdc: Cdc) -> DataFrame:
     """Mergeable type 1 state: one row per key, deletes kept as tombstones.
 
@@ -182,22 +187,21 @@ def scd1_state(df: DataFrame, cdc: Cdc) -> DataFrame:
     data = cdc.data_columns(df)
     sequence = cdc.sequence(df)
     changes = cdc.changes(df)
-    by = list(cdc.key_list)
     if cdc.truncates is not None:
         # A truncate concerns the table, not the key of the row that carries it.
-        changes = changes.withColumns({k: F.when(~F.col(_TRUNCATE), F.col(k)) for k in by})
+        changes = changes.withColumns({k: F.when(~F.col(_TRUNCATE), F.col(k)) for k in cdc.key_list})
     if cdc.ignore_nulls:
         measures = [F.max(F.struct(*sequence, _DELETE)).alias("_row")]
         measures += [F.max(_says(c, *sequence, _DELETE)).alias(f"_last_{c}") for c in data]
     else:
         values = [c for c in data if c not in sequence]
         measures = [F.max(F.struct(*sequence, _DELETE, *values)).alias("_row")]
-    return changes.groupBy(*by, _TRUNCATE).agg(*measures)
+    return changes.groupBy(*_state_keys(cdc)).agg(*measures)
 
 
 def scd1_merge(state: DataFrame, cdc: Cdc) -> DataFrame:
     """Merge a union of type 1 states into one."""
-    by = [*cdc.key_list, _TRUNCATE]
+    by = _state_keys(cdc)
     return state.groupBy(*by).agg(*[F.max(c).alias(c) for c in state.columns if c not in by])
 
 

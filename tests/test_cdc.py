@@ -254,6 +254,11 @@ def test_type_1_combines_before_the_shuffle(spark):
     assert text.index("Exchange") < text.index("partial_max")
 
 
+def test_type_1_result_is_partitioned_by_its_key(spark):
+    df = scd1(frame(spark, random_changes(9)), Cdc("k", "seq"))
+    assert plan(df.groupBy("k").agg(F.max("a"))).count("Exchange") == 1
+
+
 def test_type_2_shuffles_and_sorts_once(spark):
     text = plan(scd2(frame(spark, random_changes(9)), Cdc("k", "seq", track=["a"], deletes="op = 'D'")))
     assert text.count("Exchange") == 1
