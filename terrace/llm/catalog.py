@@ -9,8 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from terrace.llm import exact_dedup, mixing, packing, quality, token_counts, warc
+from pyspark.sql import functions as F
+
+from terrace.llm import (
+    exact_dedup,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    quality,
+    shingle_join,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +36,14 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    return shingle_join.shingle_components(read(spark, folder, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, folder, "documents")).drop("spans", "kept")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(read(spark, folder, "documents"))
 
@@ -32,6 +52,11 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rate_documents(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(read(spark, folder, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.new_folder(spark)
     warc.write_warc(read(spark, folder, "pages"), archive)
@@ -42,6 +67,10 @@ def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_scan(read(spark, folder, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, folder, "documents"), exact_dedup.new_index(spark))
 
@@ -73,6 +102,48 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(si
 FROM r
 """
 
+OP2 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(greatest(1, len(words) - 4)),
+    lambda i: list_aggregate(words[i + 1 : i + 5], 'string_agg', ' '))) AS shingle FROM w WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM g a JOIN g b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+r(doc_id, component) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.component FROM r JOIN e ON e.a = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(component) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+OP6 = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents),
+k AS (
+  SELECT *, row_number() OVER w AS k, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3
+  FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+s AS (
+  SELECT doc_id, k, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, k) > 1 AS again
+  FROM k WHERE line3 IS NOT NULL),
+m AS (
+  SELECT k.doc_id, k.k, k.place, bool_or(coalesce(s.again, false)) AS gone
+  FROM k LEFT JOIN s ON s.doc_id = k.doc_id AND s.k BETWEEN k.k - 2 AND k.k GROUP BY ALL),
+runs AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS begins FROM m),
+t AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.place) FILTER (NOT coalesce(m.gone, false)) AS kept
+  FROM l LEFT JOIN m ON m.doc_id = l.doc_id AND m.place = l.place GROUP BY l.doc_id)
+SELECT d.doc_id, CAST(count(runs.k) AS BIGINT) AS n_lines, CAST(count(*) FILTER (runs.gone) AS BIGINT) AS n_removed,
+  CAST(count(*) FILTER (runs.begins) AS BIGINT) AS n_runs, sha256(coalesce(any_value(t.kept), '')) AS kept_sha256
+FROM documents d LEFT JOIN runs ON runs.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
 OP7 = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex, strlen(coalesce(html, '')) AS n FROM pages)
@@ -94,4 +165,10 @@ WINDOW w AS (PARTITION BY body)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op7_warc": OP7, "op10_exact_dedup": OP10}
+    return {
+        "op1_mix_sources": OP1,
+        "op2_shingle_join": OP2,
+        "op6_line_dedup": OP6,
+        "op7_warc": OP7,
+        "op10_exact_dedup": OP10,
+    }
