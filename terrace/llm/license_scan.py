@@ -135,18 +135,20 @@ class Scanner:
     def stretches(self, hits: list[tuple[int, int]], counts: Counter, need: int, width: int) -> Iterator[int]:
         """Ends of stretches of ``width`` words where at least ``need`` of the template's meet.
 
-        Of overlapping ones the first with most; the next begins after it.
+        Of overlapping ones the first with most; the next begins after its end.
         """
         inside: deque[tuple[int, int]] = deque()
         have: Counter = Counter()
-        score, best, best_at = 0, 0, -1
-        for at, word in hits:
-            if best_at >= 0 and at - best_at >= width:
-                yield best_at
-                inside = deque(x for x in inside if x[0] > best_at)
-                have = Counter(w for _, w in inside)
-                score = sum(min(n, counts[w]) for w, n in have.items())
-                best, best_at = 0, -1
+        score, best, best_k, k = 0, 0, -1, 0
+        while k < len(hits) or best:
+            if best and (k == len(hits) or hits[k][0] - hits[best_k][0] >= width):
+                yield hits[best_k][0]
+                # On from the word after the stretch, with nothing counted yet.
+                inside.clear()
+                have.clear()
+                k, score, best = best_k + 1, 0, 0
+                continue
+            at, word = hits[k]
             while inside and at - inside[0][0] >= width:
                 gone = inside.popleft()[1]
                 have[gone] -= 1
@@ -155,9 +157,8 @@ class Scanner:
             have[word] += 1
             score += have[word] <= counts[word]
             if score >= need and score > best:
-                best, best_at = score, at
-        if best_at >= 0:
-            yield best_at
+                best, best_k = score, k
+            k += 1
 
     def scan(self, text: bytes) -> list[tuple[str, int, int, int, int]]:
         """(template, first word, last word, aligned words, template's words) of each match."""
@@ -170,11 +171,14 @@ class Scanner:
                 continue
             own = [(k, n) for k, n in hits if n in counts]
             width = len(template) + len(template) // 4 + 4
+            free = 0
             for end in self.stretches(own, counts, need, width):
-                low = max(0, end - width + 1)
-                pairs = align(numbers[low : end + 1], template)
+                # Words from before the notice may stand in for its last ones in the count.
+                low = max(free, end - width + 1)
+                pairs = align(numbers[low : end + 1 + len(template) // 2], template)
                 if len(pairs) >= need:
                     found.append((name, low + pairs[0][0], low + pairs[-1][0], len(pairs), len(template)))
+                    free = low + pairs[-1][0] + 1
         return found
 
 
