@@ -17,8 +17,8 @@ refinements are used at once. Only buckets with several documents need any of it
 
 Steps 1 and 2 work on packed arrays, a fragment of the hash space at a time (``common``);
 a task packs equal texts once, so copies hardly add to the exchange, and copies of a
-smaller id are resolved by their digest. Identifiers in steps 1 and 2 are hashes of 48 and
-64 bits used together.
+smaller id are resolved by their digest. Identifiers in steps 1 and 2 are hashes of 40 and
+56 bits used together, besides the fragment.
 
 Defined cases: null text is empty; texts under ``SPAN`` bytes stay whole; repeated rows
 (same id) do not remove each other and give repeated rows; rows with a null id stay whole
@@ -36,17 +36,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import fragment_of, fragments_for, from_planes, mixed, planes, stored, text_or_empty, utf8
+from terrace.llm.common import fragment_of, fragments_for, from_planes, mixed, opened, planes, squeezed, stored, text_or_empty, utf8
 
 SPAN = 50
 GRAM = 20
 #: q-grams that start in a string of SPAN bytes and lie inside it.
 WINDOW = SPAN - GRAM + 1
 FRAGMENT_BYTES = 24 << 20
-PACK_BYTES = 4 << 20
+PACK_BYTES = 2 << 20
 #: Numpy works on so much of a text at a time; longer ones are cut with an overlap.
 SLICE = 1 << 20
 PAD = 64
+#: Groups of edges for each fragment: bytes take far more room there than packed anchors.
+EDGE_GROUPS = 16
 REMEMBERED = 100_000
 BASE = 0x9E3779B97F4A7C15 | 1
 PACKED = "fragment int, docs binary, counts binary, places binary, grams binary, around binary"
@@ -130,8 +132,8 @@ def pack_anchors(docs: DataFrame, fragments: int) -> DataFrame:
                     "docs": planes(ids[holders], 8),
                     "counts": planes(counts.astype(np.uint32), 4),
                     "places": planes(place[part].astype(np.uint32), 4),
-                    "grams": planes(gram[part], 6),
-                    "around": planes(around[part], 8),
+                    "grams": planes(gram[part], 5),
+                    "around": planes(around[part], 7),
                 }
             )
         return pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -171,7 +173,7 @@ def refine_anchors(packed: DataFrame) -> DataFrame:
         rows = table.to_pydict()
         join = lambda name, width, kind: np.concatenate([from_planes(d, width, kind) for d in rows[name]])
         doc = np.repeat(join("docs", 8, np.int64), join("counts", 4, np.uint32))
-        gram, around, place = join("grams", 6, np.uint64), join("around", 8, np.uint64), join("places", 4, np.uint32)
+        gram, around, place = join("grams", 5, np.uint64), join("around", 7, np.uint64), join("places", 4, np.uint32)
         order = np.argsort(gram)
         starts = bucket_starts(gram[order])
         sizes = np.diff(np.append(starts, len(order)))
@@ -225,7 +227,7 @@ def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for doc, text, lists in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist(), strict=True):
+            for doc, text, lists in zip(b.column(0).to_pylist(), opened(b.column(1)), b.column(2).to_pylist(), strict=True):
                 for at in np.unique(np.frombuffer(b"".join(lists), "<u4")).tolist():
                     low = max(0, at - (SPAN - GRAM))
                     part = xxhash.xxh3_64_intdigest(text[at : at + GRAM]) % groups
@@ -236,8 +238,7 @@ def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
                 )
 
     held = edges.groupBy("doc_id").agg(F.collect_list("edges").alias("edges"))
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return texts.join(held, "doc_id").select("doc_id", "text", "edges").mapInArrow(
+    return squeezed(docs, SPAN).join(held, "doc_id").select("doc_id", "data", "edges").mapInArrow(
         cut, "part int, doc_id long, place long, data binary"
     )
 
@@ -329,7 +330,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     fragments = fragments_for(docs, FRAGMENT_BYTES)
     found = stored(refine_anchors(pack_anchors(docs, fragments)), "anchors")
     edges = found.filter(F.octet_length("edges") > 0).select("doc_id", "edges")
-    starts = stored(refine_edges(surroundings(edges, docs, fragments)), "edge-starts")
+    starts = stored(refine_edges(surroundings(edges, docs, EDGE_GROUPS * fragments)), "edge-starts")
     by_text = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long"), F.sha2(text_or_empty().cast("binary"), 256).alias("digest")
     )
@@ -365,7 +366,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            ids, texts = b.column(0).to_pylist(), utf8(b.column(1))
+            ids, texts = b.column(0).to_pylist(), opened(b.column(1))
             for doc, text, *found in zip(ids, texts, *(b.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
                 runs = runs_of(text, *found).tolist()
                 view, at, kept = memoryview(text), 0, []
@@ -383,9 +384,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     found = stored(repeats(docs), "repeats")
     return (
-        docs.select(F.col("doc_id").cast("long"), "text")
+        squeezed(docs)
         .join(found, "doc_id", "left")
-        .select("doc_id", "text", "covered", "starts", "copy")
+        .select("doc_id", "data", "covered", "starts", "copy")
         .mapInArrow(
             remove,
             "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
