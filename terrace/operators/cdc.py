@@ -21,7 +21,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrace.operators.ordered import SLICE, fill_forward, join_carry, per_key, split_hot_keys
+from terrace.operators.ordered import (
+    SLICE,
+    fill_forward,
+    find_hot_keys,
+    join_carry,
+    per_key,
+    settle,
+    split_hot_keys,
+)
 from terrace.session import materialize
 
 VALID_FROM = "valid_from"
@@ -52,7 +60,7 @@ class Cdc:
     track           type 2: only changes in these columns open a new version; the other
                     columns of the open version are updated in place
     track_except    type 2: the same, given by exclusion
-    hot_rows        type 2: cut keys above this many rows into slices (default: automatic)
+    hot_rows        type 2: cut keys above this many rows into slices (default: 10 million)
     """
 
     keys: Sequence[str] | str
@@ -262,21 +270,23 @@ def scd2(df: DataFrame, cdc: Cdc) -> DataFrame:
     sequence = cdc.sequence(df)
     order = [*sequence, _DELETE, *[c for c in data if c not in sequence]]
 
+    hot = find_hot_keys(changes, keys, cdc.hot_rows)
+    changes = settle(changes, hot)
     if cdc.ignore_nulls:
         nullable = [c for c in data if c not in sequence]
         changes = (
-            fill_forward(changes, keys, order, {f"_last_{c}": _says(c) for c in nullable}, cdc.hot_rows)
+            fill_forward(changes, keys, order, {f"_last_{c}": _says(c) for c in nullable}, hot)
             .withColumns({c: F.col(f"`_last_{c}`.value") for c in nullable})
             .drop(*[f"_last_{c}" for c in nullable])
         )
 
-    split = split_hot_keys(changes, keys, order, cdc.hot_rows)
+    split = split_hot_keys(changes, order, hot)
     versions = _versions(_local_changes(split.cold, keys, order, tracked), keys, order)
     if split.hot is not None:
         sliced = _local_changes(split.hot, [*keys, SLICE], order, tracked)
         carry = materialize(_slice_carry(sliced, keys, order, tracked), "carry")
-        hot = _versions(join_carry(sliced, carry, keys), [*keys, SLICE], order, carried=True)
-        versions = versions.unionByName(hot.select(*versions.columns))
+        of_hot = _versions(join_carry(sliced, carry, keys), [*keys, SLICE], order, carried=True)
+        versions = versions.unionByName(of_hot.select(*versions.columns))
     return versions.filter(~F.col(_DELETE)).select(
         *keys, *data, VALID_FROM, VALID_TO, F.col(VALID_TO).isNull().alias(IS_CURRENT)
     )

@@ -22,21 +22,19 @@ from terrace.session import materialize
 SLICE = "_slice"
 # A key is cut into slices above this many rows.
 DEFAULT_HOT_ROWS = 10_000_000
-# Sources no larger than one scan split fit one task: nothing to cut.
-SMALL_INPUT_BYTES = 128 * 1024 * 1024
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Total size of the sources ``df`` reads; an unknown source counts as unbounded.
+def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
-    Asked of the analysed plan, so it costs neither a job nor an optimizer run.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size()))
 
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys above ``rows`` rows: a stored table, or None if there are none."""
 
-def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
+    keys: tuple[str, ...]
+    table: DataFrame | None
+    slices: int
 
 
 @dataclass(frozen=True)
@@ -47,39 +45,43 @@ class Split:
     hot: DataFrame | None
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and their row count ``n``."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> HotKeys:
+    """Count the rows of each key and keep the keys above ``hot_rows``.
 
+    One pass that reads the key columns alone and combines before the shuffle. It looks at
+    the rows that reach the window, whatever the sizes of the sources they come from.
+    """
+    hot_rows = hot_rows or DEFAULT_HOT_ROWS
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+    hot = materialize(counts, "hot-keys")
+    total = hot.agg(F.sum("n").alias("n")).first()["n"]
+    return HotKeys(tuple(keys), None if total is None else hot, 0 if total is None else -(-total // hot_rows) + 1)
 
-def split_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
-) -> Split:
-    """Separate the rows of hot keys and cut them into slices of about ``hot_rows`` rows.
 
-    ``order`` must not tie within a key on its own across different slices; rows equal
-    on ``keys`` and ``order`` always share a slice. With ``hot_rows`` unset,
-    small sources are not inspected at all; this decides about speed, never about results.
+def settle(df: DataFrame, hot: HotKeys) -> DataFrame:
+    """``df`` as both parts of a split are to read it: stored if it will be split.
+
+    Evaluated once, so that a time or a random number in it is the same for all rows.
     """
-    if hot_rows is None:
-        if source_bytes(df) <= SMALL_INPUT_BYTES:
-            return Split(df, None)
-        hot_rows = DEFAULT_HOT_ROWS
+    return df if hot.table is None else materialize(df, "ordered")
 
-    hot = materialize(hot_keys(df, keys, hot_rows), "hot-keys")
-    total = hot.agg(F.sum("n").alias("n")).first()["n"]
-    if total is None:
-        return Split(df, None)
 
-    match = null_safe(df, hot, keys)
-    slices = -(-total // hot_rows) + 1
+def split_hot_keys(df: DataFrame, order: Sequence[str], hot: HotKeys) -> Split:
+    """Separate the rows of hot keys and cut them into slices.
+
+    ``order`` must not tie within a key on its own across different slices; rows equal
+    on the keys and ``order`` always share a slice. ``df`` should be settled.
+    """
+    if hot.table is None:
+        return Split(df, None)
+    match = null_safe(df, hot.table, hot.keys)
     sliced = (
-        df.join(hot, match, "left_semi")
-        .repartitionByRange(int(slices), *[F.col(c) for c in [*keys, *order]])
+        df.join(hot.table, match, "left_semi")
+        .repartitionByRange(int(hot.slices), *[F.col(c) for c in [*hot.keys, *order]])
         .withColumn(SLICE, F.spark_partition_id())
     )
     # Stored, because the partition id is only meaningful for this one shuffle.
-    return Split(df.join(hot, match, "left_anti"), materialize(sliced, "hot-slices"))
+    return Split(df.join(hot.table, match, "left_anti"), materialize(sliced, "hot-slices"))
 
 
 def per_key(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -103,10 +105,16 @@ def fill_forward(
     keys: Sequence[str],
     order: Sequence[str],
     exprs: Mapping[str, Column],
-    hot_rows: int | None = None,
+    hot: HotKeys | int | None = None,
 ) -> DataFrame:
-    """Add, per key in ``order``, the last non-NULL value so far of each expression."""
-    split = split_hot_keys(df, keys, order, hot_rows)
+    """Add, per key in ``order``, the last non-NULL value so far of each expression.
+
+    ``hot`` is what ``find_hot_keys`` found, or the number of rows above which a key is hot.
+    """
+    if not isinstance(hot, HotKeys):
+        hot = find_hot_keys(df, keys, hot)
+        df = settle(df, hot)
+    split = split_hot_keys(df, order, hot)
 
     def running(rows: DataFrame, by: Sequence[str]) -> DataFrame:
         so_far = per_key(by, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -125,6 +133,6 @@ def fill_forward(
         tails.withColumns({f"_in_{n}": F.last(f"_in_{n}", ignorenulls=True).over(earlier) for n in exprs}),
         "carry",
     )
-    hot = join_carry(running(split.hot, [*keys, SLICE]), carry, keys)
-    hot = hot.withColumns({n: F.coalesce(n, f"_in_{n}") for n in exprs})
-    return cold.unionByName(hot.select(*cold.columns))
+    filled = join_carry(running(split.hot, [*keys, SLICE]), carry, keys)
+    filled = filled.withColumns({n: F.coalesce(n, f"_in_{n}") for n in exprs})
+    return cold.unionByName(filled.select(*cold.columns))

@@ -254,6 +254,17 @@ def test_type_1_combines_before_the_shuffle(spark):
     assert text.index("Exchange") < text.index("partial_max")
 
 
+@pytest.mark.parametrize("ignore_nulls", [False, True])
+def test_hot_keys_are_searched_for_once(spark, monkeypatch, ignore_nulls):
+    from terrace.operators import cdc as module
+
+    calls = []
+    find = module.find_hot_keys
+    monkeypatch.setattr(module, "find_hot_keys", lambda *a: calls.append(a) or find(*a))
+    scd2(frame(spark, random_changes(9)), Cdc("k", "seq", ignore_nulls=ignore_nulls, hot_rows=10)).count()
+    assert len(calls) == 1
+
+
 def test_type_1_result_is_partitioned_by_its_key(spark):
     df = scd1(frame(spark, random_changes(9)), Cdc("k", "seq"))
     assert plan(df.groupBy("k").agg(F.max("a"))).count("Exchange") == 1

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrace.operators.ordered import SLICE, fill_forward, source_bytes, split_hot_keys
+from terrace.operators.ordered import SLICE, fill_forward, find_hot_keys, settle, split_hot_keys
 from tests.helpers import plan, same_rows
 
 
@@ -17,8 +17,13 @@ def skewed(spark):
     )
 
 
+def cut(df, hot_rows):
+    hot = find_hot_keys(df, ["k"], hot_rows)
+    return split_hot_keys(settle(df, hot), ["at", "id"], hot)
+
+
 def test_slices_are_bounded_and_lose_nothing(skewed):
-    split = split_hot_keys(skewed, ["k"], ["at", "id"], 1000)
+    split = cut(skewed, 1000)
     sizes = [r["count"] for r in split.hot.groupBy("k", SLICE).count().collect()]
     assert sum(sizes) == 10_000 and split.cold.count() == 20_000
     assert max(sizes) <= 2000 and len(sizes) >= 8
@@ -26,7 +31,7 @@ def test_slices_are_bounded_and_lose_nothing(skewed):
 
 
 def test_slices_are_contiguous_in_order(skewed):
-    split = split_hot_keys(skewed, ["k"], ["at", "id"], 1000)
+    split = cut(skewed, 1000)
     edge = F.struct("at", "id")
     spans = split.hot.groupBy(SLICE).agg(F.min(edge).alias("lo"), F.max(edge).alias("hi")).orderBy(SLICE).collect()
     assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
@@ -39,14 +44,19 @@ def test_filled_values_do_not_depend_on_slices(skewed):
         assert same_rows(fill_forward(skewed, ["k"], ["at", "id"], {"last": F.col("v")}, hot_rows), expected)
 
 
-def test_small_sources_are_not_searched_for_hot_keys(spark, skewed, tmp_path):
-    skewed.write.parquet(f"{tmp_path}/t")
+def test_a_tiny_file_that_explodes_to_one_hot_key_is_sliced(spark, tmp_path):
+    spark.range(1).write.parquet(f"{tmp_path}/t")
     stored = spark.read.parquet(f"{tmp_path}/t")
-    assert 0 < source_bytes(stored) < 10_000_000
-    assert split_hot_keys(stored, ["k"], ["at"]).hot is None
-    # Nothing is known about the size of rows made from an RDD.
-    unknown = spark.createDataFrame(stored.rdd, stored.schema)
-    assert source_bytes(unknown) > 2**40
+    rows = stored.select(F.lit(1).alias("k"), F.explode(F.sequence(F.lit(1), F.lit(50_000))).alias("at"))
+    rows = rows.withColumn("id", F.col("at"))
+    sizes = [r["count"] for r in cut(rows, 10_000).hot.groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 50_000 and max(sizes) <= 20_000
+
+
+def test_hot_and_cold_keys_share_one_evaluation(skewed):
+    split = cut(skewed.withColumn("loaded", F.current_timestamp()), 1000)
+    loaded = split.cold.select("loaded").unionByName(split.hot.select("loaded")).distinct()
+    assert loaded.count() == 1
 
 
 def test_no_hint_forces_a_broadcast(spark, skewed):
