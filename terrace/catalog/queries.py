@@ -391,13 +391,13 @@ def gold_customer_transactions(i: Inputs) -> DataFrame:
         "SELECT c.* EXCLUDE (customer_id, nr, gone, delivery), t.* FROM latest c "
         "JOIN silver_transactions t ON c.customer_id = t.customer_id",
         deliveries=_CUSTOMER_DELIVERIES,
-        latest=sql.scd1("deliveries", "customer_id", "city"),
+        latest=sql.scd1("deliveries", "customer_id", "delivery"),
     )
 )
 def gold_customer_transactions_current(i: Inputs) -> DataFrame:
-    """Both deliveries share a load time, so the larger city settles which is current."""
+    """Both deliveries share a load time, so their number settles which is current."""
     joined = bank.gold_cust_acc_trns_mv(
-        _customer_deliveries(i).drop("delivery"), _silver_transactions(i), current_only=True
+        _customer_deliveries(i), _silver_transactions(i), current_only=True, tiebreak=["delivery"]
     )
     return _without_load_times(joined)
 
@@ -710,9 +710,16 @@ def scd1_latest(i: Inputs) -> DataFrame:
 
 @query(sql.scd1("events", "user_id", _EVENT_ORDER, _LATEST))
 def scd1_out_of_order(i: Inputs) -> DataFrame:
-    """The feed in reverse order of time; sequence given as expressions."""
-    reverse = i.events.orderBy(F.desc("ts"), F.desc("event_id"))
-    return scd1(reverse, Cdc("user_id", (F.col("ts"), F.col("event_id"))))
+    """Loads that come newest first, each in reverse order of time; sequence given as expressions."""
+    cdc = Cdc("user_id", (F.col("ts"), F.col("event_id")))
+    folder = new_work_dir(i.spark, "reverse")
+    reverse = i.events.withColumn("load", F.col("event_id") % 3).repartitionByRange(6, F.desc("ts"), F.desc("event_id"))
+    reverse.sortWithinPartitions(F.desc("ts"), F.desc("event_id")).write.partitionBy("load").parquet(folder)
+    target = new_work_dir(i.spark, "out-of-order")
+    for load in (2, 0, 1):
+        feed = i.spark.read.parquet(folder).filter(F.col("load") == load).drop("load")
+        backfill(feed, cdc, TYPE_1, target, f"load-{load}")
+    return current_rows(i.spark, target, cdc)
 
 
 @query(sql.scd1("events", "user_id, event_type", _EVENT_ORDER, _LATEST))
@@ -980,6 +987,24 @@ def stream_scd1_after_backfill(i: Inputs) -> DataFrame:
     return current_rows(i.spark, f"{root}/table", cdc)
 
 
+@query(
+    sql.scd1(
+        "(SELECT user_id, ts, event_id, event_type, CASE WHEN event_id % 2 = 1 THEN value END AS value FROM events) e",
+        "user_id",
+        _EVENT_ORDER,
+        _LATEST,
+    )
+)
+def scd1_new_column(i: Inputs) -> DataFrame:
+    """Two flows into one table, of which the second brings a new column."""
+    cdc = Cdc("user_id", _SEQUENCE)
+    target = new_work_dir(i.spark, "new-column")
+    columns = ["user_id", "ts", "event_id", "event_type"]
+    backfill(i.events.filter("event_id % 2 = 0").select(*columns), cdc, TYPE_1, target, "narrow")
+    backfill(i.events.filter("event_id % 2 = 1").select(*columns, "value"), cdc, TYPE_1, target, "wide")
+    return current_rows(i.spark, target, cdc)
+
+
 # --- extensions -------------------------------------------------------------
 
 
@@ -997,14 +1022,27 @@ def quarantine_rows(i: Inputs) -> DataFrame:
 
 @query(
     sql.sales(
-        "SELECT *, md5('{\"customer_id\":' || CAST(customer_id AS STRING) || ',\"valid_from\":\"' || "
-        "CAST(valid_from AS STRING) || '\"}') AS surrogate_key FROM dim_customers"
+        "SELECT *, sha256(concat(len(customer_id::VARCHAR), ':', customer_id, len(valid_from::VARCHAR), ':', valid_from)) "
+        "AS surrogate_key FROM dim_customers"
     )
 )
 def dim_surrogate_keys(i: Inputs) -> DataFrame:
     return with_surrogate_key(sales.dim_customers(_customers_view(i)), ["customer_id"])
 
 
+@query(
+    "SELECT event_id, sha256(concat(len(user_id::VARCHAR), ':', user_id, len(moment::VARCHAR), ':', moment, "
+    "len(event_type), ':', event_type)) AS surrogate_key "
+    "FROM (SELECT *, epoch_us(ts) + event_id % 7 AS moment FROM events)"
+)
+def surrogate_keys_of_microseconds(i: Inputs) -> DataFrame:
+    """Versions of one user may be a microsecond apart, or share their start."""
+    at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7)
+    return with_surrogate_key(i.events.withColumn("valid_from", at), ["user_id"], further=["event_type"]).select(
+        "event_id", "surrogate_key"
+    )
+
+
 @query("SELECT event_id, user_id, event_type, value, props, ts FROM events")
 def stream_dedup_watermark(i: Inputs) -> DataFrame:
     """Every event arrives twice; each is kept once."""

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.operators.cdc import IS_CURRENT, VALID_FROM, VALID_TO
-from terrace.operators.ordered import fill_forward
+from terrace.operators.ordered import SLICE, fill_forward, find_hot_keys, per_key, settle, split_hot_keys
 from terrace.session import materialize
 
 INTERVAL = (VALID_FROM, VALID_TO, IS_CURRENT)
 # Versions per key up to which comparing a fact with all of them beats a sweep.
-MAX_VERSIONS = 32
+DEFAULT_MAX_VERSIONS = 32
 
 
 def inner_using(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -37,13 +38,70 @@ def current_versions(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col(VALID_TO).isNull())
 
 
-def with_surrogate_key(dim: DataFrame, keys: Sequence[str], name: str = "surrogate_key") -> DataFrame:
-    """A stable key per version: digest of the business key and ``valid_from``.
+def with_surrogate_key(
+    dim: DataFrame, keys: Sequence[str], name: str = "surrogate_key", further: Sequence[str] = ()
+) -> DataFrame:
+    """A stable key per version: digest of the business key, ``valid_from`` and ``further``.
 
-    It needs no sequence generator, so recomputing any partition gives the same keys.
+    ``further`` are the other sequence columns, where versions may share ``valid_from``. It
+    needs no sequence generator, so recomputing any partition gives the same keys, and
+    depends on the values alone, to the microsecond, not on the session's time zone.
     """
-    # JSON keeps NULL, empty and quoted key values apart.
-    return dim.withColumn(name, F.md5(F.to_json(F.struct(*keys, VALID_FROM))))
+    parts = [_exact_text(dim, c) for c in [*keys, VALID_FROM, *further]]
+    # Lengths keep neighbouring values apart, and NULL apart from empty text.
+    framed = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("~")) for p in parts]
+    return dim.withColumn(name, F.sha2(F.concat(*framed), 256))
+
+
+def _exact_text(df: DataFrame, column: str) -> Column:
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        raise TypeError(f"{column} is no plain value and can't be part of a surrogate key")
+    return value.cast("string")
+
+
+def _holds() -> Column:
+    """Versions with an empty interval never hold."""
+    return F.col(VALID_FROM).isNotNull() & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > F.col(VALID_FROM)))
+
+
+def overlapping_versions(dim: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """Versions that still hold when the next one of their key begins."""
+    versions = dim.filter(_holds()).select(*keys, VALID_FROM, VALID_TO)
+    hot = find_hot_keys(versions, keys, hot_rows)
+    split = split_hot_keys(settle(versions, hot), [VALID_FROM, VALID_TO], hot)
+
+    def late(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        after = F.lead(VALID_FROM).over(Window.partitionBy(*by).orderBy(VALID_FROM, VALID_TO))
+        found = rows.withColumn("next_from", after).filter("next_from IS NOT NULL")
+        return found.filter(F.col(VALID_TO).isNull() | (F.col(VALID_TO) > F.col("next_from"))).select(
+            *keys, VALID_FROM, VALID_TO, "next_from"
+        )
+
+    found = late(split.cold, keys)
+    if split.hot is None:
+        return found
+    last = F.max(F.struct(VALID_FROM, F.col(VALID_TO).isNull().alias("open"), VALID_TO))
+    edges = split.hot.groupBy(*keys, SLICE).agg(F.min(VALID_FROM).alias("first"), last.alias("last"))
+    edges = edges.withColumn("next_from", F.lead("first").over(per_key(keys, [SLICE]))).filter(
+        (F.col("last.open") & F.col("next_from").isNotNull()) | (F.col(f"last.{VALID_TO}") > F.col("next_from"))
+    )
+    between = edges.select(
+        *keys, F.col(f"last.{VALID_FROM}").alias(VALID_FROM), F.col(f"last.{VALID_TO}").alias(VALID_TO), "next_from"
+    )
+    return found.unionByName(late(split.hot, [*keys, SLICE])).unionByName(between)
+
+
+def require_no_overlap(dim: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame:
+    """``dim`` unchanged, or an error if versions of a key overlap."""
+    example = overlapping_versions(dim, keys, hot_rows).first()
+    if example is not None:
+        raise ValueError(f"versions of a key overlap: {example.asDict()}")
+    return dim
 
 
 def effective_date_join(
@@ -53,12 +111,14 @@ def effective_date_join(
     at: str,
     *,
     method: str = "auto",
+    max_versions: int = DEFAULT_MAX_VERSIONS,
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Each fact row with the attributes of the dimension version valid at its time ``at``.
 
-    Inner semantics: facts without a valid version are left out. The versions of a key
-    must not overlap, as those of a type 2 table never do.
+    Inner semantics: facts without a valid version are left out. Versions of a key that
+    overlap are an error, as those of a type 2 table never do; both ways then agree on
+    every input, and the choice between them is one of speed alone.
 
     ``sweep``  both sides are put in time order per key and the version is carried
                forward: linear in facts plus versions, also for keys with many of both,
@@ -66,14 +126,17 @@ def effective_date_join(
     ``range``  equi join with the interval as residual condition: compares every fact
                with every version of its key; a small dimension is broadcast and the
                facts then do not move
-    ``auto``   stores the dimension to learn its true size, then takes ``range`` if no
-               key has more than ``MAX_VERSIONS`` versions, else ``sweep``
+    ``auto``   takes ``range`` if no key has more than ``max_versions`` versions, else
+               ``sweep``
+
+    The dimension is stored, so that it is computed once and Spark knows its true size.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    dim = materialize(dim, "dimension")
+    require_no_overlap(dim, keys, hot_rows)
     if method == "auto":
-        dim = materialize(dim, "dimension")
         most = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
-        method = "range" if (most or 0) <= MAX_VERSIONS else "sweep"
+        method = "range" if (most or 0) <= max_versions else "sweep"
     if method == "range":
         return _range_join(fact, dim, keys, at)
     if method == "sweep":
@@ -95,9 +158,7 @@ def _sweep_join(fact: DataFrame, dim: DataFrame, keys: list[str], at: str, hot_r
         F.struct(*[c for c in fact.columns if c not in keys]).alias("_fact"),
     )
     names = attributes(dim, keys)
-    versions = dim.filter(
-        _present([*keys, VALID_FROM]) & (F.col(VALID_TO).isNull() | (F.col(VALID_TO) > F.col(VALID_FROM)))
-    ).select(
+    versions = dim.filter(_present(keys) & _holds()).select(
         *keys,
         F.col(VALID_FROM).alias("_at"),
         F.lit(0).alias("_kind"),

@@ -6,6 +6,8 @@ shuffle nothing, so they work on a batch frame and on a stream alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -142,14 +144,18 @@ def silver_accounts_transactions_transformed_scd2(silver: DataFrame, *tiebreak:
     return cdc.scd2(silver, transactions_cdc(*tiebreak))
 
 
-def gold_cust_acc_trns_mv(customers: DataFrame, transactions: DataFrame, *, current_only: bool = False) -> DataFrame:
+def gold_cust_acc_trns_mv(
+    customers: DataFrame, transactions: DataFrame, *, current_only: bool = False, tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """Customers joined with their transactions.
 
     A customer delivered twice doubles its transactions; ``current_only`` keeps the
-    latest row of each customer first.
+    latest row of each customer first. Rows of one load share their load time:
+    ``tiebreak`` names columns that put them in order, which are then left out.
     """
     if current_only:
-        customers = cdc.scd1(customers, Cdc("customer_id", "transformation_date"))
+        latest = Cdc("customer_id", ("transformation_date", *tiebreak), except_columns=list(tiebreak))
+        customers = cdc.scd1(customers, latest)
     return inner_using(customers, transactions, "customer_id")
 
 

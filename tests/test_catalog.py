@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import check
-from terrace.catalog import inputs
+from terrace.catalog import inputs, queries
 from terrace.operators import CENTS, Cdc, scd1, scd2
 from terrace.plans import bank, sales
 
@@ -22,14 +22,20 @@ def db():
     return check.database(FOLDER)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", queries.queries())
 def test_query_equals_its_answer(spark, db, name):
     _, differences = check.compare(spark, db, FOLDER, name)
     assert not differences
 
 
 def test_every_query_has_an_answer():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert queries.queries().keys() == queries.oracle_sql().keys()
+
+
+def test_all_of_the_catalog_is_registered():
+    assert queries.queries().keys() <= entry.queries().keys()
+    assert queries.oracle_sql().keys() <= entry.oracle_sql().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 def test_entry_is_the_flagship(spark):

@@ -4,7 +4,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.operators import joins
 from terrace.operators.joins import effective_date_join, inner_using, with_surrogate_key
 from terrace.operators.totals import CENTS
 from terrace.plans import bank, sales
@@ -61,16 +60,25 @@ def test_effective_date_join_against_brute_force(spark, method, hot_rows):
     assert rows(joined) == brute(fact, dim)
 
 
-def test_auto_sweeps_where_a_key_has_many_versions(spark, monkeypatch):
+def test_auto_sweeps_where_a_key_has_many_versions(spark):
     fact, dim = random_star(2)
     frames = spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM)
     assert "Window" not in plan(effective_date_join(*frames, "k", "at"))
-    monkeypatch.setattr(joins, "MAX_VERSIONS", 3)
-    swept = effective_date_join(*frames, "k", "at")
+    swept = effective_date_join(*frames, "k", "at", max_versions=3)
     assert "Window" in plan(swept) and "Join" not in plan(swept)
     assert rows(swept) == brute(fact, dim)
 
 
+@pytest.mark.parametrize("method", ["sweep", "range", "auto"])
+@pytest.mark.parametrize("hot_rows", [None, 2])
+@pytest.mark.parametrize("extra", [(1, "open", 0, None), (1, "late", 25, 31), (1, "twin", 40, 45)])
+def test_overlapping_versions_are_an_error(spark, method, hot_rows, extra):
+    dim = [(1, str(k), k, k + 10) for k in range(0, 60, 10)] + [extra]
+    frames = spark.createDataFrame([(1, 1, 5, 1.0)], FACT), spark.createDataFrame(dim, DIM)
+    with pytest.raises(ValueError, match="overlap"):
+        effective_date_join(*frames, "k", "at", method=method, hot_rows=hot_rows)
+
+
 def test_timestamp_fact_with_date_versions(spark):
     fact = spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 12))], "k int, at timestamp_ntz")
     dim = spark.createDataFrame(
@@ -88,6 +96,20 @@ def test_surrogate_keys_are_unique_and_stable(spark):
     assert same_rows(keyed, with_surrogate_key(dim.repartition(3), ["k"]).select("surrogate_key"))
 
 
+def test_surrogate_keys_tell_microseconds_and_ignore_the_time_zone(spark):
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    data = [("a", at + dt.timedelta(microseconds=m), n) for m in (100, 200) for n in (1, 2)]
+    dim = spark.createDataFrame(data, "k string, valid_from timestamp, number int")
+    keys = []
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            keys.append(rows(with_surrogate_key(dim, ["k"], further=["number"]), "surrogate_key"))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert keys[0] == keys[1] and len(set(keys[0])) == 4
+
+
 # --- business sales ---------------------------------------------------------
 
 
