@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A join of a hot key is split even where that costs the aggregate above it a shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # Clean-up stages are long lists of expressions. Methods above this size are not
     # compiled by the JVM, so such stages run faster operator by operator.

@@ -88,6 +88,11 @@ class _Flow:
         return [p for p in older if p not in kept] + deltas
 
 
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """What is stored, with the columns of all batches; a column that changed its type is an error."""
+    return spark.read.option("mergeSchema", "true").parquet(*paths)
+
+
 def _check(kind: int) -> None:
     if kind not in (TYPE_1, TYPE_2):
         raise ValueError(f"kind must be {TYPE_1} or {TYPE_2}, not {kind}")
@@ -109,10 +114,10 @@ def _compact(flow: _Flow, cdc: Cdc, batch: int) -> None:
         return
     deltas = [flow.delta(b) for b in new]
     if flow.kind == TYPE_1:
-        stored = flow.spark.read.parquet(*[flow.run(*r) for r in runs], *deltas)
+        stored = _read(flow.spark, [*[flow.run(*r) for r in runs], *deltas])
         scd1_merge(stored, cdc).write.mode("overwrite").parquet(flow.run(0, new[-1]))
         return
-    changes = flow.spark.read.parquet(*deltas)
+    changes = _read(flow.spark, deltas)
     order = [*cdc.key_list, *cdc.order_list]
     (
         changes.repartitionByRange(*order)
@@ -178,7 +183,7 @@ def _stored(spark: SparkSession, target: str, kind: int) -> DataFrame:
     paths = [p for f in _children(spark, target) for p in _Flow(spark, f"{target}/{f}", kind).paths()]
     if not paths:
         raise ValueError(f"no complete batch below {target}")
-    return spark.read.parquet(*paths)
+    return _read(spark, paths)
 
 
 def current_rows(spark: SparkSession, target: str, cdc: Cdc) -> DataFrame:
@@ -186,6 +191,15 @@ def current_rows(spark: SparkSession, target: str, cdc: Cdc) -> DataFrame:
     return scd1_rows(scd1_merge(_stored(spark, target, TYPE_1), cdc), cdc)
 
 
-def history(spark: SparkSession, target: str, cdc: Cdc) -> DataFrame:
-    """The type 2 table at ``target``. A filter on the keys reaches the stored files."""
-    return scd2(_stored(spark, target, TYPE_2), cdc)
+def history(spark: SparkSession, target: str, cdc: Cdc, where: str | None = None) -> DataFrame:
+    """The type 2 table at ``target``.
+
+    ``where`` is a condition on the keys. It reaches the stored files, also for the search
+    for hot keys, which runs when the frame is built.
+    """
+    log = _stored(spark, target, TYPE_2)
+    if where is not None:
+        # A condition on other columns would take changes out of a version's history.
+        spark.createDataFrame([], log.select(*cdc.key_list).schema).filter(where)
+        log = log.filter(where)
+    return scd2(log, cdc)

@@ -11,7 +11,7 @@ from terrace.plans import bank, runs
 from terrace.sources import read_csv, stream_csv, stream_parquet, with_audit_columns
 from terrace.streaming import backfill, change_tables, current_rows, dedup_within_watermark, finish, history, remove_covered, stream_scd, write_stream
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
-from tests.helpers import rows, same_rows
+from tests.helpers import plan, rows, same_rows
 
 SCHEMA = "k int, seq int, a string, op string"
 
@@ -251,3 +251,27 @@ def test_bank_chain_twice(spark, tmp_path):
     assert "transformation_date" not in current.columns
     versions = history(spark, t.path("silver_accounts_transactions_transformed_scd2"), bank.transactions_cdc())
     assert versions.filter("is_current").count() == 3
+
+
+@pytest.mark.parametrize("kind", [TYPE_1, TYPE_2])
+def test_new_columns_are_kept_and_changed_types_rejected(spark, tmp_path, kind):
+    cdc = Cdc("k", "s")
+    target = f"{tmp_path}/t"
+    backfill(spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, s int, a string"), cdc, kind, target, "narrow")
+    backfill(spark.createDataFrame([(1, 2, "c", 7)], "k int, s int, a string, b int"), cdc, kind, target, "wide")
+    got = current_rows(spark, target, cdc) if kind == TYPE_1 else history(spark, target, cdc).filter("is_current")
+    assert rows(got, "k", "s", "a", "b") == [(1, 2, "c", 7), (2, 1, "b", None)]
+    backfill(spark.createDataFrame([(3, 3, True, 1)], "k int, s int, a boolean, b int"), cdc, kind, target, "other")
+    with pytest.raises(Exception, match="(?i)merg"):
+        (current_rows if kind == TYPE_1 else history)(spark, target, cdc)
+
+
+def test_key_condition_of_a_history_reaches_the_files(spark, tmp_path):
+    cdc, target = Cdc("k", "s"), f"{tmp_path}/t"
+    data = spark.createDataFrame([(k % 5, k, str(k)) for k in range(50)], "k int, s int, a string")
+    backfill(data, cdc, TYPE_2, target)
+    one = history(spark, target, cdc, where="k = 3")
+    assert "EqualTo(k,3)" in plan(one)
+    assert same_rows(one, history(spark, target, cdc).filter("k = 3"))
+    with pytest.raises(Exception, match="(?i)resolve|column"):
+        history(spark, target, cdc, where="a = '3'")
