@@ -101,7 +101,8 @@ def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     """One row per document: doc_id, n_lines (with a word), n_removed, n_runs, kept (text)."""
     gone = stored(repeated_lines(docs, run), "gone").withColumnRenamed("doc_id", "gone_id")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    held = rows.join(gone, F.col("doc_id") == F.col("gone_id"), "left")
+    # Sorted and merged at any size: what is moved then grows as the texts do.
+    held = rows.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left")
     none = F.array().cast("array<int>")
     ats = F.transform(lines_of(F.col("text")), lambda x: x["at"])
     return (
