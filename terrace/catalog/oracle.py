@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from terrace import fixed_values as fixed
 from terrace.catalog import inputs
 
 AS_OF = "2024-01-01"
 AS_OF_SQL = f"DATE '{AS_OF}'"
 
 
-def _in(values: Sequence[str]) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
-
-
 def customers_clean(source: str) -> str:
     return f"""
 SELECT customer_id, upper(name) AS name, dob,
@@ -27,9 +22,11 @@ SELECT customer_id, upper(name) AS name, dob,
 FROM {source}"""
 
 
-KNOWN = f"""regexp_matches(phone_number, '{fixed.PHONE_UK}')
- AND preferred_channel IN {_in(fixed.PREFERRED_CHANNELS)}
- AND income_range IN {_in(fixed.INCOME_RANGES)} AND risk_segment IN {_in(fixed.RISK_SEGMENTS)}"""
+# Spelt out, so that a wrong pattern or list in the library shows.
+KNOWN = """regexp_full_match(phone_number, '\\+44\\d{10}')
+ AND preferred_channel IN ('ATM', 'BRANCH', 'MOBILE', 'ONLINE')
+ AND income_range IN ('HIGH', 'LOW', 'MEDIUM', 'VERY HIGH') AND risk_segment IN ('HIGH', 'LOW', 'MEDIUM')"""
+EMAIL_LOOSE = "^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+.[a-zA-Z]{2,}$"
 
 
 def email_ok(pattern: str) -> str:
@@ -42,7 +39,7 @@ CUSTOMER_RULES = [
     ("valid_dob", "drop", "dob IS NOT NULL"),
     ("valid_city", "drop", "city IS NOT NULL"),
     ("valid_join_date", "drop", "join_date IS NOT NULL"),
-    ("valid_email", "drop", email_ok(fixed.EMAIL_LOOSE)),
+    ("valid_email", "drop", email_ok(EMAIL_LOOSE)),
     ("valid_phone_number", "drop", "phone_number IS NOT NULL"),
     ("valid_preferred_channel", "drop", "preferred_channel IS NOT NULL"),
     ("valid_occupation", "drop", "occupation IS NOT NULL"),
@@ -51,7 +48,17 @@ CUSTOMER_RULES = [
     ("valid_gender", "warn", "gender IS NOT NULL"),
     ("valid_status", "warn", "status IS NOT NULL"),
 ]
-ACCOUNT_RULES = [(n, "drop", p) for n, p in fixed.ACCOUNT_DROP_RULES.items()]
+ACCOUNT_RULES = [
+    ("valid_account_id", "drop", "account_id IS NOT NULL"),
+    ("valid_customer_id", "drop", "customer_id IS NOT NULL"),
+    ("valid_txn_id", "drop", "txn_id IS NOT NULL"),
+    ("account_type", "drop", "account_type IS NOT NULL"),
+    ("valid_balance", "drop", "balance IS NOT NULL"),
+    ("valid_txn_date", "drop", "txn_date IS NOT NULL"),
+    ("valid_txn_amount", "drop", "txn_amount IS NOT NULL"),
+    ("valid_txn_type", "drop", "txn_type IS NOT NULL"),
+    ("valid_txn_channel", "drop", "txn_channel IS NOT NULL"),
+]
 
 
 def passes(rules: Sequence[tuple[str, str, str]]) -> str:

@@ -47,10 +47,12 @@ from terrace.sources import (
 )
 from terrace.streaming import (
     backfill,
+    count_rules,
     current_rows,
     dedup_within_watermark,
     finish,
     history,
+    rule_totals,
     stream_scd,
     write_stream,
 )
@@ -351,14 +353,19 @@ _TRANSACTION_COLUMNS = [
     )
 )
 def silver_transactions_scd2(i: Inputs) -> DataFrame:
-    feed = _transaction_deliveries(i)
-    return scd2(feed, Cdc("txn_id", "delivery", except_columns=["acc_transformation_date", "delivery"]))
+    """The number of the delivery stands in for its load time, which SQL can't know."""
+    feed = _transaction_deliveries(i).withColumn("acc_transformation_date", F.col("delivery")).drop("delivery")
+    return bank.silver_accounts_transactions_transformed_scd2(feed)
 
 
 @query(sql.bank("SELECT * FROM silver_customers"))
 def view_passthrough(i: Inputs) -> DataFrame:
+    """A view over a stream, read by a stream."""
+    silver = _silver_customers(i)
+    stream = stream_parquet(i.spark, _parquet_folder(silver, "silver_customers", 2), silver.schema)
     name = f"silver_customers_transformed_view_{uuid.uuid4().hex}"
-    return save_view(_silver_customers(i), name).drop("transformation_date")
+    view = save_view(bank.silver_customers_transformed_view(stream), name)
+    return _append_and_read(view, "view").drop("transformation_date")
 
 
 @query(sql.bank("SELECT * FROM silver_transactions"))
@@ -939,6 +946,18 @@ def stream_bank_chain(i: Inputs) -> DataFrame:
     return layers.read("gold_cust_acc_trans_agg")
 
 
+@query(sql.bank(sql.report("accounts_clean", sql.ACCOUNT_RULES)))
+def stream_quality_report(i: Inputs) -> DataFrame:
+    """Rule counts of a stream over all its micro-batches."""
+    raw = i.accounts_raw
+    cleaned = bank.clean_accounts(
+        stream_parquet(i.spark, _parquet_folder(raw, "accounts", 3), raw.schema, max_files=1)
+    )
+    root = new_work_dir(i.spark, "rules")
+    finish(count_rules(cleaned, bank.account_rules(), path=f"{root}/counts", checkpoint=f"{root}/checkpoint"))
+    return rule_totals(i.spark, f"{root}/counts")
+
+
 @query(sql.sales(sql.business("as_of")))
 def stream_sales_chain(i: Inputs) -> DataFrame:
     def stream(df: DataFrame, label: str) -> DataFrame:
@@ -1045,7 +1064,21 @@ def surrogate_keys_of_microseconds(i: Inputs) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type, value, props, ts FROM events")
 def stream_dedup_watermark(i: Inputs) -> DataFrame:
-    """Every event arrives twice; each is kept once."""
-    twice = append_flows(_event_stream(i), _event_stream(i))
+    """Events come in order of time, a quarter of the span in each micro-batch, and again: at
+    once, in the next batch if they are within the delay, and, if long past it, in the last."""
+    second = F.expr("unix_timestamp(ts)")
+    first, last = i.events.agg(F.min(second), F.max(second)).first()
+    quarter = F.least(F.floor((second - first) * 4 / (last - first + 1)), F.lit(3))
+    events = i.events.withColumn("quarter", quarter.cast("int"))
+    newest = {r.quarter: r.newest for r in events.groupBy("quarter").agg(F.max(second).alias("newest")).collect()}
+    folder = new_work_dir(i.spark, "events_again")
+    for n in sorted(newest):
+        own = F.col("quarter") == n
+        recent = (F.col("quarter") == n - 1) & (second > newest.get(n - 1, 0) - 50 * 60)
+        late = (F.col("quarter") == 0) & F.lit(n == 3)
+        copies = F.when(own, 2).when(recent | late, 1).otherwise(0)
+        batch = events.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+        batch.select(*i.events.columns).coalesce(1).write.mode("append").parquet(folder)
+    twice = stream_parquet(i.spark, folder, i.events.schema, max_files=1)
     kept = _append_and_read(dedup_within_watermark(twice, ["event_id"], "ts", "1 hour"), "events_once")
     return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -7,8 +7,10 @@ BANK = named(
     bank.bronze_customers_clean,
     bank.bronze_accounts_clean,
     bank.silver_customers_transformed,
+    bank.silver_customers_transformed_view,
     bank.silver_customers_transformed_scd1,
     bank.silver_accounts_transactions_transformed,
+    bank.silver_accounts_transactions_transformed_view,
     bank.silver_accounts_transactions_transformed_scd2,
     bank.gold_cust_acc_trns_mv,
     bank.gold_cust_acc_trans_agg,

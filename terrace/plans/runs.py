@@ -7,6 +7,7 @@ the stored silver tables. Calls repeat safely, since all progress is in the chec
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,14 @@ from pyspark.sql.types import StructType
 
 from terrace import fixed_values as fixed
 from terrace.functions.dates import AsOf
+from terrace.operators.append import append_flows
 from terrace.operators.cdc import Cdc
+from terrace.operators.datasets import save_view
+from terrace.operators.quality import Rule
 from terrace.plans import bank, sales
 from terrace.sources import stream_csv, stream_parquet
 from terrace.streaming.change_tables import TYPE_1, TYPE_2, current_rows, history, stream_scd
+from terrace.streaming.quality import count_rules, rule_totals
 from terrace.streaming.sinks import finish, write_stream
 
 
@@ -64,9 +69,38 @@ class Layers:
             ]
         )
 
+    def count_rules(self, **datasets: tuple[DataFrame, list[Rule]]) -> None:
+        """Bring the rule counts of datasets up to date, over the rows before any is dropped."""
+        finish(
+            *[
+                count_rules(df, rule_list, path=self.quality_path(name), checkpoint=self.checkpoint(f"{name}_rules"))
+                for name, (df, rule_list) in datasets.items()
+            ]
+        )
+
+    def quality_path(self, dataset: str) -> str:
+        return f"{self.root}/quality/{dataset}"
+
+    def quality(self, dataset: str) -> DataFrame:
+        """Rule, action, passed and violations of a dataset over all runs."""
+        return rule_totals(self.spark, self.quality_path(dataset))
+
     def materialize(self, dataset: str, df: DataFrame) -> DataFrame:
-        """Recompute a dataset in full."""
-        df.write.mode("overwrite").parquet(self.path(dataset))
+        """Recompute a dataset in full.
+
+        It is written beside the last one, which stays as it is if that fails, and then
+        takes its place.
+        """
+        path = self.path(dataset)
+        new, old = (f"{self.root}/replaced/{dataset}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+        df.write.parquet(new)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(hadoop(path).getParent())
+        if fs.exists(hadoop(path)):
+            fs.rename(hadoop(path), hadoop(old))
+        fs.rename(hadoop(new), hadoop(path))
+        fs.delete(hadoop(old), True)
         self._schemas[dataset] = df.schema
         return self.read(dataset)
 
@@ -97,6 +131,13 @@ def run_bank(
         bronze_customers_clean=bank.bronze_customers_clean(t.stream("landing_customers_incremental")),
         bronze_accounts_clean=bank.bronze_accounts_clean(t.stream("landing_accounts_incremental")),
     )
+    t.count_rules(
+        bronze_customers_clean=(
+            bank.clean_customers(t.stream("landing_customers_incremental")),
+            bank.customer_rules(),
+        ),
+        bronze_accounts_clean=(bank.clean_accounts(t.stream("landing_accounts_incremental")), bank.account_rules()),
+    )
     t.append(
         silver_customers_transformed=bank.silver_customers_transformed(t.stream("bronze_customers_clean"), as_of),
         silver_accounts_transactions_transformed=bank.silver_accounts_transactions_transformed(
@@ -115,6 +156,14 @@ def run_bank(
             TYPE_2,
         ),
     )
+    save_view(
+        bank.silver_customers_transformed_view(t.stream("silver_customers_transformed")),
+        "silver_customers_transformed_view",
+    )
+    t.materialize(
+        "silver_accounts_transactions_transformed_view",
+        bank.silver_accounts_transactions_transformed_view(t.read("silver_accounts_transactions_transformed")),
+    )
     joined = t.materialize(
         "gold_cust_acc_trns_mv",
         bank.gold_cust_acc_trns_mv(
@@ -142,6 +191,11 @@ def run_sales(
         products_stg=sales.products_stg(products),
         sales_stg=sales.sales_stg(*feeds),
     )
+    t.count_rules(
+        customers_stg=(customers, sales.customer_rules()),
+        products_stg=(products, sales.product_rules()),
+        sales_stg=(append_flows(*feeds), sales.sales_rules()),
+    )
     customers_view = sales.customers_enr_view(t.stream("customers_stg"))
     products_view = sales.products_enr_view(t.stream("products_stg"))
     sales_view = sales.sales_enr_view(t.stream("sales_stg"))

@@ -10,7 +10,7 @@ from terrace.operators import cdc
 from terrace.operators.append import append_flows
 from terrace.operators.cdc import Cdc
 from terrace.operators.joins import current_versions, effective_date_join
-from terrace.operators.quality import DROP, WARN, expect, rules
+from terrace.operators.quality import DROP, WARN, Rule, expect, rules
 from terrace.operators.totals import money_sum
 
 CUSTOMERS = Cdc("customer_id", "last_updated")
@@ -22,19 +22,31 @@ CURRENT = "current"
 AS_OF = "as_of"
 
 
+def customer_rules() -> list[Rule]:
+    return rules(fixed.SALES_CUSTOMER_RULES, WARN)
+
+
+def product_rules() -> list[Rule]:
+    return rules(fixed.SALES_PRODUCT_RULES, WARN)
+
+
+def sales_rules() -> list[Rule]:
+    return rules(fixed.SALES_RULES, DROP)
+
+
 def customers_stg(source: DataFrame, observe: Observation | str | None = None) -> DataFrame:
     """Customer changes as delivered; rule violations are counted and kept."""
-    return expect(source, rules(fixed.SALES_CUSTOMER_RULES, WARN), observe)
+    return expect(source, customer_rules(), observe)
 
 
 def products_stg(source: DataFrame, observe: Observation | str | None = None) -> DataFrame:
     """Product changes as delivered; rule violations are counted and kept."""
-    return expect(source, rules(fixed.SALES_PRODUCT_RULES, WARN), observe)
+    return expect(source, product_rules(), observe)
 
 
 def sales_stg(*feeds: DataFrame, observe: Observation | str | None = None) -> DataFrame:
     """Regional feeds in one frame; the rules hold for every feed."""
-    return expect(append_flows(*feeds), rules(fixed.SALES_RULES, DROP), observe)
+    return expect(append_flows(*feeds), sales_rules(), observe)
 
 
 def customers_enr_view(staged: DataFrame) -> DataFrame:

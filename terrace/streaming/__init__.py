@@ -1,14 +1,17 @@
 from terrace.streaming.change_tables import backfill, current_rows, history, remove_covered, stream_scd
 from terrace.streaming.dedup import dedup_within_watermark
+from terrace.streaming.quality import count_rules, rule_totals
 from terrace.streaming.sinks import finish, write_stream
 
 __all__ = [
     "backfill",
+    "count_rules",
     "current_rows",
     "dedup_within_watermark",
     "finish",
     "history",
     "remove_covered",
+    "rule_totals",
     "stream_scd",
     "write_stream",
 ]

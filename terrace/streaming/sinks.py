@@ -42,7 +42,3 @@ def finish(*queries: StreamingQuery) -> None:
     if failures:
         raise failures[0]
 
-
-def rows_read(query: StreamingQuery) -> int:
-    """Input rows of the batches the query still reports."""
-    return sum(p.numInputRows for p in query.recentProgress)
