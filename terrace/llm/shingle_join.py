@@ -12,10 +12,10 @@ is cut into fragments, and each fragment is joined on its own:
 4. For a pair, the overlap is counted in each fragment by itself and summed per pair.
 
 Which pairs: per prefix shingle, first every document with one leader, the document with
-the fewest shingles of its own; then, per shingle, members of different components that
-the leaders' links left. Pairs within a component need no count, so a group of thousands
-of near copies costs about one pair for each; nothing is capped, and every pair that could
-join two components is counted. Documents with equal sets are one member throughout; a
+the fewest shingles of its own; then, within each leader's group, members that are not in
+its largest component with all others, in blocks that a task holds (``links_across``).
+Pairs within a component need no count; pairs are never rows there, only links that join
+components. Nothing is capped, and every pair that could join two is counted. Documents with equal sets are one member throughout; a
 task packs a set it has seen only once, so copies hardly add to the exchange.
 
 Shingles are 64-bit hashes of word sequences, compared by 48 bits and their fragment.
@@ -55,6 +55,8 @@ FRAGMENT_BYTES = 24 << 20
 PACK_BYTES = 8 << 20
 #: Fragments are put together to so many for counting overlaps of pairs.
 COUNTED_IN = 8
+#: Members of a group, of either side, that are compared in one task.
+BLOCK = 512
 #: Sets that a task remembers, to pack equal ones once.
 REMEMBERED = 100_000
 PACKED = "fragment int, docs binary, counts binary, data binary"
@@ -169,7 +171,13 @@ def segments(packed: DataFrame) -> DataFrame:
         docs = np.concatenate([from_planes(d, 8, np.int64) for d in rows["docs"]])
         counts = np.concatenate([from_planes(c, 4, np.uint32) for c in rows["counts"]])
         h = np.concatenate([from_planes(d, 6, np.uint64) for d in rows["data"]])
-        owner = np.repeat(np.arange(len(docs), dtype=np.int32), counts)
+        known, number = np.unique(docs, return_inverse=True)
+        owner = np.repeat(number.astype(np.int32), counts)
+        if len(known) < len(docs):
+            # A row that is given twice holds its shingles once.
+            once = np.unique(np.stack([h, owner.astype(np.uint64)], axis=1), axis=0)
+            h, owner = once[:, 0], once[:, 1].astype(np.int32)
+        docs = known
         order = np.argsort(h)
         h = h[order]
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
@@ -210,6 +218,99 @@ def could_link(n: str, m: str, s: str, t: str) -> Column:
     return linked(F.least(F.col(s), F.col(t), F.col(n), F.col(m)), F.col(n), F.col(m))
 
 
+def links_across(groups: DataFrame, label: DataFrame, parts: DataFrame) -> DataFrame:
+    """Links that join components, within the group of each leader.
+
+    Members outside the group's largest component are compared with all members, in blocks
+    of at most about ``BLOCK`` of either, so that a task holds no whole group. Overlaps
+    are counted shingle range by shingle range and summed per pair inside the block; of the
+    links found a block returns those that join its components, fewer than its members.
+    """
+    members = groups.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "leader", "doc_id", F.col("m").alias("n"), F.coalesce("component", "doc_id").alias("component")
+    )
+    members = stored(members, "members")
+    split = (
+        members.groupBy("leader", "component")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .groupBy("leader")
+        .agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"))
+        .select("leader", F.col("top.component").alias("top"), "all", (F.col("all") - F.col("top.size")).alias("rest"))
+        .filter("rest > 0")
+    )
+    blocks = lambda size: F.ceil(F.col(size) / BLOCK).cast("int")
+    dealt = members.join(split, "leader").withColumn("deal", F.xxhash64("doc_id"))
+    one = dealt.filter("component <> top").select(
+        "leader", "doc_id", "n", "component", F.lit(True).alias("outside"),
+        F.pmod("deal", blocks("rest")).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), blocks("all") - 1)).alias("y"),
+    )
+    all_ = dealt.select(
+        "leader", "doc_id", "n", "component", F.lit(False).alias("outside"),
+        F.explode(F.sequence(F.lit(0), blocks("rest") - 1)).alias("x"), F.pmod("deal", blocks("all")).cast("int").alias("y"),
+    )
+    sets = parts.groupBy("doc_id").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        outside = table["outside"].to_numpy()
+        sides = [table.filter(pa.array(outside)), table.filter(pa.array(~outside))]
+        if not all(t.num_rows for t in sides):
+            return schema.empty_table()
+        doc, n, component = ([t[c].to_numpy() for t in sides] for c in ("doc_id", "n", "component"))
+        common = counted(*([np.asarray(x) for x in t["tokens"].to_numpy()] for t in sides))
+        linked_here = (7 * common >= 3 * (n[0][:, None] + n[1][None, :])) & (
+            component[0][:, None] != component[1][None, :]
+        )
+        i, j = np.nonzero(linked_here)
+        # One link for each pair of components, and of those no more than join them.
+        _, first = np.unique(np.stack([component[0][i], component[1][j]]), axis=1, return_index=True)
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.setdefault(c, c) != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        rows = []
+        for k in first.tolist():
+            p, q = find(int(component[0][i[k]])), find(int(component[1][j[k]]))
+            if p != q:
+                root[p] = q
+                rows.append((int(doc[0][i[k]]), int(doc[1][j[k]])))
+        return pa.Table.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in (0, 1)], schema=schema)
+
+    return one.unionByName(all_).join(sets, "doc_id").groupBy("leader", "x", "y").applyInArrow(compare, "a long, b long")
+
+
+def counted(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Overlap of every set on the left with every one on the right.
+
+    The tokens that both sides have are cut into ranges of ``width``; the overlaps in each
+    are counted by themselves, as a product of two 0/1 matrices, and added up.
+    """
+    total = np.zeros((len(left), len(right)), np.int64)
+    token, owner = [], []
+    for sets in (left, right):
+        token.append(np.concatenate(sets))
+        owner.append(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+    both = np.intersect1d(*token)
+    place = [np.searchsorted(both, t) for t in token]
+    held = [(p < len(both)) & (both[np.minimum(p, len(both) - 1)] == t) if len(both) else p < 0 for p, t in zip(place, token, strict=True)]
+    place, owner = ([x[h] for x, h in zip(xs, held, strict=True)] for xs in (place, owner))
+    order = [np.argsort(p, kind="stable") for p in place]
+    place, owner = ([x[o] for x, o in zip(xs, order, strict=True)] for xs in (place, owner))
+    for start in range(0, len(both), width):
+        size = min(width, len(both) - start)
+        matrices = []
+        for p, o, sets in zip(place, owner, (left, right), strict=True):
+            a, b = np.searchsorted(p, [start, start + size])
+            m = np.zeros((len(sets), size), np.float32)
+            m[o[a:b], p[a:b] - start] = 1
+            matrices.append(m)
+        total += (matrices[0] @ matrices[1].T).astype(np.int64)
+    return total
+
+
 def shingle_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     fragments = fragments_for(docs, FRAGMENT_BYTES)
@@ -229,18 +330,17 @@ def shingle_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         classes.select(F.col("member").alias("doc_id"), "n")
         .join(counts, "doc_id")
         .filter(F.col("s") >= needed(F.col("n")))
-        # A packed document that was given twice is counted twice; its size bounds it.
-        .select("doc_id", "n", F.least("s", "n").alias("s")),
+        .select("doc_id", "n", "s"),
         "able",
     )
     held = shared.select("doc_id", "fragment", "tokens", "freqs").join(able, "doc_id")
     parts = stored(
         held.groupBy("doc_id", F.pmod("fragment", F.lit(COUNTED_IN)).alias("part")).agg(
-            F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("tokens")
+            F.flatten(F.collect_list("tokens")).alias("tokens")
         ),
         "parts",
     )
-    ordered = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("freqs", "tokens")))))
+    ordered = F.sort_array(F.flatten(F.collect_list(F.arrays_zip("freqs", "tokens"))))
     length = (F.col("s") - needed(F.col("n")) + 1).cast("int")
     prefix = stored(
         held.groupBy("doc_id", "n", "s")
@@ -252,47 +352,22 @@ def shingle_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     # The leader of a shingle: the document with the fewest shingles that no other has.
     lead = F.min(F.struct((F.col("n") - F.col("s")).alias("own"), "doc_id", "n", "s"))
     leaders = prefix.groupBy("token").agg(lead.alias("lead"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
-    stars = stored(
+    # Two documents that share a prefix shingle share its leader's group, with it.
+    groups = stored(
         prefix.join(leaders, "token")
-        .select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("lead.n").alias("n"),
-                F.col("n").alias("m"), F.col("lead.s").alias("s"), F.col("s").alias("t"))
-        .filter((F.col("a") != F.col("b")) & could_link("n", "m", "s", "t"))
-        .select("a", "b", "n", "m")
+        .select(F.col("lead.doc_id").alias("leader"), F.col("lead.n").alias("n"), F.col("lead.s").alias("s"),
+                "doc_id", F.col("n").alias("m"), F.col("s").alias("t"))
         .distinct(),
-        "stars",
+        "groups",
     )
-    links = stored(overlaps(stars, parts), "links")
-    label = connected(links)
-    member = prefix.join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "token", "doc_id", "n", "s", F.coalesce("component", "doc_id").alias("component")
-    )
-    member = stored(member, "members")
-    largest = (
-        member.groupBy("token", "component")
-        .agg(F.count(F.lit(1)).alias("size"))
-        .groupBy("token")
-        .agg(F.count(F.lit(1)).alias("components"), F.max(F.struct("size", "component")).alias("top"))
-        .filter("components > 1")
-        .select("token", F.col("top.component").alias("top"))
-    )
-    split = stored(member.join(largest, "token"), "split")
-    x = split.filter("component <> top").select(
-        "token", F.col("doc_id").alias("a"), F.col("n"), F.col("s"), F.col("component").alias("c")
+    stars = stored(
+        groups.filter((F.col("leader") != F.col("doc_id")) & could_link("n", "m", "s", "t")).select(
+            F.col("leader").alias("a"), F.col("doc_id").alias("b"), "n", "m"
+        ),
+        "stars",
     )
-    y = split.select(
-        "token", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("s").alias("t"),
-        F.col("component").alias("d"), (F.col("component") == F.col("top")).alias("in_top"),
-    )
-    across = (
-        x.join(y, "token")
-        .filter("c <> d AND (in_top OR a < b)")
-        .filter(could_link("n", "m", "s", "t"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                F.when(F.col("a") < F.col("b"), F.col("n")).otherwise(F.col("m")).alias("n"),
-                F.when(F.col("a") < F.col("b"), F.col("m")).otherwise(F.col("n")).alias("m"))
-        .distinct()
-    )
-    more = stored(overlaps(stored(across, "across"), parts), "links")
+    links = stored(overlaps(stars, parts), "links")
+    more = stored(links_across(groups, connected(links), parts), "links-across")
     label = connected(links.union(more))
     # Classes of equal sets join their member's component; its id is the smallest of all.
     named = classes.join(label.withColumnRenamed("id", "member"), "member", "left").withColumn(
