@@ -13,8 +13,11 @@ of runs and stay. Strings are compared by the 64-bit hashes of each of their lin
 Positions are counted and their firsts found before the shuffle where they can be, and
 Spark splits a fingerprint that a third of the documents hold.
 
+With ``words``, runs of fewer lines count as well if they have that many words together:
+each is a string of its own besides the fingerprints', as long lines are few for their text.
+
 Defined cases: null texts have no lines and an empty kept text; texts of fewer lines than
-a run stay whole; repeated rows (same id) do not remove each other and give repeated rows;
+a run stay whole unless ``words`` says otherwise; repeated rows (same id) do not remove each other and give repeated rows;
 rows with a null id stay whole and remove nothing; an empty table gives none; other
 columns take no part.
 """
@@ -51,7 +54,37 @@ def fingerprints(lines: Column, run: int = RUN) -> Column:
     return F.array_distinct(F.transform(starts, least))
 
 
-def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def long_strings(docs: DataFrame, run: int, words: int) -> DataFrame:
+    """doc_id, start, hashes, ats: the strings of fewer than ``run`` lines with ``words`` words or more."""
+    lines = F.col("lines")
+    numbered = F.transform(
+        F.split("text", "\n", -1),
+        lambda line, k: F.struct(k.alias("at"), F.xxhash64(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("n")),
+    )
+
+    def of(size: int) -> Column:
+        """All strings of ``size`` lines that are long enough."""
+
+        def string(line: Column, k: Column) -> Column:
+            part = F.slice(lines, k + 1, size)
+            return F.struct(
+                k.alias("start"),
+                F.transform(part, lambda x: x["hash"]).alias("hashes"),
+                F.transform(part, lambda x: x["at"]).alias("ats"),
+                F.aggregate(part, F.lit(0), lambda n, x: n + x["n"]).alias("n"),
+            )
+
+        return F.filter(F.transform(lines, string), lambda x: (F.size(x["ats"]) == size) & (x["n"] >= words))
+
+    return (
+        docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+        .select(F.col("doc_id").cast("long"), F.filter(numbered, lambda x: x["n"] > 0).alias("lines"))
+        .select("doc_id", F.explode(F.concat(*(of(size) for size in range(1, run)))).alias("string"))
+        .select("doc_id", "string.start", "string.hashes", "string.ats")
+    )
+
+
+def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """doc_id, gone: the lines (from 0) that are in a later repeat, per document that has any."""
     lined = (
         docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -75,17 +108,15 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     strings = F.transform(
         F.sequence(F.lit(1), F.size("around") - run + 1), lambda s: F.slice("around", s, run)
     )
-    string = (
-        shared.select("doc_id", "first", F.posexplode(strings).alias("offset", "string"))
-        .select(
-            "doc_id",
-            (F.col("first") + F.col("offset")).alias("start"),
-            F.transform("string", lambda x: x["hash"]).alias("hashes"),
-            F.transform("string", lambda x: x["at"]).alias("ats"),
-        )
-        .dropDuplicates(["doc_id", "start", "hashes"])
+    string = shared.select("doc_id", "first", F.posexplode(strings).alias("offset", "string")).select(
+        "doc_id",
+        (F.col("first") + F.col("offset")).alias("start"),
+        F.transform("string", lambda x: x["hash"]).alias("hashes"),
+        F.transform("string", lambda x: x["at"]).alias("ats"),
     )
-    string = stored(string, "strings")
+    if words and run > 1:
+        string = string.unionByName(long_strings(docs, run, words))
+    string = stored(string.dropDuplicates(["doc_id", "start", "hashes"]), "strings")
     place = F.struct("doc_id", "start")
     firsts = (
         string.groupBy("hashes")
@@ -97,9 +128,9 @@ def repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     return later.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("gone"))
 
 
-def drop_repeated_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_lines (with a word), n_removed, n_runs, kept (text)."""
-    gone = stored(repeated_lines(docs, run), "gone").withColumnRenamed("doc_id", "gone_id")
+    gone = stored(repeated_lines(docs, run, words), "gone").withColumnRenamed("doc_id", "gone_id")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     # Sorted and merged at any size: what is moved then grows as the texts do.
     held = rows.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left")

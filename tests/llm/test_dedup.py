@@ -163,6 +163,32 @@ def test_repeated_lines(spark, awkward):
     assert by_id(got, "n_lines", "n_removed", "n_runs", "kept") == brute.lines_removed([(i, t) for i, t, _ in more])
 
 
+def long_lines_removed(rows, run=3, words=50):
+    """doc_id: kept, where fewer lines than a run count too if they have so many words."""
+    own = {i: [(k, x) for k, x in enumerate((t or "").split("\n")) if brute.words(x)] for i, t in rows}
+    first, strings = {}, []
+    for i in sorted(own):
+        for s in range(len(own[i])):
+            for e in range(s + 1, min(s + run, len(own[i])) + 1):
+                part = tuple(x for _, x in own[i][s:e])
+                if e - s == run or sum(len(brute.words(x)) for x in part) >= words:
+                    strings.append((i, s, e, part))
+                    first.setdefault(part, (i, s))
+    gone = {(i, own[i][k][0]) for i, s, e, part in strings if first[part] < (i, s) for k in range(s, e)}
+    return {i: "\n".join(x for k, x in enumerate((t or "").split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
+def test_long_lines_are_runs_too(spark):
+    r = random.Random(8)
+    lines = [" ".join(f"w{r.randrange(999)}" for _ in range(n)) for n in (168, 50, 49, 49, 30, 25, 1, 1)] + ["", " "]
+    rows = [(1, lines[0]), (2, lines[0]), (3, lines[2]), (4, lines[2]), (5, f"a\n{lines[4]}\n\n{lines[5]}"), (6, f"{lines[4]}\n{lines[5]}\nb")]
+    rows += [(k, "\n".join(r.choice(lines) for _ in range(r.randrange(6)))) for k in range(7, 60)]
+    got = line_dedup.drop_repeated_lines(make(spark, [(i, t, "s") for i, t in rows]), words=50)
+    kept = {i: t for i, (t,) in by_id(got, "kept").items()}
+    assert kept == long_lines_removed(rows)
+    assert (kept[2], kept[4], kept[6]) == ("", lines[2], "b")
+
+
 def test_lines_run_on_dataframe_functions_alone(awkward):
     plan = line_dedup.drop_repeated_lines(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
