@@ -13,6 +13,12 @@ of its words (each as often as it has it) in the last stretch. An alignment can'
 more than that number, so nothing that could match is left out. One pass over the table,
 no shuffle; every text is read whole.
 
+Most words of a short notice do not name the license ('released under the ... license'), so
+a template can have *names*: phrases that tell it from others and must stand in the text word
+by word. The first stands once in the template; around each place of it in the text, what the
+template has before and after it is aligned. Marks without a letter or digit (the ``#`` or
+``//`` of a comment) are no words.
+
 Defined cases: null and empty texts match nothing; ties between stretches go to the first;
 repeated rows give repeated rows; an empty table gives none; an empty template is an
 error; other columns take no part.
@@ -32,6 +38,7 @@ from terrace.llm.common import utf8
 
 COVERAGE = 0.75
 PUNCTUATION = b".,;:!?\"'()[]{}<>*_"
+MARKS = PUNCTUATION + b"#/\\-=+|~`&%$@^"
 REMEMBERED = 500_000
 
 # The wording of common notices, by SPDX identifier.
@@ -58,9 +65,18 @@ TEMPLATES = {
     ),
 }
 
+# What tells a template from others; one without names needs coverage alone.
+NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0",),
+    "Apache-2.0-header": ("Apache License, Version 2.0",),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
+    "GPL-3.0": ("GNU General Public License, version 3",),
+    "MIT": ("MIT License",),
+}
+
 
 def words_of(text: bytes) -> list[bytes]:
-    return [w.strip(PUNCTUATION) for w in text.lower().split()]
+    return [w.strip(PUNCTUATION) for w in text.lower().split() if w.strip(MARKS)]
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -107,10 +123,14 @@ def align(text: list, template: list) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def places_of(phrase: list, words: list) -> list[int]:
+    return [k for k in range(len(words) - len(phrase) + 1) if words[k : k + len(phrase)] == phrase]
+
+
 class Scanner:
-    """Templates as numbers of words; 0 is any word that no template has."""
+    """Templates as numbers of words; 0 is any word that no template has, -1 a mark."""
 
-    def __init__(self, templates: dict[str, str], coverage: float):
+    def __init__(self, templates: dict[str, str], coverage: float, names: dict[str, tuple[str, ...]] | None = None):
         texts = {name: words_of(t.encode()) for name, t in sorted(templates.items())}
         if not all(texts.values()):
             raise ValueError("a template has no words")
@@ -120,6 +140,14 @@ class Scanner:
             (name, [vocabulary[w] for w in t], Counter(vocabulary[w] for w in t), -(-len(t) * round(coverage * 1000) // 1000))
             for name, t in texts.items()
         ]
+        self.names, self.pivots = {}, {}
+        for name, template, *_ in self.templates:
+            phrases = [[vocabulary.get(w, 0) for w in words_of(p.encode())] for p in (names or {}).get(name, ())]
+            if not all(p and places_of(p, template) for p in phrases) or len(phrases and places_of(phrases[0], template)) > 1:
+                raise ValueError(f"names of {name} are not in its template, or the first is there twice")
+            if phrases:
+                self.names[name] = phrases
+                self.pivots.setdefault(phrases[0][0], {}).setdefault(tuple(phrases[0]), []).append(name)
 
     def numbers(self, text: bytes) -> list[int]:
         memo, out = self.memo, []
@@ -128,7 +156,7 @@ class Scanner:
             if n is None:
                 if len(memo) > REMEMBERED:
                     memo.clear()
-                n = memo[w] = self.vocabulary.get(w.strip(PUNCTUATION), 0)
+                n = memo[w] = self.vocabulary.get(w.strip(PUNCTUATION), 0 if w.strip(MARKS) else -1)
             out.append(n)
         return out
 
@@ -160,36 +188,91 @@ class Scanner:
                 best, best_k = score, k
             k += 1
 
+    def pivoted(self, numbers: list[int], hits: list[tuple[int, int]]) -> dict[str, list[int]]:
+        """Places of the first names of templates."""
+        found: dict[str, list[int]] = {}
+        for k, n in hits:
+            for phrase, names in self.pivots.get(n, {}).items():
+                if tuple(numbers[k : k + len(phrase)]) == phrase:
+                    for name in names:
+                        found.setdefault(name, []).append(k)
+        return found
+
+    def around(self, numbers: list[int], template: list, names: list[list], places: list[int], need: int) -> Iterator[list]:
+        """Alignments of a template with names, around the places of the first."""
+        size = len(names[0])
+        before = places_of(names[0], template)[0]
+        after = before + size
+        extra = len(template) // 4 + 4
+        free = 0
+        for at, prior, then in zip(places, [-size, *places], [*places[1:], len(numbers)], strict=False):
+            low, high = max(free, at - before - extra), at + size + len(template) - after + extra
+            # Other places of the name most often belong to other notices.
+            for a, b in ((max(low, prior + size), min(high, then)), (low, high)):
+                pairs = align(numbers[a:at], template[:before])
+                pairs = [(a + k, c) for k, c in pairs] + [(at + k, before + k) for k in range(size)]
+                pairs += [(at + size + k, after + c) for k, c in align(numbers[at + size : b], template[after:])]
+                if len(pairs) >= need and self.named(pairs, template, names):
+                    yield pairs
+                    free = pairs[-1][0] + 1
+                    break
+
+    def named(self, pairs: list[tuple[int, int]], template: list, names: list[list]) -> bool:
+        """Whether each name is aligned word by word."""
+        place = {c: k for k, c in pairs}
+        return all(
+            any(all(place.get(c + k, -1) == place.get(c, -2) + k for k in range(len(p))) for c in places_of(p, template))
+            for p in names
+        )
+
+    def stretched(self, numbers: list[int], hits: list[tuple[int, int]], template: list, counts: Counter, need: int) -> Iterator[list]:
+        """Alignments of a template in the stretches where its words meet."""
+        own = [(k, n) for k, n in hits if n in counts]
+        width = len(template) + len(template) // 4 + 4
+        free = 0
+        for end in self.stretches(own, counts, need, width):
+            # Words from before the notice may stand in for its last ones in the count.
+            low = max(free, end - width + 1)
+            pairs = align(numbers[low : end + 1 + len(template) // 2], template)
+            if len(pairs) >= need:
+                yield [(low + k, c) for k, c in pairs]
+                free = low + pairs[-1][0] + 1
+
     def scan(self, text: bytes) -> list[tuple[str, int, int, int, int]]:
         """(template, first word, last word, aligned words, template's words) of each match."""
         numbers = self.numbers(text)
+        places = [k for k, n in enumerate(numbers) if n >= 0]
+        numbers = [numbers[k] for k in places]
         hits = [(k, n) for k, n in enumerate(numbers) if n]
         total = Counter(n for _, n in hits)
+        pivots = self.pivoted(numbers, hits)
         found = []
         for name, template, counts, need in self.templates:
+            if name in self.names and name not in pivots:
+                continue
             if sum(min(n, total[w]) for w, n in counts.items()) < need:
                 continue
-            own = [(k, n) for k, n in hits if n in counts]
-            width = len(template) + len(template) // 4 + 4
-            free = 0
-            for end in self.stretches(own, counts, need, width):
-                # Words from before the notice may stand in for its last ones in the count.
-                low = max(free, end - width + 1)
-                pairs = align(numbers[low : end + 1 + len(template) // 2], template)
-                if len(pairs) >= need:
-                    found.append((name, low + pairs[0][0], low + pairs[-1][0], len(pairs), len(template)))
-                    free = low + pairs[-1][0] + 1
+            if name in self.names:
+                matches = self.around(numbers, template, self.names[name], pivots[name], need)
+            else:
+                matches = self.stretched(numbers, hits, template, counts, need)
+            found += [(name, places[m[0][0]], places[m[-1][0]], len(m), len(template)) for m in matches]
         return found
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
+def license_scan(
+    docs: DataFrame,
+    templates: dict[str, str] | None = None,
+    coverage: float = COVERAGE,
+    names_of: dict[str, tuple[str, ...]] | None = None,
+) -> DataFrame:
     """One row per match: doc_id, license, first_word, last_word, n_aligned, n_template."""
-    given = templates or TEMPLATES
+    given, phrases = (templates, names_of) if templates else (TEMPLATES, NAMES)
     names = ("doc_id", "license", "first_word", "last_word", "n_aligned", "n_template")
     schema = pa.schema([(n, pa.string() if n == "license" else pa.int64()) for n in names])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(given, coverage)
+        scanner = Scanner(given, coverage, phrases)
         for b in batches:
             rows = [
                 (doc, *match)

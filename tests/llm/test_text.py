@@ -285,6 +285,26 @@ def test_notices_are_found_wherever_they_are(spark):
     assert got == [(1, "MIT-text", n), (2, "MIT-text", n - 4), (2, "MIT-text", n), (3, "MIT", 5), (3, "MIT", 5)]
 
 
+def licenses(text):
+    found = license_scan.Scanner(license_scan.TEMPLATES, license_scan.COVERAGE, license_scan.NAMES).scan(text.encode())
+    return {m[0] for m in found}
+
+
+def test_near_misses_are_not_the_license():
+    for text in (
+        "Released under the BSD License.",
+        "The figures were released under the license of the house.",
+        "Licensed under CC BY 4.0.",
+        "Licensed under CC BY-SA 4.0",
+        "Licensed under the Apache License, Version 1.1",
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+    ):
+        assert not licenses(text) & {"MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0"}, text
+    assert "MIT" in licenses("This project is licensed under the MIT License")
+    assert "GPL-3.0" in licenses("# This work is licensed under the GNU General\n# Public License, version 3")
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.permutations(range(9)))
 def test_longest_increasing(values):
