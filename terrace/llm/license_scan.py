@@ -40,10 +40,95 @@ COVERAGE = 0.75
 PUNCTUATION = b".,;:!?\"'()[]{}<>*_"
 MARKS = PUNCTUATION + b"#/\\-=+|~`&%$@^"
 REMEMBERED = 500_000
-
-# The wording of common notices, by SPDX identifier.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+#: Words of a template that is a text, not a notice.
+LONG = 20
+
+# The wording of common notices, headers and texts, by SPDX identifier. A suffix
+# tells several of one license apart. Without one it is the short notice.
+NOTICES = {
+    "0BSD": ("Released under the {}.", "Zero-Clause BSD License"),
+    "AGPL-3.0": ("This work is licensed under the {}.", "GNU Affero General Public License, version 3"),
+    "Apache-1.1": ("Licensed under the {}.", "Apache License, Version 1.1"),
+    "Apache-2.0": ("Licensed under the {}.", "Apache License, Version 2.0"),
+    "Artistic-2.0": ("Licensed under the {}.", "Artistic License 2.0"),
+    "BSD": ("Released under the {}.", "BSD License"),
+    "BSD-2-Clause": ("Released under the {}.", "BSD 2-Clause License"),
+    "BSD-2-Clause-named": ("Released under the {}.", "2-Clause BSD License"),
+    "BSD-3-Clause": ("Released under the {}.", "BSD 3-Clause License"),
+    "BSD-3-Clause-named": ("Released under the {}.", "3-Clause BSD License"),
+    "BSL-1.0": ("Distributed under the {}.", "Boost Software License, Version 1.0"),
+    "CC0-1.0": ("Released under {}.", "CC0 1.0"),
+    "EPL-2.0": ("Made available under the terms of the {}.", "Eclipse Public License 2.0"),
+    "GPL-2.0": ("This work is licensed under the {}.", "GNU General Public License, version 2"),
+    "GPL-3.0": ("This work is licensed under the {}.", "GNU General Public License, version 3"),
+    "ISC": ("Released under the {}.", "ISC License"),
+    "LGPL-2.0": ("This work is licensed under the {}.", "GNU Library General Public License, version 2"),
+    "LGPL-2.1": ("This work is licensed under the {}.", "GNU Lesser General Public License, version 2.1"),
+    "LGPL-3.0": ("This work is licensed under the {}.", "GNU Lesser General Public License, version 3"),
+    "MIT": ("Released under the {}.", "MIT License"),
+    "MIT-0": ("Released under the {}.", "MIT No Attribution License"),
+    "MPL-1.1": ("Subject to the {}.", "Mozilla Public License, Version 1.1"),
+    "MPL-2.0": ("Subject to the terms of the {}.", "Mozilla Public License, Version 2.0"),
+    "MPL-2.0-v": ("Subject to the terms of the {}.", "Mozilla Public License, v. 2.0"),
+    "Unlicense": ("Released under {}.", "the Unlicense"),
+    "WTFPL": ("Released under the {}.", "Do What The Fuck You Want To Public License"),
+    "Zlib": ("Released under the {}.", "zlib License"),
+}
+GNU = {
+    "GPL-2.0": ("GNU General Public License", "GPL", "2"),
+    "GPL-3.0": ("GNU General Public License", "GPL", "3"),
+    "LGPL-2.1": ("GNU Lesser General Public License", "LGPL", "2.1"),
+    "LGPL-3.0": ("GNU Lesser General Public License", "LGPL", "3"),
+    "AGPL-3.0": ("GNU Affero General Public License", "AGPL", "3"),
+}
+for _id, (_title, _short, _v) in GNU.items():
+    NOTICES[f"{_id}-named"] = ("Licensed under the {}.", f"{_title} v{_v if '.' in _v else _v + '.0'}")
+    if "." not in _v:
+        NOTICES[f"{_id}-v"] = ("Licensed under the {}.", f"{_title} v{_v}")
+    NOTICES[f"{_id}-short"] = ("Licensed under the {}.", f"{_short} v{_v}")
+    NOTICES[f"{_id}-joined"] = ("Licensed under the {}.", f"{_short}v{_v}")
+CREATIVE = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+for _id, _title in CREATIVE.items():
+    for _v in ("2.0", "2.5", "3.0", "4.0"):
+        NOTICES[f"CC-{_id}-{_v}"] = ("Licensed under {}.", f"CC {_id} {_v}")
+        NOTICES[f"CC-{_id}-{_v}-named"] = ("Licensed under a {} License.", f"Creative Commons {_title} {_v}")
+TAGGED = (
+    "0BSD AFL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause "
+    "BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0 "
+    "CC0-1.0 CDDL-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0 GPL-2.0+ GPL-2.0-only GPL-2.0-or-later GPL-3.0 GPL-3.0+ GPL-3.0-only "
+    "GPL-3.0-or-later ISC LGPL-2.1 LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0 LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 "
+    "MPL-1.1 MPL-2.0 OFL-1.1 PSF-2.0 Unlicense WTFPL Zlib"
+).split()
+MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without '
+    "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+    "the Software, and to permit persons to whom the Software is furnished to do so"
+)
+BSD_TWO = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+GNU_HEADER = (
+    "This {it} is free software; you can redistribute it and/or modify it under the terms of the {title} as "
+    "published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version. "
+    "This {it} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {title} for more details."
+)
+ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+)
+TEXTS = {
     "Apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
         "compliance with the License. You may obtain a copy of the License at "
@@ -52,27 +137,74 @@ TEMPLATES = {
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."
     ),
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
+    "Apache-2.0-text": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION"
+    ),
+    "BSD-2-Clause-text": BSD_TWO,
+    "BSD-3-Clause-text": (
+        f"{BSD_TWO} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission."
+    ),
+    "BSL-1.0-text": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, '
+        "execute, and transmit the Software, and to prepare derivative works of the Software"
+    ),
+    "CC0-1.0-header": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty."
+    ),
+    "ISC-text": (
+        f"{ISC_GRANT}, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "0BSD-text": f'{ISC_GRANT}. THE SOFTWARE IS PROVIDED "AS IS"',
     "MIT-text": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without '
-        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
-        "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
-        "conditions: The above copyright notice and this permission notice shall be included in all copies or "
-        "substantial portions of the Software."
+        f"{MIT_GRANT}, subject to the following conditions: The above copyright notice and this permission notice shall be "
+        "included in all copies or substantial portions of the Software."
+    ),
+    "MIT-0-text": f'{MIT_GRANT}. THE SOFTWARE IS PROVIDED "AS IS"',
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "MPL-2.0-text": "Mozilla Public License Version 2.0 1. Definitions 1.1.",
+    "Unlicense-text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means."
+    ),
+    "Zlib-text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely"
     ),
 }
-
 # What tells a template from others; one without names needs coverage alone.
 NAMES = {
-    "Apache-2.0": ("Apache License, Version 2.0",),
     "Apache-2.0-header": ("Apache License, Version 2.0",),
-    "CC-BY-NC-4.0": ("CC BY-NC 4.0",),
-    "GPL-3.0": ("GNU General Public License, version 3",),
-    "MIT": ("MIT License",),
+    "Apache-2.0-text": ("Version 2.0, January 2004",),
+    "BSD-3-Clause-text": ("Neither the name of",),
+    "CC0-1.0-header": ("to the public domain worldwide",),
+    "ISC-text": ("provided that the above copyright notice", "with or without fee"),
+    "0BSD-text": ("is hereby granted the software is provided",),
+    "MIT-0-text": ("to do so the software is provided",),
+    "MPL-2.0-header": ("Mozilla Public License, v. 2.0",),
+    "MPL-2.0-text": ("Mozilla Public License Version 2.0",),
 }
+for _id, (_title, _, _v) in GNU.items():
+    for _k, _it in enumerate(("program", "library", "file"), 1):
+        TEXTS[f"{_id}-header-{_k}"] = GNU_HEADER.format(it=_it, title=_title, v=_v)
+        NAMES[f"{_id}-header-{_k}"] = (f"version {_v} of the License", _title)
+    _year = {"2": "June 1991", "2.1": "February 1999", "3": "2007"}[_v]
+    _day = {"GPL-3.0": "29 June ", "LGPL-3.0": "29 June ", "AGPL-3.0": "19 November "}.get(_id, "")
+    TEXTS[f"{_id}-text"] = f"{_title} Version {_v}, {_day}{_year} Copyright (C) Free Software Foundation, Inc."
+    NAMES[f"{_id}-text"] = (f"{_title} Version {_v}", f"Version {_v}, {_day}{_year}")
+TEMPLATES = TEXTS | {name: notice.format(title) for name, (notice, title) in NOTICES.items()}
+NAMES |= {name: (title,) for name, (_, title) in NOTICES.items()}
+for _id in TAGGED:
+    TEMPLATES[f"{_id}-tag"] = f"SPDX-License-Identifier: {_id}"
+    NAMES[f"{_id}-tag"] = (f"SPDX-License-Identifier: {_id}",)
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -257,7 +389,22 @@ class Scanner:
             else:
                 matches = self.stretched(numbers, hits, template, counts, need)
             found += [(name, places[m[0][0]], places[m[-1][0]], len(m), len(template)) for m in matches]
-        return found
+        return self.fullest(found)
+
+    @staticmethod
+    def fullest(found: list[tuple[str, int, int, int, int]]) -> list[tuple[str, int, int, int, int]]:
+        """Of matches with one wording the one with most words aligned: texts in one place, notices with one end."""
+
+        def same(m: tuple, o: tuple) -> bool:
+            if m[4] < LONG or o[4] < LONG:
+                return m[2] == o[2] and m[4] < LONG and o[4] < LONG
+            return 2 * (min(m[2], o[2]) - max(m[1], o[1]) + 1) > m[2] - m[1] + 1
+
+        kept: list[tuple[str, int, int, int, int]] = []
+        for m in sorted(found, key=lambda m: (-m[3], m[2] - m[1])):
+            if not any(same(m, o) for o in kept):
+                kept.append(m)
+        return [m for m in found if m in kept]
 
 
 def license_scan(

@@ -305,6 +305,20 @@ def test_near_misses_are_not_the_license():
     assert "GPL-3.0" in licenses("# This work is licensed under the GNU General\n# Public License, version 3")
 
 
+def test_common_licenses_are_known():
+    for name, text in license_scan.TEMPLATES.items():
+        found = licenses(f"some words {text} and more")
+        assert name in found and {n.split("-")[0] for n in found} == {name.split("-")[0]}, (name, found)
+    for text, name in (
+        ("Released under the BSD License.", "BSD"),
+        ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("// SPDX-License-Identifier: MPL-2.0\n", "MPL-2.0-tag"),
+    ):
+        assert licenses(text) == {name}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.permutations(range(9)))
 def test_longest_increasing(values):
