@@ -10,7 +10,8 @@ A text may hold a notice anywhere, more than once, and very long text around it,
 would not be unique in the whole. Stretches are a little longer than the template and are
 where most of its words meet: one pass over the text keeps, for each template, the number
 of its words (each as often as it has it) in the last stretch. An alignment can't cover
-more than that number, so nothing that could match is left out. One pass over the table,
+more than that number. Between the matches so found, a second pass takes stretches of
+``WIDE`` times the template, for notices that insertions spread; a match is no wider. One pass over the table,
 no shuffle; every text is read whole.
 
 Most words of a short notice do not name the license ('released under the ... license'), so
@@ -40,6 +41,8 @@ COVERAGE = 0.75
 PUNCTUATION = b".,;:!?\"'()[]{}<>*_"
 MARKS = PUNCTUATION + b"#/\\-=+|~`&%$@^"
 REMEMBERED = 500_000
+#: A match is looked for within so many times the template's words, in the text or on a side of a name.
+WIDE = 4
 #: Words of a template that is a text, not a notice.
 LONG = 20
 
@@ -336,9 +339,10 @@ class Scanner:
         before = places_of(names[0], template)[0]
         after = before + size
         extra = len(template) // 4 + 4
+        left, right = WIDE * before + extra, WIDE * (len(template) - after) + extra
         free = 0
         for at, prior, then in zip(places, [-size, *places], [*places[1:], len(numbers)], strict=False):
-            low, high = max(free, at - before - extra), at + size + len(template) - after + extra
+            low, high = max(free, at - left), at + size + right
             # Other places of the name most often belong to other notices.
             for a, b in ((max(low, prior + size), min(high, then)), (low, high)):
                 pairs = align(numbers[a:at], template[:before])
@@ -360,15 +364,34 @@ class Scanner:
     def stretched(self, numbers: list[int], hits: list[tuple[int, int]], template: list, counts: Counter, need: int) -> Iterator[list]:
         """Alignments of a template in the stretches where its words meet."""
         own = [(k, n) for k, n in hits if n in counts]
-        width = len(template) + len(template) // 4 + 4
-        free = 0
-        for end in self.stretches(own, counts, need, width):
-            # Words from before the notice may stand in for its last ones in the count.
-            low = max(free, end - width + 1)
-            pairs = align(numbers[low : end + 1 + len(template) // 2], template)
-            if len(pairs) >= need:
-                yield [(low + k, c) for k, c in pairs]
-                free = low + pairs[-1][0] + 1
+        found: list[list] = []
+        for width in (len(template) + len(template) // 4 + 4, WIDE * len(template) + 4):
+            # What insertions spread is looked for between the matches that are not.
+            ends = [0, *(k for m in found for k in (m[0][0], m[-1][0] + 1)), len(numbers)]
+            for first, stop in zip(ends[::2], ends[1::2], strict=True):
+                free, inside = first, [h for h in own if first <= h[0] < stop]
+                for end in self.stretches(inside, counts, need, width):
+                    # Words from before the notice may stand in for its last ones in the count.
+                    low, high = max(free, end - width + 1), min(stop, end + 1 + 2 * width // 5)
+                    for start in (low, max(low, self.tightest(inside, counts, low, end))):
+                        pairs = align(numbers[start:high], template)
+                        if len(pairs) >= need:
+                            found.append([(start + k, c) for k, c in pairs])
+                            free = start + pairs[-1][0] + 1
+                            break
+            found.sort()
+        yield from found
+
+    @staticmethod
+    def tightest(hits: list[tuple[int, int]], counts: Counter, low: int, end: int) -> int:
+        """Last start from which the words up to ``end`` still count as many as from ``low``."""
+        have: Counter = Counter()
+        start = end
+        for k, n in reversed(hits[bisect_left(hits, (low, 0)) : bisect_left(hits, (end + 1, 0))]):
+            have[n] += 1
+            if have[n] <= counts[n]:
+                start = k
+        return start
 
     def scan(self, text: bytes) -> list[tuple[str, int, int, int, int]]:
         """(template, first word, last word, aligned words, template's words) of each match."""

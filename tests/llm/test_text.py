@@ -305,6 +305,16 @@ def test_near_misses_are_not_the_license():
     assert "GPL-3.0" in licenses("# This work is licensed under the GNU General\n# Public License, version 3")
 
 
+def test_spread_notices_are_found():
+    assert "MIT" in licenses("Released under the terms of the well-known and very permissive MIT License")
+    mit = license_scan.TEMPLATES["MIT-text"]
+    spread = " ".join(f"{w} <br/> x{k}" for k, w in enumerate(mit.split()))
+    filler = "the of license software to " * 200
+    assert licenses(spread) == {"MIT-text"}
+    assert licenses(f"{filler} {spread} {filler} {mit}") == {"MIT-text"}
+    assert "MIT-text" not in licenses(filler)
+
+
 def test_common_licenses_are_known():
     for name, text in license_scan.TEMPLATES.items():
         found = licenses(f"some words {text} and more")
