@@ -13,7 +13,9 @@ refinements are used at once. Only buckets with several documents need any of it
 3. What is left are the edges of repeats: anchors that an earlier document shares, in other
    surroundings. Their surroundings are compared byte for byte: buckets of 8 bytes are
    refined to 16 by the identifier 8 further on, these to 32, these to ``SPAN``; suffixes
-   alone in their bucket are dropped at each step.
+   alone in their bucket are dropped at each step. Edges of a q-gram that more than
+   ``HOT_EDGES`` have do not meet in one task: each of their strings is a key of its own,
+   and Spark takes the smallest id per key, combined before the shuffle.
 
 Steps 1 and 2 work on packed arrays, a fragment of the hash space at a time (``common``);
 a task packs equal texts once, so copies hardly add to the exchange, and copies of a
@@ -49,6 +51,8 @@ SLICE = 1 << 20
 PAD = 64
 #: Groups of edges for each fragment: bytes take far more room there than packed anchors.
 EDGE_GROUPS = 16
+#: Edges with one q-gram that may meet in one task.
+HOT_EDGES = 2048
 REMEMBERED = 100_000
 BASE = 0x9E3779B97F4A7C15 | 1
 PACKED = "fragment int, docs binary, counts binary, places binary, grams binary, around binary"
@@ -222,7 +226,8 @@ def bucket_starts(*keys: np.ndarray) -> np.ndarray:
 
 def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
     """The bytes around each edge anchor, with the group that all equal anchors meet in."""
-    schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("place", pa.int64()), ("data", pa.binary())])
+    names = ("part", "gram", "doc_id", "place", "data")
+    schema = pa.schema(list(zip(names, [pa.int32(), *[pa.int64()] * 3, pa.binary()], strict=True)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -230,8 +235,8 @@ def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
             for doc, text, lists in zip(b.column(0).to_pylist(), opened(b.column(1)), b.column(2).to_pylist(), strict=True):
                 for at in np.unique(np.frombuffer(b"".join(lists), "<u4")).tolist():
                     low = max(0, at - (SPAN - GRAM))
-                    part = xxhash.xxh3_64_intdigest(text[at : at + GRAM]) % groups
-                    rows.append((part, doc, low, text[low : at + SPAN]))
+                    gram = xxhash.xxh3_64_intdigest(text[at : at + GRAM])
+                    rows.append((gram % groups, gram - (1 << 63), doc, low, text[low : at + SPAN]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema
@@ -239,7 +244,7 @@ def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
 
     held = edges.groupBy("doc_id").agg(F.collect_list("edges").alias("edges"))
     return squeezed(docs, SPAN).join(held, "doc_id").select("doc_id", "data", "edges").mapInArrow(
-        cut, "part int, doc_id long, place long, data binary"
+        cut, "part int, gram long, doc_id long, place long, data binary"
     )
 
 
@@ -315,6 +320,41 @@ def refine_edges(around: DataFrame) -> DataFrame:
     return around.groupBy("part").applyInArrow(refine, "doc_id long, starts binary")
 
 
+def hot_starts(around: DataFrame) -> DataFrame:
+    """Starts of repeated strings at edges whose q-gram very many share, per document.
+
+    Every string is a row, keyed by its bytes, so a q-gram splits by its surroundings.
+    """
+    offsets = F.sequence(F.lit(0), F.octet_length("data") - SPAN)
+    strings = (
+        around.filter(F.octet_length("data") >= SPAN)
+        .select("doc_id", "place", "data", F.explode(offsets).alias("offset"))
+        .select("doc_id", (F.col("place") + F.col("offset")).alias("start"), F.substring("data", F.col("offset") + 1, SPAN).alias("string"))
+    )
+    firsts = strings.groupBy("string").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    later = strings.join(firsts.filter("first < last").drop("last"), "string").filter("first < doc_id")
+    schema = pa.schema([("doc_id", pa.int64()), ("starts", pa.binary())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            packed = [np.array(x, "<u4").tobytes() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], schema=schema)
+
+    starts = later.groupBy("doc_id").agg(F.array_sort(F.collect_set("start")).alias("starts"))
+    return starts.mapInArrow(pack, "doc_id long, starts binary")
+
+
+def edge_starts(around: DataFrame) -> DataFrame:
+    """Starts of repeated strings at all edges, per document in one row or more."""
+    around = stored(around, "edge-bytes")
+    counts = around.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    hot = stored(counts.filter(F.col("n") > HOT_EDGES).select("gram"), "hot-grams")
+    few = around.join(hot, "gram", "left_anti").drop("gram")
+    if hot.isEmpty():
+        return refine_edges(few)
+    return refine_edges(few).unionByName(hot_starts(around.join(hot, "gram")))
+
+
 def removed_runs(length: int, covered: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Maximal removed runs (start, stop): around covered anchors, and strings from ``starts``."""
     low = np.concatenate([np.maximum(covered - (SPAN - GRAM), 0), starts])
@@ -330,7 +370,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     fragments = fragments_for(docs, FRAGMENT_BYTES)
     found = stored(refine_anchors(pack_anchors(docs, fragments)), "anchors")
     edges = found.filter(F.octet_length("edges") > 0).select("doc_id", "edges")
-    starts = stored(refine_edges(surroundings(edges, docs, EDGE_GROUPS * fragments)), "edge-starts")
+    starts = stored(edge_starts(surroundings(edges, docs, EDGE_GROUPS * fragments)), "edge-starts")
     by_text = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long"), F.sha2(text_or_empty().cast("binary"), 256).alias("digest")
     )

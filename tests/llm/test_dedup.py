@@ -125,6 +125,27 @@ def test_repeated_bytes_at_every_edge(spark, monkeypatch):
     assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.removed([(i, t) for i, t, _ in rows])
 
 
+def test_a_hot_gram_splits_by_its_surroundings(spark, monkeypatch):
+    """A phrase of 20 to 49 bytes in all documents: no group of one task holds more than a few of its edges."""
+    r = random.Random(13)
+    phrase = "licensed under the terms that all of them hold"
+    sides = ["".join(r.choice("abc ") for _ in range(60)) for _ in range(6)]
+    own = lambda: "".join(r.choice("defg") for _ in range(r.choice([0, 20, 60])))
+    rows = [(k * 37 % 127, own() + r.choice(sides)[r.randrange(60) :] + phrase + r.choice(["", own(), *sides]), "s") for k in range(120)]
+    sizes = []
+    whole = suffix_dedup.refine_edges
+
+    def watched(around):
+        sizes.append(around.count())
+        return whole(around)
+
+    monkeypatch.setattr(suffix_dedup, "HOT_EDGES", 20)
+    monkeypatch.setattr(suffix_dedup, "refine_edges", watched)
+    got = suffix_dedup.remove_repeats(make(spark, rows))
+    assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.removed([(i, t) for i, t, _ in rows])
+    assert sizes and sizes[0] <= 60
+
+
 def test_long_texts_are_cut_without_a_seam(monkeypatch):
     r = random.Random(2)
     text = bytes(r.randrange(97, 101) for _ in range(5000))
