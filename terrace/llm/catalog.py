@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import (
+    byte_bpe,
     exact_dedup,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     packing,
     quality,
@@ -75,6 +77,19 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, folder, "documents"), exact_dedup.new_index(spark))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    proved = merkle.prove(merkle.build(read(spark, folder, "documents"), tampered))
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = byte_bpe.encode(read(spark, folder, "documents")).withColumn("ids_sha256", F.sha2("ids", 256))
+    decoded = byte_bpe.decode(encoded, keep=("doc_id", "n_tokens", "ids_sha256"))
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

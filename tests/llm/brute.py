@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 SPACE = r"[\x20\x09-\x0D]+"
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -104,3 +105,80 @@ def shares(sizes, weights=(1, 2, 3), most=3):
 
 def close(a, b):
     return math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-6)
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(rows, fan=3):
+    """Rows of (doc_id, source, lang, n_chars, text, presented text): doc_id, leaf, subroot, root, proof_sha256, folded, verified."""
+    show = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    trees = {}
+    for i, source, lang, n, text, shown in rows:
+        leaf = H(*map(show, (i, source, lang, n, text)))
+        claim = H(*map(show, (i, source, lang, n, shown)))
+        trees.setdefault(source, []).append((i, leaf, claim))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([H(*out[-1][k : k + fan]) for k in range(0, len(out[-1]), fan)])
+        return out
+
+    def fold(built, place, node):
+        siblings = []
+        for level in built[:-1]:
+            start = place // fan * fan
+            run = level[start : start + fan]
+            siblings += run[: place - start] + run[place - start + 1 :]
+            run[place - start] = node
+            node, place = H(*run), place // fan
+        return siblings, node
+
+    order = sorted(trees, key=lambda s: (s is not None, (s or "").encode()))
+    for members in trees.values():
+        members.sort(key=lambda m: (m[0] is not None, m[0] or 0, m[1], m[2]))
+    built = {s: levels([leaf for _, leaf, _ in members]) for s, members in trees.items()}
+    top = levels([built[s][-1][0] for s in order]) if order else []
+    out = []
+    for t, s in enumerate(order):
+        for p, (i, leaf, claim) in enumerate(trees[s]):
+            below, node = fold(built[s], p, claim)
+            above, node = fold(top, t, node)
+            root = top[-1][0]
+            out.append((i, leaf, built[s][-1][0], root, H(*below, *above), node, node == root))
+    return out
+
+
+def conversation_trie(rows, window=9, every=5):
+    """Rows of (conv_id, turn, role, text): the nodes as (conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % window
+        rebuilt[c] = tuple(own.get(c - int(math.fmod(c, every)), [])[:h] + turns[h:])
+    nodes, ends = {}, {}
+    for c in sorted(rebuilt):
+        for d in range(len(rebuilt[c]) + 1):
+            nodes.setdefault(rebuilt[c][:d], []).append(c)
+        ends.setdefault(rebuilt[c], []).append(c)
+    children, leaves, saved = collections.Counter(), collections.Counter(), collections.Counter()
+    for path in nodes:
+        children[path[:-1]] += bool(path)
+    for path, members in nodes.items():
+        value = (len(members) - 1) * len(path[-1][1].encode()) if path else 0
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += value
+    return [
+        (
+            m[0], len(p), nodes[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p],
+            hashlib.sha256(",".join(map(str, ends.get(p, []))).encode()).hexdigest(),
+        )
+        for p, m in nodes.items()
+    ]
