@@ -19,6 +19,7 @@ from terrace.llm import (
     merkle,
     mixing,
     packing,
+    prefix_trie,
     quality,
     shingle_join,
     suffix_dedup,
@@ -84,6 +85,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, folder, "conversations"))
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = byte_bpe.encode(read(spark, folder, "documents")).withColumn("ids_sha256", F.sha2("ids", 256))
     decoded = byte_bpe.decode(encoded, keep=("doc_id", "n_tokens", "ids_sha256"))

@@ -40,3 +40,22 @@ def places(cut: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(F.sum("here").over(earlier), F.lit(0)).alias("start"),
         F.sum("here").over(of_key).alias("n"),
     )
+
+
+def running(cut: DataFrame, keys: list[str], fold: dict[str, tuple]) -> DataFrame:
+    """Adds to a ``ranged`` table what ``fold`` makes of a key's rows up to and including each row.
+
+    ``fold`` has for each new column the aggregate function, the column it reads and the
+    function that puts two results together, for which 0 is neutral.
+    """
+    with_range = cut.withColumn("range", range_of())
+    totals = with_range.groupBy("range", *keys).agg(*(f(c).alias(name) for name, (f, c, _) in fold.items()))
+    earlier = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        "range", *keys, *(F.coalesce(f(name).over(earlier), F.lit(0)).alias(f"{name}_before") for name, (f, _, _) in fold.items())
+    )
+    inside = Window.partitionBy("range", *keys).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = with_range.withColumns({name: f(c).over(inside) for name, (f, c, _) in fold.items()})
+    joined = here.join(before, ["range", *keys])
+    joined = joined.withColumns({name: both(F.col(name), F.col(f"{name}_before")) for name, (_, _, both) in fold.items()})
+    return joined.drop("range", *(f"{name}_before" for name in fold))

@@ -157,7 +157,8 @@ def conversation_trie(rows, window=9, every=5):
     for c, turn, role, text in rows:
         if c is not None:
             own.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
-    own = {c: [t[2:] for t in sorted(turns)] for c, turns in own.items()}
+    digest = lambda t: hashlib.sha256(f"{len(t[2].encode())}:{t[2]}{t[3]}".encode()).digest()[:16]
+    own = {c: [t[2:] for t in sorted(turns, key=lambda t: (t[:2], digest(t)))] for c, turns in own.items()}
     rebuilt = {}
     for c, turns in own.items():
         h = zlib.crc32(str(c).encode()) % window
