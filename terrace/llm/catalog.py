@@ -183,6 +183,88 @@ FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '
 WINDOW w AS (PARTITION BY body)
 """
 
+#: CRC-32 of a decimal number, bit by bit.
+CRC = """xor(4294967295, list_reduce(list_transform(string_split(CAST({} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, x: list_reduce(range(8), lambda b, k: xor(b >> 1, 3988292384 * (b & 1)), xor(c, x)), CAST(4294967295 AS BIGINT)))"""
+
+
+def leaf_sql(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    shown = (f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" for f in fields)
+    return f"sha256({' || '.join(shown)})"
+
+
+OP11 = f"""
+WITH RECURSIVE t AS (
+  SELECT *, CASE WHEN {CRC.format("doc_id")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown FROM documents),
+d AS (SELECT doc_id, source, {leaf_sql("text")} AS leaf, {leaf_sql("shown")} AS claim FROM t),
+r AS (
+  SELECT *, row_number() OVER () AS id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS place, count(*) OVER (PARTITION BY source) AS n
+  FROM d),
+low(tree, level, place, n, hash) AS (
+  SELECT tree, 0, place, n, leaf FROM r
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place))
+  FROM low WHERE n > 1 GROUP BY tree, level, place // 3, n),
+top(level, place, n, hash) AS (
+  SELECT 0, tree, count(*) OVER (), hash FROM low WHERE n = 1
+  UNION ALL
+  SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place))
+  FROM top WHERE n > 1 GROUP BY level, place // 3, n),
+folded(id, tree, level, place, n, hash, proof) AS (
+  SELECT id, tree, 0, place, n, claim, '' FROM r
+  UNION ALL
+  SELECT f.id, f.tree, f.level + 1, f.place // 3, (f.n + 2) // 3,
+    sha256(string_agg(CASE WHEN l.place = f.place THEN f.hash ELSE l.hash END, '' ORDER BY l.place)),
+    f.proof || coalesce(string_agg(l.hash, '' ORDER BY l.place) FILTER (l.place <> f.place), '')
+  FROM folded f JOIN low l ON l.tree = f.tree AND l.level = f.level AND l.place // 3 = f.place // 3
+  WHERE f.n > 1 GROUP BY f.id, f.tree, f.level, f.place, f.n, f.hash, f.proof),
+whole(id, level, place, n, hash, proof) AS (
+  SELECT id, 0, tree, (SELECT max(n) FROM top), hash, proof FROM folded WHERE n = 1
+  UNION ALL
+  SELECT f.id, f.level + 1, f.place // 3, (f.n + 2) // 3,
+    sha256(string_agg(CASE WHEN l.place = f.place THEN f.hash ELSE l.hash END, '' ORDER BY l.place)),
+    f.proof || coalesce(string_agg(l.hash, '' ORDER BY l.place) FILTER (l.place <> f.place), '')
+  FROM whole f JOIN top l ON l.level = f.level AND l.place // 3 = f.place // 3
+  WHERE f.n > 1 GROUP BY f.id, f.level, f.place, f.n, f.hash, f.proof)
+SELECT r.doc_id, r.leaf, s.hash AS subroot, t.hash AS root, sha256(w.proof) AS proof_sha256, w.hash AS folded_root,
+  w.hash = t.hash AS verified
+FROM r JOIN low s ON s.tree = r.tree AND s.n = 1 JOIN top t ON t.n = 1 JOIN whole w ON w.id = r.id AND w.n = 1
+"""
+
+OP12 = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS k FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {CRC.format("conv_id")} % 9 AS h FROM t GROUP BY conv_id),
+b AS (
+  SELECT c.conv_id, o.k AS place, o.digest, strlen(o.text) AS size FROM c JOIN o ON o.conv_id = c.base AND o.k <= c.h
+  UNION ALL
+  SELECT c.conv_id, c.h + o.k, o.digest, strlen(o.text) FROM c JOIN o ON o.conv_id = c.conv_id AND o.k > c.h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS path, size
+  FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM c),
+n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(size) AS value,
+    left(path, 64 * (depth - 1)) AS above
+  FROM p GROUP BY path, depth),
+k AS (SELECT above, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+u AS (
+  SELECT p.path, count(*) FILTER (k.n_children IS NULL) AS n_leaves, sum(n.value) AS saved_tokens
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN k ON k.above = n.path GROUP BY p.path),
+l AS (SELECT conv_id, arg_max(path, depth) AS path FROM p GROUP BY conv_id),
+e AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM l GROUP BY path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+  u.n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM n LEFT JOIN n a ON n.depth > 0 AND a.path = n.above LEFT JOIN k ON k.above = n.path
+JOIN u ON u.path = n.path LEFT JOIN e ON e.path = n.path
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -191,4 +273,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": OP6,
         "op7_warc": OP7,
         "op10_exact_dedup": OP10,
+        "op11_merkle_manifest": OP11,
+        "op12_prefix_trie": OP12,
     }
