@@ -978,7 +978,7 @@ def stream_sales_chain(i: Inputs) -> DataFrame:
 def _captured(i: Inputs, cdc: Cdc, kind: int) -> str:
     root = new_work_dir(i.spark, "capture")
     stream = _event_stream_in_batches(i)
-    finish(stream_scd(stream, cdc, kind, f"{root}/table", f"{root}/checkpoint", compact_every=3))
+    finish(stream_scd(stream, cdc, kind, f"{root}/table", f"{root}/checkpoint"))
     return f"{root}/table"
 
 

@@ -252,12 +252,13 @@ def scd1(df: DataFrame, cdc: Cdc) -> DataFrame:
 # --- type 2 -----------------------------------------------------------------
 
 
-def scd2(df: DataFrame, cdc: Cdc) -> DataFrame:
+def scd2(df: DataFrame, cdc: Cdc, opened_by: str | None = None) -> DataFrame:
     """Versions of a change feed with ``valid_from``, ``valid_to`` (NULL: open) and ``is_current``.
 
     Changes equal on the tracked columns to the one before them join its version. A
     delete closes the open version. ``valid_from`` and ``valid_to`` are values of the
-    first sequence column.
+    first sequence column. ``opened_by`` names a further column for the whole sequence of the
+    change that opened a version, as a struct.
     """
     if cdc.truncates is not None:
         raise ValueError("truncates is for type 1 only: a history keeps what was truncated")
@@ -269,6 +270,7 @@ def scd2(df: DataFrame, cdc: Cdc) -> DataFrame:
     # recomputed task gives the same answer.
     sequence = cdc.sequence(df)
     order = [*sequence, _DELETE, *[c for c in data if c not in sequence]]
+    opening = F.struct(*[F.col(c).alias(f"s{k}") for k, c in enumerate(sequence)]) if opened_by else F.col(order[0])
 
     hot = find_hot_keys(changes, keys, cdc.hot_rows)
     changes = settle(changes, hot)
@@ -281,14 +283,22 @@ def scd2(df: DataFrame, cdc: Cdc) -> DataFrame:
         )
 
     split = split_hot_keys(changes, order, hot)
-    versions = _versions(_local_changes(split.cold, keys, order, tracked), keys, order)
+    versions = _versions(_local_changes(split.cold, keys, order, tracked), keys, order, opening)
     if split.hot is not None:
         sliced = _local_changes(split.hot, [*keys, SLICE], order, tracked)
-        carry = materialize(_slice_carry(sliced, keys, order, tracked), "carry")
-        of_hot = _versions(join_carry(sliced, carry, keys), [*keys, SLICE], order, carried=True)
+        carry = materialize(_slice_carry(sliced, keys, order, tracked, opening), "carry")
+        of_hot = _versions(join_carry(sliced, carry, keys), [*keys, SLICE], order, opening, carried=True)
         versions = versions.unionByName(of_hot.select(*versions.columns))
-    return versions.filter(~F.col(_DELETE)).select(
-        *keys, *data, VALID_FROM, VALID_TO, F.col(VALID_TO).isNull().alias(IS_CURRENT)
+    versions = versions.filter(~F.col(_DELETE))
+    if opened_by:
+        versions = versions.withColumns({opened_by: F.col(VALID_FROM), VALID_FROM: F.col(f"{VALID_FROM}.s0")})
+    return versions.select(
+        *keys,
+        *data,
+        VALID_FROM,
+        VALID_TO,
+        F.col(VALID_TO).isNull().alias(IS_CURRENT),
+        *([opened_by] if opened_by else []),
     )
 
 
@@ -317,7 +327,7 @@ def _local_changes(
 
 
 def _slice_carry(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str]
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], tracked: Sequence[str], opening: Column
 ) -> DataFrame:
     """What each slice of a hot key needs from the slices around it; one row per slice."""
     seen = F.struct(_DELETE, *[F.when(~F.col(_DELETE), F.col(c)).alias(c) for c in tracked])
@@ -325,13 +335,14 @@ def _slice_carry(
     edges = rows.groupBy(*keys, SLICE).agg(
         F.max(F.when(first, seen)).alias("_first_seen"),
         F.max(F.when(first, F.col(order[0]))).alias("_first_at"),
+        F.max(F.when(first, opening)).alias("_first_opening"),
         F.max(F.when(last, seen)).alias("_last_seen"),
-        F.max(F.when(F.col("_opens"), F.col(order[0]))).alias("_last_inner_start"),
+        F.max(F.when(F.col("_opens"), opening)).alias("_last_inner_start"),
     )
     along = per_key(keys, [SLICE])
     edges = edges.withColumn(
         "_in_opens", ~F.lag("_last_seen").over(along).eqNullSafe(F.col("_first_seen"))
-    ).withColumn("_last_start", F.coalesce("_last_inner_start", F.when(F.col("_in_opens"), F.col("_first_at"))))
+    ).withColumn("_last_start", F.coalesce("_last_inner_start", F.when(F.col("_in_opens"), F.col("_first_opening"))))
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     return edges.select(
         *keys,
@@ -343,13 +354,15 @@ def _slice_carry(
     )
 
 
-def _versions(rows: DataFrame, by: Sequence[str], order: Sequence[str], *, carried: bool = False) -> DataFrame:
-    """Keep the last row of each version and give it its interval.
+def _versions(
+    rows: DataFrame, by: Sequence[str], order: Sequence[str], opening: Column, *, carried: bool = False
+) -> DataFrame:
+    """Keep the last row of each version and give it its interval, which starts with ``opening`` of its first row.
 
     Only rows that open or close a version matter. The row that closes one is the row
     that opened it, or comes right after that row among those kept.
     """
-    opens, closes, closed_at, before = F.lit(True), F.lit(True), F.lit(None), F.lag(order[0]).over(per_key(by, order))
+    opens, closes, closed_at, before = F.lit(True), F.lit(True), F.lit(None), F.lag(opening).over(per_key(by, order))
     if carried:
         opens, closes, closed_at = F.col("_in_opens"), F.coalesce("_next_opens", F.lit(True)), F.col("_next_at")
         before = F.coalesce(before, F.col("_in_start"))
@@ -365,7 +378,7 @@ def _versions(rows: DataFrame, by: Sequence[str], order: Sequence[str], *, carri
         .filter("_closes")
         .withColumns(
             {
-                VALID_FROM: F.when(F.col("_opens"), F.col(order[0])).otherwise(F.col("_opened_at")),
+                VALID_FROM: F.when(F.col("_opens"), opening).otherwise(F.col("_opened_at")),
                 VALID_TO: F.col("_closed_at"),
             }
         )

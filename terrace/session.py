@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings the operators are laid out for. Shuffle partitions are for the cluster to set:
 # about 128 MB of shuffle data each, which AQE then coalesces where a stage has less.
@@ -63,16 +64,30 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what ``materialize`` stored for this application, once its results are written."""
-    app = spark.sparkContext.applicationId
-    for path in _stored.pop(app, []):
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    for path in _stored.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
+
+
+def release_path(df: DataFrame) -> None:
+    """Delete one frame that ``materialize`` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    mine = _stored.get(spark.sparkContext.applicationId, [])
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        name = path.rsplit("/", 1)[-1]
+        for known in [p for p in mine if p.rsplit("/", 1)[-1] == name]:
+            mine.remove(known)
+            _delete(spark, known)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the work folder and read it back.
+def materialize(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` to the work folder and read it back, with the columns of ``schema`` if given.
 
     Cuts the lineage so that a lost executor costs a re-read, and gives Catalyst the
     true file size, so that it broadcasts the result only when it is small.
@@ -81,4 +96,4 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_work_dir(spark, label)
     _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

@@ -1,15 +1,27 @@
-from terrace.streaming.change_tables import backfill, current_rows, history, remove_covered, stream_scd
+from terrace.streaming.change_tables import (
+    backfill,
+    comment_of,
+    current_rows,
+    declare,
+    history,
+    open_versions,
+    remove_covered,
+    stream_scd,
+)
 from terrace.streaming.dedup import dedup_within_watermark
 from terrace.streaming.quality import count_rules, rule_totals
 from terrace.streaming.sinks import finish, write_stream
 
 __all__ = [
     "backfill",
+    "comment_of",
     "count_rules",
     "current_rows",
+    "declare",
     "dedup_within_watermark",
     "finish",
     "history",
+    "open_versions",
     "remove_covered",
     "rule_totals",
     "stream_scd",

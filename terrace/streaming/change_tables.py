@@ -1,130 +1,237 @@
 """Type 1 and type 2 tables kept up to date from a stream, on plain parquet.
 
-Each micro-batch adds one folder below ``<target>/<flow>/deltas/``; nothing stored is
-ever changed, so the cost of a batch depends on the batch, not on the table:
-
-- type 1 stores the batch reduced to one state row per key (``scd1_state``). Merging
-  states is commutative and idempotent, so late rows and replayed batches do no harm.
-- type 2 stores the changes themselves, since a late change may split any version.
-
-``current_rows`` and ``history`` read the table by merging what is stored. Every
-``compact_every`` batches the deltas are rewritten into a run: for type 1 the merged
-state so far, for type 2 the changes since the last run in key order, so that reading
-one key skips most row groups. A flow is one streaming query (its id is in its
-checkpoint); several flows may feed one target.
-
-A folder counts only when complete (``_SUCCESS`` present). What a run covers is ignored by
-readers and may be deleted with ``remove_covered``.
+A table is kept bucket by bucket (see ``kept``): a micro-batch reads and replaces the buckets
+its keys fall into, and no others.
+
+- Type 1 keeps one state row per key (``scd1_state``). Merging states is commutative and
+  idempotent, so late rows and replayed batches do no harm.
+- Type 2 keeps the changes as they came, and the versions made of them: open ones apart from
+  closed ones. A batch looks up, for each of its keys, the version that its earliest change
+  falls into, and makes the versions from there on anew, from the changes since that version
+  began. Changes in order thus rewrite the open versions of their buckets and add closed
+  ones; only late changes, which divide or join closed versions, rewrite those.
+
+``current_rows`` and ``history`` are plain scans. A flow is one streaming query (its id is in
+its checkpoint) or a backfill; several flows may feed one target, one batch at a time.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from terrace.operators.cdc import Cdc, scd1_merge, scd1_rows, scd1_state, scd2
+from terrace.operators.cdc import VALID_TO, Cdc, scd1_merge, scd1_rows, scd1_state, scd2
+from terrace.session import materialize, release_path
+from terrace.streaming.kept import BUCKET, BUCKET_BYTES, FIRST_BITS, MOST_ADDED, KeptTable, Load, merged
 
 TYPE_1 = 1
 TYPE_2 = 2
 
+STATE = "state"
+CHANGES, OPEN, CLOSED = "changes", "open", "closed"
+#: Column of a version: the whole sequence of the change that opened it.
+OPENED_BY = "_opened_by"
 
-def _children(spark: SparkSession, folder: str) -> list[str]:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
-
-
-def _complete(spark: SparkSession, folder: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-@dataclass(frozen=True)
-class _Flow:
-    """The folders of one flow into a target."""
-
-    spark: SparkSession
-    root: str
-    kind: int
-
-    def delta(self, batch: int) -> str:
-        return f"{self.root}/deltas/{batch:012d}"
-
-    def run(self, first: int, last: int) -> str:
-        return f"{self.root}/runs/{first:012d}-{last:012d}"
-
-    def runs(self) -> list[tuple[int, int]]:
-        """Runs to read, oldest first: for type 1 only the newest, which holds the others."""
-        folder = f"{self.root}/runs"
-        names = [n for n in _children(self.spark, folder) if _complete(self.spark, f"{folder}/{n}")]
-        spans = sorted((tuple(int(p) for p in n.split("-")) for n in names), key=lambda span: span[1])
-        return spans[-1:] if self.kind == TYPE_1 else spans
-
-    def deltas_after(self, last: int) -> list[int]:
-        batches = [int(n) for n in _children(self.spark, f"{self.root}/deltas")]
-        return [b for b in sorted(batches) if b > last and _complete(self.spark, self.delta(b))]
-
-    def paths(self) -> list[str]:
-        runs = self.runs()
-        last = runs[-1][1] if runs else -1
-        return [self.run(*r) for r in runs] + [self.delta(b) for b in self.deltas_after(last)]
 
-
-    def covered(self) -> list[str]:
-        """Folders no reader uses: deltas up to the last run, and runs a newer one holds."""
-        runs = self.runs()
-        if not runs:
-            return []
-        kept = {self.run(*r) for r in runs}
-        # Only runs that ended before the last one: a newer one may be in the making.
-        older = [
-            f"{self.root}/runs/{n}" for n in _children(self.spark, f"{self.root}/runs") if int(n.split("-")[1]) < runs[-1][1]
-        ]
-        deltas = [self.delta(int(n)) for n in _children(self.spark, f"{self.root}/deltas") if int(n) <= runs[-1][1]]
-        return [p for p in older if p not in kept] + deltas
+def _check(kind: int) -> None:
+    if kind not in (TYPE_1, TYPE_2):
+        raise ValueError(f"kind must be {TYPE_1} or {TYPE_2}, not {kind}")
 
 
-def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """What is stored, with the columns of all batches; a column that changed its type is an error."""
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+def _no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
 
 
-def _check(kind: int) -> None:
-    if kind not in (TYPE_1, TYPE_2):
-        raise ValueError(f"kind must be {TYPE_1} or {TYPE_2}, not {kind}")
+def _schemas(spark: SparkSession, changes: StructType, cdc: Cdc, kind: int, known: Load | None) -> dict[str, StructType]:
+    """Columns of the parts once changes with these columns have come."""
+    if kind == TYPE_1:
+        mine = scd1_state(_no_rows(spark, changes), cdc).schema
+        return {STATE: merged(known.schemas[STATE], mine) if known else merged(mine, mine)}
+    both = merged(known.schemas[CHANGES], changes) if known else merged(changes, changes)
+    if known and both == known.schemas[CHANGES]:
+        return known.schemas
+    versions = scd2(_no_rows(spark, both), cdc, OPENED_BY).schema
+    versions = merged(versions, versions)
+    return {CHANGES: both, OPEN: versions, CLOSED: versions}
 
 
-def _add_delta(flow: _Flow, changes: DataFrame, cdc: Cdc, batch: int) -> None:
-    path = flow.delta(batch)
-    if _complete(flow.spark, path):
-        return
-    stored = scd1_state(changes, cdc) if flow.kind == TYPE_1 else changes
-    stored.write.mode("overwrite").parquet(path)
-
-
-def _compact(flow: _Flow, cdc: Cdc, batch: int) -> None:
-    runs = flow.runs()
-    last = runs[-1][1] if runs else -1
-    new = [b for b in flow.deltas_after(last) if b <= batch]
-    if not new:
-        return
-    deltas = [flow.delta(b) for b in new]
-    if flow.kind == TYPE_1:
-        stored = _read(flow.spark, [*[flow.run(*r) for r in runs], *deltas])
-        scd1_merge(stored, cdc).write.mode("overwrite").parquet(flow.run(0, new[-1]))
-        return
-    changes = _read(flow.spark, deltas)
-    order = [*cdc.key_list, *cdc.order_list]
-    (
-        changes.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .parquet(flow.run(last + 1, new[-1]))
-    )
+def declare(
+    spark: SparkSession, target: str, changes: StructType, cdc: Cdc, kind: int, comment: str | None = None
+) -> None:
+    """Name the columns of the changes a table will get, before the first ones come; it then reads as empty."""
+    _check(kind)
+    table = KeptTable(spark, target)
+    with table.lock():
+        if table.last() is None:
+            table.commit(Load(0, FIRST_BITS, 0, _schemas(spark, changes, cdc, kind, None), {}, comment))
+
+
+def comment_of(spark: SparkSession, target: str) -> str | None:
+    """The comment a table was declared with."""
+    last = KeptTable(spark, target).last()
+    return last.comment if last else None
+
+
+def _same_keys(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> Column:
+    return reduce(lambda x, y: x & y, [a[f"`{k}`"].eqNullSafe(b[f"`_k{i}`"]) for i, k in enumerate(keys)])
+
+
+class _Batch:
+    """One batch of changes on its way into a table."""
+
+    def __init__(self, table: KeptTable, cdc: Cdc, kind: int, last: Load | None, schemas: dict[str, StructType]):
+        self.table, self.cdc, self.kind, self.last, self.schemas = table, cdc, kind, last, schemas
+        self.number = last.number + 1 if last else 0
+        self.bits = last.bits if last else FIRST_BITS
+        while last and last.size > table.bucket_bytes << self.bits:
+            self.bits += 1
+        # What was stored is read with the columns it has from now on.
+        self.before = Load(last.number, self.bits, last.size, schemas, last.flows) if last else None
+        self.made: list[DataFrame] = []
+
+    def keep(self, df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
+        """``df`` written down for this batch and read again, with all columns of ``schema``."""
+        self.made.append(materialize(df, label, schema))
+        return self.made[-1]
+
+    def release(self) -> None:
+        for df in self.made:
+            release_path(df)
+
+    def bucket(self) -> Column:
+        return self.table.bucket(self.cdc.key_list, self.bits)
+
+    def stored(self, part: str) -> DataFrame:
+        """Rows of the touched buckets; of buckets that are being divided, the rows of all they held."""
+        return self.table.read(self.before, part, self.buckets) if self.before else _no_rows(self.table.spark, self.schemas[part])
+
+    def apply(self, rows: DataFrame) -> int:
+        """Write the batch; returns the bytes by which the table grew."""
+        part = STATE if self.kind == TYPE_1 else CHANGES
+        rows = rows.withColumn(BUCKET, self.bucket())
+        columns = StructType([*self.schemas[part].fields, rows.schema[BUCKET]])
+        new = self.keep(rows, "batch", columns)
+        self.touched = {r[0] for r in new.select(BUCKET).distinct().collect()}
+        self.buckets = [(self.bits, n) for n in self.touched]
+        found = self.table.folders(self.schemas, self.buckets) if self.before else []
+        held = self.table.valid(self.before, found) if self.before else []
+        # A bucket that is divided is replaced by all of its parts.
+        for f in held:
+            if f.bits < self.bits:
+                self.touched |= set(range(f.bucket, 1 << self.bits, 1 << f.bits))
+        self.buckets = [(self.bits, n) for n in self.touched]
+        # Added to what the bucket holds, unless that is in many pieces or in a larger bucket.
+        pieces: dict[tuple[str, int], int] = {}
+        for f in held:
+            if f.bits == self.bits:
+                pieces[f.part, f.bucket] = pieces.get((f.part, f.bucket), 0) + 1
+        divided = {n for n in self.touched if any(f.bits < self.bits and n % (1 << f.bits) == f.bucket for f in held)}
+        self.addable = {
+            p: {n for n in self.touched - divided if 0 < pieces.get((p, n), 0) < MOST_ADDED} for p in (CHANGES, CLOSED)
+        }
+        if self.touched:
+            (self._type_1 if self.kind == TYPE_1 else self._type_2)(new)
+        after = [f for f in self.table.folders(self.schemas, self.buckets) if f.load == self.number]
+        now = Load(self.number, self.bits, 0, self.schemas, {})
+        still = set(self.table.valid(now, [*held, *after]))
+        return self.table.size_of(after) - self.table.size_of(f for f in held if f not in still)
+
+    def _type_1(self, new: DataFrame) -> None:
+        state = scd1_merge(self.stored(STATE).unionByName(new.drop(BUCKET)), self.cdc)
+        self.table.write(state.withColumn(BUCKET, self.bucket()), STATE, self.number, self.bits, self.touched)
+
+    def _type_2(self, new: DataFrame) -> None:
+        cdc, keys = self.cdc, self.cdc.key_list
+        new = new.drop(BUCKET)
+        changes = self.stored(CHANGES)
+        adds = self.addable[CHANGES]
+        whole = {n for n in self.touched if n not in adds}
+        bucket = self.bucket()
+        log = new if not whole or not self.before else new.unionByName(changes.filter(bucket.isin(*whole)))
+        self.table.write(log.withColumn(BUCKET, bucket), CHANGES, self.number, self.bits, self.touched, adds)
+
+        if not self.before:
+            since, kept = None, {p: _no_rows(self.table.spark, self.schemas[p]) for p in (OPEN, CLOSED)}
+            versions, late = scd2(new, cdc, OPENED_BY), set()
+        else:
+            since = self.keep(self._since(new), "since")
+            kept, late = self._unaffected(since)
+            versions = scd2(self._changes_since(changes.unionByName(new), since), cdc, OPENED_BY)
+        versions = self.keep(versions.withColumn(BUCKET, bucket), "versions")
+        opened, closed = (versions.filter(F.col(VALID_TO).isNull() if p == OPEN else F.col(VALID_TO).isNotNull()) for p in (OPEN, CLOSED))
+        self.table.write(
+            kept[OPEN].withColumn(BUCKET, bucket).unionByName(opened), OPEN, self.number, self.bits, self.touched
+        )
+        adds = self.addable[CLOSED] - late
+        whole = {n for n in self.touched if n not in adds}
+        if whole and self.before:
+            closed = closed.unionByName(kept[CLOSED].withColumn(BUCKET, bucket).filter(F.col(BUCKET).isin(*whole)))
+        self.table.write(closed, CLOSED, self.number, self.bits, self.touched, adds)
+
+    def _position(self, rows: DataFrame) -> DataFrame:
+        """Keys (as _k0, ...) and the sequence of each change, as ``OPENED_BY`` has it."""
+        changes = self.cdc.changes(rows)
+        sequence = self.cdc.sequence(rows)
+        return changes.select(
+            *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(self.cdc.key_list)],
+            F.struct(*[F.col(f"`{c}`").alias(f"s{i}") for i, c in enumerate(sequence)]).alias("_position"),
+        )
+
+    def _since(self, new: DataFrame) -> DataFrame:
+        """Per key of the batch, where the versions that change begin; NULL: with the first one.
+
+        That is the last version to begin before the batch's first change of the key. Values
+        that NULLs leave as they are may come from any earlier change.
+        """
+        names = [f"_k{i}" for i in range(len(self.cdc.key_list))]
+        first = self._position(new).groupBy(*names).agg(F.min("_position").alias("_first"))
+        if self.cdc.ignore_nulls:
+            return first.select(*names, F.lit(None).cast(first.schema["_first"].dataType).alias("_since"))
+        versions = self.stored(OPEN).unionByName(self.stored(CLOSED)).select(*[f"`{k}`" for k in self.cdc.key_list], OPENED_BY)
+        before = _same_keys(versions, first, self.cdc.key_list) & (F.col(OPENED_BY) < F.col("_first"))
+        return first.join(versions, before, "left").groupBy(*names).agg(F.max(OPENED_BY).alias("_since"))
+
+    def _unaffected(self, since: DataFrame) -> tuple[dict[str, DataFrame], set[int]]:
+        """Versions that stay as they are, by part, and the buckets where closed ones do not."""
+        kept = {}
+        for p in (OPEN, CLOSED):
+            rows = self.stored(p)
+            gone = _same_keys(rows, since, self.cdc.key_list) & (F.col("_since").isNull() | (F.col(OPENED_BY) >= F.col("_since")))
+            kept[p] = rows.join(since, gone, "left_anti")
+            if p == CLOSED:
+                lost = rows.join(since, gone, "left_semi").select(self.bucket()).distinct()
+        return kept, {r[0] for r in lost.collect()}
+
+    def _changes_since(self, changes: DataFrame, since: DataFrame) -> DataFrame:
+        """Changes of the batch's keys from where the versions are made anew."""
+        sequence = [F.col(c) if isinstance(c, str) else c for c in self.cdc.order_list]
+        at = changes.withColumn("_position", F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sequence)]))
+        on = _same_keys(at, since, self.cdc.key_list) & (F.col("_since").isNull() | (F.col("_position") >= F.col("_since")))
+        return at.join(since, on, "left_semi").drop("_position")
+
+
+def _add(table: KeptTable, flow: str, number: int, changes: DataFrame, cdc: Cdc, kind: int) -> None:
+    """Apply a flow's batch, unless it has been applied."""
+    with table.lock():
+        last = table.last()
+        if last and last.flows.get(flow, -1) >= number:
+            return
+        table.sweep(last)
+        try:
+            schemas = _schemas(table.spark, changes.schema, cdc, kind, last)
+            batch = _Batch(table, cdc, kind, last, schemas)
+            grown = batch.apply(scd1_state(changes, cdc) if kind == TYPE_1 else changes)
+            flows = {**(last.flows if last else {}), flow: number}
+            size = (last.size if last else 0) + grown
+            table.commit(Load(batch.number, batch.bits, size, schemas, flows, last.comment if last else None))
+        except BaseException:
+            table.failed()
+            raise
+        batch.release()
 
 
 def stream_scd(
@@ -136,7 +243,7 @@ def stream_scd(
     *,
     name: str | None = None,
     interval: str | None = None,
-    compact_every: int = 50,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> StreamingQuery:
     """Start applying the change stream ``df`` to the table at ``target``.
 
@@ -146,11 +253,8 @@ def stream_scd(
 
     def apply(changes: DataFrame, batch: int) -> None:
         spark = changes.sparkSession
-        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        flow = _Flow(spark, f"{target}/{query_id}", kind)
-        _add_delta(flow, changes, cdc, batch)
-        if (batch + 1) % compact_every == 0:
-            _compact(flow, cdc, batch)
+        flow = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        _add(KeptTable(spark, target, bucket_bytes), flow, batch, changes, cdc, kind)
 
     writer = df.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if name is not None:
@@ -159,47 +263,47 @@ def stream_scd(
     return writer.start()
 
 
-def backfill(df: DataFrame, cdc: Cdc, kind: int, target: str, name: str = "backfill") -> None:
+def backfill(
+    df: DataFrame, cdc: Cdc, kind: int, target: str, name: str = "backfill", *, bucket_bytes: int = BUCKET_BYTES
+) -> None:
     """Apply a batch of changes once, as a flow of its own; a second call with the same name does nothing."""
     _check(kind)
-    _add_delta(_Flow(df.sparkSession, f"{target}/{name}", kind), df, cdc, 0)
+    _add(KeptTable(df.sparkSession, target, bucket_bytes), name, 0, df, cdc, kind)
 
 
 def remove_covered(spark: SparkSession, target: str, kind: int) -> int:
-    """Delete what compaction has made redundant; returns the number of folders.
+    """Delete what has been replaced; returns the number of folders.
 
-    Call it when no reader that started before the last compaction is still running.
+    Call it when no reader that started before the last batch is still running.
     """
     _check(kind)
-    removed = 0
-    for flow in _children(spark, target):
-        for folder in _Flow(spark, f"{target}/{flow}", kind).covered():
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            removed += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
-    return removed
+    return KeptTable(spark, target).remove_covered()
 
 
-def _stored(spark: SparkSession, target: str, kind: int) -> DataFrame:
-    paths = [p for f in _children(spark, target) for p in _Flow(spark, f"{target}/{f}", kind).paths()]
-    if not paths:
-        raise ValueError(f"no complete batch below {target}")
-    return _read(spark, paths)
+def _last(table: KeptTable) -> Load:
+    last = table.last()
+    if last is None:
+        raise ValueError(f"no complete batch below {table.root}")
+    return last
 
 
 def current_rows(spark: SparkSession, target: str, cdc: Cdc) -> DataFrame:
     """The type 1 table at ``target``."""
-    return scd1_rows(scd1_merge(_stored(spark, target, TYPE_1), cdc), cdc)
+    table = KeptTable(spark, target)
+    return scd1_rows(table.read(_last(table), STATE), cdc)
 
 
 def history(spark: SparkSession, target: str, cdc: Cdc, where: str | None = None) -> DataFrame:
-    """The type 2 table at ``target``.
-
-    ``where`` is a condition on the keys. It reaches the stored files, also for the search
-    for hot keys, which runs when the frame is built.
-    """
-    log = _stored(spark, target, TYPE_2)
+    """The type 2 table at ``target``; ``where`` is a condition on the keys."""
+    table = KeptTable(spark, target)
+    versions = table.scan(_last(table), [OPEN, CLOSED]).drop(OPENED_BY)
     if where is not None:
-        # A condition on other columns would take changes out of a version's history.
-        spark.createDataFrame([], log.select(*cdc.key_list).schema).filter(where)
-        log = log.filter(where)
-    return scd2(log, cdc)
+        _no_rows(spark, versions.select(*cdc.key_list).schema).filter(where)
+        versions = versions.filter(where)
+    return versions
+
+
+def open_versions(spark: SparkSession, target: str) -> DataFrame:
+    """The open versions of the type 2 table at ``target``; closed ones are not read."""
+    table = KeptTable(spark, target)
+    return table.read(_last(table), OPEN).drop(OPENED_BY)
