@@ -53,9 +53,10 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = Non
     """
     hot_rows = hot_rows or DEFAULT_HOT_ROWS
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-    hot = materialize(counts, "hot-keys")
-    total = hot.agg(F.sum("n").alias("n")).first()["n"]
-    return HotKeys(tuple(keys), None if total is None else hot, 0 if total is None else -(-total // hot_rows) + 1)
+    total = counts.agg(F.sum("n").alias("n")).first()["n"]
+    if total is None:
+        return HotKeys(tuple(keys), None, 0)
+    return HotKeys(tuple(keys), materialize(counts, "hot-keys"), -(-total // hot_rows) + 1)
 
 
 def settle(df: DataFrame, hot: HotKeys) -> DataFrame:

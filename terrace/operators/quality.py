@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 WARN = "warn"
 DROP = "drop"
+FAILED_RULES = "failed_rules"
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,7 @@ def rules(named: Mapping[str, str], action: str) -> list[Rule]:
     return [Rule(name, predicate, action) for name, predicate in named.items()]
 
 
-def _resolve(df: DataFrame, rule_set: Iterable[Rule]) -> list[Rule]:
+def resolve(df: DataFrame, rule_set: Iterable[Rule]) -> list[Rule]:
     """Analyse every predicate against ``df`` so that a bad one is reported by rule name."""
     checked = list(rule_set)
     names = [r.name for r in checked]
@@ -62,7 +63,7 @@ def _resolve(df: DataFrame, rule_set: Iterable[Rule]) -> list[Rule]:
     return checked
 
 
-def _counters(rule_set: list[Rule]) -> list[Column]:
+def counters(rule_set: list[Rule]) -> list[Column]:
     return [F.count(F.lit(1)).alias("rows")] + [F.count_if(r.violated).alias(r.name) for r in rule_set]
 
 
@@ -73,17 +74,17 @@ def expect(df: DataFrame, rule_set: Iterable[Rule], observe: Observation | str |
     filter): pass an ``Observation`` for a batch frame, a metric name for a stream,
     whose counts then arrive per micro-batch in the progress events.
     """
-    checked = _resolve(df, rule_set)
+    checked = resolve(df, rule_set)
     if observe is not None:
-        df = df.observe(observe, *_counters(checked))
+        df = df.observe(observe, *counters(checked))
     drops = [r.holds for r in checked if r.action == DROP]
     return df.filter(reduce(lambda a, b: a & b, drops)) if drops else df
 
 
 def quality_report(df: DataFrame, rule_set: Iterable[Rule]) -> DataFrame:
     """One row per rule: rule, action, passed, violations. One aggregate pass over ``df``."""
-    checked = _resolve(df, rule_set)
-    counts = df.agg(*_counters(checked))
+    checked = resolve(df, rule_set)
+    counts = df.agg(*counters(checked))
     entries = F.array(
         *[
             F.struct(
@@ -98,10 +99,14 @@ def quality_report(df: DataFrame, rule_set: Iterable[Rule]) -> DataFrame:
     return counts.select(F.inline(entries))
 
 
-def quarantine(df: DataFrame, rule_set: Iterable[Rule], column: str = "failed_rules") -> DataFrame:
+def failed_rules(rule_list: Iterable[Rule]) -> Column:
+    """Names of the rules a row violates."""
+    names = F.array(*[F.when(r.violated, F.lit(r.name)) for r in rule_list]).cast("array<string>")
+    return F.filter(names, lambda n: n.isNotNull())
+
+
+def quarantine(df: DataFrame, rule_set: Iterable[Rule], column: str = FAILED_RULES) -> DataFrame:
     """The rows ``expect`` drops, each with the names of the drop rules it violates."""
-    drops = [r for r in _resolve(df, rule_set) if r.action == DROP]
-    names = F.array(*[F.when(r.violated, F.lit(r.name)) for r in drops])
-    failed = F.filter(names, lambda n: n.isNotNull())
+    drops = [r for r in resolve(df, rule_set) if r.action == DROP]
     any_violated = reduce(lambda a, b: a | b, [r.violated for r in drops], F.lit(False))
-    return df.filter(any_violated).withColumn(column, failed)
+    return df.filter(any_violated).withColumn(column, failed_rules(drops))

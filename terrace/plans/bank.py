@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace import fixed_values as fixed
@@ -59,9 +59,9 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def known_customers(cleaned: DataFrame) -> DataFrame:
-    """Keep customers with a UK phone number and known channel, income and risk values."""
-    return cleaned.filter(
+def is_known_customer() -> Column:
+    """A UK phone number and known channel, income and risk values."""
+    return (
         fn.is_uk_phone(F.col("phone_number"))
         & F.col("preferred_channel").isin(fixed.PREFERRED_CHANNELS)
         & F.col("income_range").isin(fixed.INCOME_RANGES)
@@ -69,6 +69,11 @@ def known_customers(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def known_customers(cleaned: DataFrame) -> DataFrame:
+    """Keep customers with a UK phone number and known channel, income and risk values."""
+    return cleaned.filter(is_known_customer())
+
+
 def bronze_customers_clean(
     landing: DataFrame, *, strict_email: bool = False, observe: Observation | str | None = None
 ) -> DataFrame:

@@ -11,6 +11,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from terrace import fixed_values as fixed
@@ -22,9 +23,19 @@ from terrace.operators.quality import Rule
 from terrace.plans import bank, sales
 from terrace.sources import stream_csv, stream_parquet
 from terrace.streaming.change_tables import TYPE_1, TYPE_2, current_rows, history, stream_scd
-from terrace.streaming.quality import count_rules, rule_totals
+from terrace.streaming.quality import (
+    is_checked,
+    quarantined,
+    read_checked,
+    rule_totals,
+    stream_checked,
+    write_checked,
+)
 from terrace.streaming.sinks import finish, write_stream
 
+#: Column of the landing tables with the text of lines that did not parse.
+MALFORMED = "malformed_line"
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -41,12 +52,16 @@ class Layers:
         return f"{self.root}/checkpoints/{dataset}"
 
     def read(self, dataset: str) -> DataFrame:
+        if is_checked(self.spark, self.path(dataset)):
+            return read_checked(self.spark, self.path(dataset))
         reader = self.spark.read
         if dataset in self._schemas:
             reader = reader.schema(self._schemas[dataset])
         return reader.parquet(self.path(dataset))
 
     def stream(self, dataset: str) -> DataFrame:
+        if is_checked(self.spark, self.path(dataset)):
+            return stream_checked(self.spark, self.path(dataset))
         schema = self._schemas[dataset] if dataset in self._schemas else self.read(dataset).schema
         return stream_parquet(self.spark, self.path(dataset), schema)
 
@@ -69,21 +84,24 @@ class Layers:
             ]
         )
 
-    def count_rules(self, **datasets: tuple[DataFrame, list[Rule]]) -> None:
-        """Bring the rule counts of datasets up to date, over the rows before any is dropped."""
+    def check(self, malformed: str | None = None, **datasets: tuple[DataFrame, list[Rule]]) -> None:
+        """Bring datasets with rules up to date: rows, failing rows and counts in one pass over each source."""
         finish(
             *[
-                count_rules(df, rule_list, path=self.quality_path(name), checkpoint=self.checkpoint(f"{name}_rules"))
+                write_checked(
+                    df, rule_list, path=self.path(name), checkpoint=self.checkpoint(name), malformed=malformed
+                )
                 for name, (df, rule_list) in datasets.items()
             ]
         )
 
-    def quality_path(self, dataset: str) -> str:
-        return f"{self.root}/quality/{dataset}"
-
     def quality(self, dataset: str) -> DataFrame:
         """Rule, action, passed and violations of a dataset over all runs."""
-        return rule_totals(self.spark, self.quality_path(dataset))
+        return rule_totals(self.spark, self.path(dataset))
+
+    def quarantine(self, dataset: str) -> DataFrame:
+        """Rows that a dataset's drop rules kept out, with the names of those rules."""
+        return quarantined(self.spark, self.path(dataset))
 
     def materialize(self, dataset: str, df: DataFrame) -> DataFrame:
         """Recompute a dataset in full.
@@ -121,20 +139,18 @@ def run_bank(
     t = Layers(spark, root)
     t.append(
         landing_customers_incremental=stream_csv(
-            spark, customers_folder, fixed.CUSTOMERS_SCHEMA, max_files=max_files
+            spark, customers_folder, fixed.CUSTOMERS_SCHEMA, max_files=max_files, malformed=MALFORMED
         ),
         landing_accounts_incremental=stream_csv(
-            spark, accounts_folder, fixed.ACCOUNTS_SCHEMA, max_files=max_files
+            spark, accounts_folder, fixed.ACCOUNTS_SCHEMA, max_files=max_files, malformed=MALFORMED
         ),
     )
-    t.append(
-        bronze_customers_clean=bank.bronze_customers_clean(t.stream("landing_customers_incremental")),
-        bronze_accounts_clean=bank.bronze_accounts_clean(t.stream("landing_accounts_incremental")),
-    )
-    t.count_rules(
+    landed = bank.clean_customers(t.stream("landing_customers_incremental"))
+    t.check(
+        MALFORMED,
+        # A line that did not parse is no unknown customer: it goes to quarantine.
         bronze_customers_clean=(
-            bank.clean_customers(t.stream("landing_customers_incremental")),
-            bank.customer_rules(),
+            landed.filter(bank.is_known_customer() | F.col(MALFORMED).isNotNull()), bank.customer_rules()
         ),
         bronze_accounts_clean=(bank.clean_accounts(t.stream("landing_accounts_incremental")), bank.account_rules()),
     )
@@ -186,12 +202,7 @@ def run_sales(
 ) -> Layers:
     """Source streams to ``business_sales``. ``feeds`` are the regional sales streams."""
     t = Layers(spark, root)
-    t.append(
-        customers_stg=sales.customers_stg(customers),
-        products_stg=sales.products_stg(products),
-        sales_stg=sales.sales_stg(*feeds),
-    )
-    t.count_rules(
+    t.check(
         customers_stg=(customers, sales.customer_rules()),
         products_stg=(products, sales.product_rules()),
         sales_stg=(append_flows(*feeds), sales.sales_rules()),

@@ -9,21 +9,38 @@ from terrace.streaming.change_tables import (
     stream_scd,
 )
 from terrace.streaming.dedup import dedup_within_watermark
-from terrace.streaming.quality import count_rules, rule_totals
+from terrace.streaming.quality import (
+    Declared,
+    count_rules,
+    declare_checked,
+    declared,
+    quarantined,
+    read_checked,
+    rule_totals,
+    stream_checked,
+    write_checked,
+)
 from terrace.streaming.sinks import finish, write_stream
 
 __all__ = [
+    "Declared",
     "backfill",
     "comment_of",
     "count_rules",
     "current_rows",
     "declare",
+    "declare_checked",
+    "declared",
     "dedup_within_watermark",
     "finish",
     "history",
     "open_versions",
+    "quarantined",
+    "read_checked",
     "remove_covered",
     "rule_totals",
+    "stream_checked",
     "stream_scd",
+    "write_checked",
     "write_stream",
 ]

@@ -142,17 +142,17 @@ class _Batch:
 
     def _type_1(self, new: DataFrame) -> None:
         state = scd1_merge(self.stored(STATE).unionByName(new.drop(BUCKET)), self.cdc)
-        self.table.write(state.withColumn(BUCKET, self.bucket()), STATE, self.number, self.bits, self.touched)
+        self.table.write(self.number, self.bits, self.touched, {STATE: state.withColumn(BUCKET, self.bucket())})
 
     def _type_2(self, new: DataFrame) -> None:
         cdc, keys = self.cdc, self.cdc.key_list
         new = new.drop(BUCKET)
         changes = self.stored(CHANGES)
         adds = self.addable[CHANGES]
-        whole = {n for n in self.touched if n not in adds}
+        whole = self.touched - adds
         bucket = self.bucket()
         log = new if not whole or not self.before else new.unionByName(changes.filter(bucket.isin(*whole)))
-        self.table.write(log.withColumn(BUCKET, bucket), CHANGES, self.number, self.bits, self.touched, adds)
+        self.table.write(self.number, self.bits, self.touched, {CHANGES: log.withColumn(BUCKET, bucket)}, {CHANGES: adds})
 
         if not self.before:
             since, kept = None, {p: _no_rows(self.table.spark, self.schemas[p]) for p in (OPEN, CLOSED)}
@@ -163,14 +163,12 @@ class _Batch:
             versions = scd2(self._changes_since(changes.unionByName(new), since), cdc, OPENED_BY)
         versions = self.keep(versions.withColumn(BUCKET, bucket), "versions")
         opened, closed = (versions.filter(F.col(VALID_TO).isNull() if p == OPEN else F.col(VALID_TO).isNotNull()) for p in (OPEN, CLOSED))
-        self.table.write(
-            kept[OPEN].withColumn(BUCKET, bucket).unionByName(opened), OPEN, self.number, self.bits, self.touched
-        )
+        opened = opened.unionByName(kept[OPEN].withColumn(BUCKET, bucket))
         adds = self.addable[CLOSED] - late
-        whole = {n for n in self.touched if n not in adds}
+        whole = self.touched - adds
         if whole and self.before:
             closed = closed.unionByName(kept[CLOSED].withColumn(BUCKET, bucket).filter(F.col(BUCKET).isin(*whole)))
-        self.table.write(closed, CLOSED, self.number, self.bits, self.touched, adds)
+        self.table.write(self.number, self.bits, self.touched, {OPEN: opened, CLOSED: closed}, {CLOSED: adds})
 
     def _position(self, rows: DataFrame) -> DataFrame:
         """Keys (as _k0, ...) and the sequence of each change, as ``OPENED_BY`` has it."""

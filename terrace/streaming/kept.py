@@ -1,7 +1,7 @@
 """Tables on plain parquet that are kept by replacing the buckets a batch touches.
 
 Rows are dealt to buckets by a hash of their keys. A table has one or more parts, and each
-part one folder per bucket and load: ``<root>/<part>/_bucket=<bits>-<number>/_load=<n>r``.
+part one folder per bucket and load: ``<root>/_part=<part>/_bucket=<bits>-<number>/_load=<n>r``.
 A load writes what its buckets hold from now on (``r``), or what is to be added to them
 (``a``), for the buckets it touches and no others. The file ``<root>/loads/<n>`` is written
 last: folders of later loads do not count, so a load is there as a whole or not at all,
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+PART = "_part"
 BUCKET = "_bucket"
 LOAD = "_load"
 #: Bits of the bucket number of a new table, and bytes of a bucket above which it gets one more.
@@ -78,7 +79,7 @@ class Folder:
 
     @property
     def name(self) -> str:
-        return f"{self.part}/{BUCKET}={self.bits}-{self.bucket}/{LOAD}={self.load:012d}{'r' if self.replaces else 'a'}"
+        return f"{PART}={self.part}/{BUCKET}={self.bits}-{self.bucket}/{LOAD}={self.load:012d}{'r' if self.replaces else 'a'}"
 
     def covers(self, other: Folder) -> bool:
         """Whether ``other`` no longer counts because of this one."""
@@ -154,13 +155,13 @@ class KeptTable:
     def folders(self, parts: Iterable[str] | None = None, buckets: Iterable[tuple[int, int]] | None = None) -> list[Folder]:
         """All folders of some parts, or of the buckets that the given ones (bits, number) come from."""
         out = []
-        for part in parts or [p for p in self._names("") if p != "loads"]:
-            names = {n for n in self._names(part) if n.startswith(f"{BUCKET}=")}
+        for part in parts or [p.removeprefix(f"{PART}=") for p in self._names("") if p.startswith(f"{PART}=")]:
+            names = {n for n in self._names(f"{PART}={part}") if n.startswith(f"{BUCKET}=")}
             if buckets is not None:
                 names &= {f"{BUCKET}={b}-{n % (1 << b)}" for bits, n in buckets for b in range(bits + 1)}
             for name in names:
                 bits, number = map(int, name.removeprefix(f"{BUCKET}=").split("-"))
-                for load in self._names(f"{part}/{name}"):
+                for load in self._names(f"{PART}={part}/{name}"):
                     if load.startswith(f"{LOAD}="):
                         tag = load.removeprefix(f"{LOAD}=")
                         out.append(Folder(part, bits, number, int(tag[:-1]), tag[-1] == "r"))
@@ -193,20 +194,25 @@ class KeptTable:
         """Number of the bucket of a row."""
         return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(1 << bits))
 
-    def write(self, df: DataFrame, part: str, load: int, bits: int, touched: Iterable[int], adds: Iterable[int] = ()) -> None:
-        """Rows with a column ``BUCKET`` that holds numbers of ``bits`` bits.
+    def write(
+        self, load: int, bits: int, touched: Iterable[int], rows: dict[str, DataFrame], adds: dict[str, set[int]] | None = None
+    ) -> None:
+        """Rows by part, with a column ``BUCKET`` that holds numbers of ``bits`` bits; parts with the same columns.
 
         They replace what the ``touched`` buckets hold, of which those in ``adds`` keep it too.
         """
-        adds = set(adds)
-        tag = F.lit(f"{load:012d}r")
-        if adds:
-            tag = F.when(F.col(BUCKET).isin(*adds), F.lit(f"{load:012d}a")).otherwise(tag)
-        named = df.withColumn(LOAD, tag).withColumn(BUCKET, F.concat(F.lit(f"{bits}-"), F.col(BUCKET).cast("string")))
+        adds = adds or {}
+        whole = None
+        for part, df in rows.items():
+            tag = F.lit(f"{load:012d}r")
+            if adds.get(part):
+                tag = F.when(F.col(BUCKET).isin(*adds[part]), F.lit(f"{load:012d}a")).otherwise(tag)
+            named = df.withColumns({PART: F.lit(part), LOAD: tag, BUCKET: F.concat(F.lit(f"{bits}-"), F.col(BUCKET).cast("string"))})
+            whole = named if whole is None else whole.unionByName(named)
         # Buckets together as far as sizes allow: Spark gives a large one to several tasks.
-        named.hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET, LOAD).parquet(f"{self.root}/{part}")
-        for n in touched:
-            if n not in adds:
+        whole.hint("rebalance", PART, BUCKET).write.mode("append").partitionBy(PART, BUCKET, LOAD).parquet(self.root)
+        for part in rows:
+            for n in set(touched) - adds.get(part, set()):
                 # A bucket without rows has a folder too: it replaces what was there.
                 self._fs.mkdirs(self._path(Folder(part, bits, n, load, True).name))
 

@@ -4,27 +4,38 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from terrace import fixed_values as fixed
 from terrace.operators.append import append_flows
 from terrace.operators.cdc import Cdc, scd1, scd2
+from terrace.operators.quality import DROP, WARN, expect, quality_report, quarantine, rules
 from terrace.plans import bank, runs
 from terrace.sources import read_csv, stream_csv, stream_parquet, with_audit_columns
 from terrace.streaming import (
+    Declared,
     backfill,
     change_tables,
     comment_of,
     current_rows,
     declare,
+    declare_checked,
+    declared,
     dedup_within_watermark,
     finish,
     history,
     kept,
     open_versions,
+    quarantined,
+    read_checked,
     remove_covered,
+    rule_totals,
+    stream_checked,
     stream_scd,
+    write_checked,
     write_stream,
 )
+from terrace.streaming import quality as quality_streams
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
 from terrace.streaming.kept import KeptTable
 from tests.helpers import plan, rows, same_rows
@@ -72,15 +83,15 @@ def test_stream_equals_batch_over_runs(spark, tmp_path, case, kind):
     cdc = Cdc("k", "seq", columns=["a"], **CASES[case])
     data = changes()
     target, checkpoint = f"{tmp_path}/t", f"{tmp_path}/c"
-    for n, part in enumerate((data[:100], data[100:250], data[250:], [])):
+    for n, part in enumerate((data[:200], data[200:], [])):
         for m, chunk in enumerate((part[::2], part[1::2]) if part else ()):
             put(spark, f"{tmp_path}/in", f"{n}-{m}", chunk)
         finish(stream_scd(feed(spark, f"{tmp_path}/in"), cdc, kind, target, checkpoint, bucket_bytes=1000, name=f"{case}{kind}"))
         if part:
-            done = sum(len(p) for p in (data[:100], data[100:250], data[250:])[: n + 1])
-            assert same_rows(table(spark, target, cdc, kind), expected(spark, data[:done], cdc, kind))
+            done = data[:200] if n == 0 else data
+            assert same_rows(table(spark, target, cdc, kind), expected(spark, done, cdc, kind))
     last = KeptTable(spark, target).last()
-    assert last.number == 5 and list(last.flows.values()) == [5] and last.bits > kept.FIRST_BITS
+    assert last.number == 3 and list(last.flows.values()) == [3] and last.bits > kept.FIRST_BITS
     before = table(spark, target, cdc, kind)
     assert remove_covered(spark, target, kind) > 0 and remove_covered(spark, target, kind) == 0
     assert same_rows(table(spark, target, cdc, kind), expected(spark, data, cdc, kind))
@@ -93,10 +104,10 @@ def test_removal_after_every_batch_and_buckets_in_many_pieces(spark, tmp_path, m
     cdc = Cdc("k", "seq", columns=["a"], deletes="op = 'D'")
     data = changes(120)
     target = f"{tmp_path}/t"
-    for n in range(6):
-        backfill(spark.createDataFrame(data[n * 20 : n * 20 + 20], SCHEMA), cdc, kind, target, str(n))
+    for n in range(4):
+        backfill(spark.createDataFrame(data[n * 30 : n * 30 + 30], SCHEMA), cdc, kind, target, str(n))
         remove_covered(spark, target, kind)
-        assert same_rows(table(spark, target, cdc, kind), expected(spark, data[: n * 20 + 20], cdc, kind))
+    assert same_rows(table(spark, target, cdc, kind), expected(spark, data, cdc, kind))
     found = KeptTable(spark, target).folders()
     pieces = collections.Counter((f.part, f.bits, f.bucket) for f in found)
     assert max(pieces.values()) <= 2
@@ -156,13 +167,13 @@ def written(target, load):
 def test_a_batch_on_one_key_writes_one_bucket_whatever_the_size_of_the_table(spark, tmp_path, kind):
     cdc = Cdc("k", "seq", columns=["a"])
     sizes = []
-    for scale in (1, 16):
+    for scale in (1, 8):
         target = f"{tmp_path}/{scale}"
-        rows = spark.range(4000 * scale).selectExpr("cast(id as int) k", "1 seq", "sha2(cast(id as string), 256) a", "'U' op")
-        backfill(rows.limit(10), cdc, kind, target, "declare", bucket_bytes=20_000)
-        for n in range(3):  # buckets follow the size that the load before left
-            backfill(rows.withColumn("seq", F.lit(2 + n)), cdc, kind, target, f"load {n}", bucket_bytes=20_000)
-        backfill(spark.createDataFrame([(7, 9, "late", "U")], SCHEMA), cdc, kind, target, "one", bucket_bytes=20_000)
+        rows = spark.range(2000 * scale).selectExpr("cast(id as int) k", "1 seq", "sha2(cast(id as string), 256) a", "'U' op")
+        backfill(rows.limit(10), cdc, kind, target, "declare", bucket_bytes=10_000)
+        for n in range(2):  # buckets follow the size that the load before left
+            backfill(rows.withColumn("seq", F.lit(2 + n)), cdc, kind, target, f"load {n}", bucket_bytes=10_000)
+        backfill(spark.createDataFrame([(7, 9, "late", "U")], SCHEMA), cdc, kind, target, "one", bucket_bytes=10_000)
         size, buckets = written(target, KeptTable(spark, target).last().number)
         assert len(buckets) == 1
         sizes.append(size)
@@ -369,3 +380,82 @@ def test_key_condition_of_a_history_reaches_the_files(spark, tmp_path):
     assert same_rows(one, history(spark, target, cdc).filter("k = 3"))
     with pytest.raises(Exception, match="(?i)resolve|column"):
         history(spark, target, cdc, where="a = '3'")
+
+
+# --- rules on streams -------------------------------------------------------
+
+RULES = rules({"has_k": "k IS NOT NULL", "early": "seq < 500"}, DROP) + rules({"has_a": "a IS NOT NULL"}, WARN)
+
+
+def checked(spark, tmp_path, **options):
+    finish(write_checked(feed(spark, f"{tmp_path}/in"), RULES, path=f"{tmp_path}/t", checkpoint=f"{tmp_path}/c", **options))
+
+
+def test_rows_failing_rows_and_counts_of_one_pass(spark, tmp_path):
+    data = [*changes(), (None, 600, None, "U"), (None, 1, "x", "U")]
+    for n in range(3):
+        put(spark, f"{tmp_path}/in", str(n), data[n::3])
+    checked(spark, tmp_path, comment="numbers")
+    whole = spark.createDataFrame(data, SCHEMA)
+    path = f"{tmp_path}/t"
+    assert same_rows(read_checked(spark, path), expect(whole, RULES))
+    assert same_rows(quarantined(spark, path), quarantine(whole, RULES))
+    assert same_rows(rule_totals(spark, path), quality_report(whole, RULES))
+    assert declared(spark, path).comment == "numbers" and declared(spark, path).rules == RULES
+    onwards = stream_checked(spark, path)
+    finish(write_stream(onwards, path=f"{tmp_path}/next", checkpoint=f"{tmp_path}/c2"))
+    assert same_rows(spark.read.parquet(f"{tmp_path}/next"), expect(whole, RULES))
+
+
+def test_a_batch_stored_in_part_is_stored_again_whole(spark, tmp_path, monkeypatch):
+    """The query dies after the failing rows are in place; the replay neither loses nor doubles anything."""
+    data = changes(200)
+    put(spark, f"{tmp_path}/in", "0", [(None, 1, "x", "U"), *data])
+    put_folder = quality_streams._Folders.put
+    with monkeypatch.context() as m:
+        m.setattr(quality_streams._Folders, "put", lambda self, new, to: 1 / 0 if "/rows/" in to else put_folder(self, new, to))
+        with pytest.raises(Exception, match="division"):
+            checked(spark, tmp_path)
+    assert read_checked(spark, f"{tmp_path}/t").isEmpty()
+    checked(spark, tmp_path)
+    whole = spark.createDataFrame([(None, 1, "x", "U"), *data], SCHEMA)
+    assert same_rows(read_checked(spark, f"{tmp_path}/t"), expect(whole, RULES))
+    assert same_rows(quarantined(spark, f"{tmp_path}/t"), quarantine(whole, RULES))
+    assert same_rows(rule_totals(spark, f"{tmp_path}/t"), quality_report(whole, RULES))
+    # The batch is there: a lost checkpoint replays it to no effect.
+    finish(write_checked(feed(spark, f"{tmp_path}/in"), RULES, path=f"{tmp_path}/t", checkpoint=f"{tmp_path}/other"))
+    assert read_checked(spark, f"{tmp_path}/t").count() == expect(whole, RULES).count()
+
+
+def test_a_declared_table_with_rules_reads_as_empty(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    declare_checked(spark, path, Declared(spark.createDataFrame([], SCHEMA).schema, RULES, "to come"))
+    assert read_checked(spark, path).isEmpty() and quarantined(spark, path).isEmpty() and rule_totals(spark, path).isEmpty()
+    assert declared(spark, path).comment == "to come"
+    # A stream over it starts before there is anything to take.
+    finish(write_stream(stream_checked(spark, path), path=f"{tmp_path}/next", checkpoint=f"{tmp_path}/c2"))
+    put(spark, f"{tmp_path}/in", "0", changes(20))
+    checked(spark, tmp_path)
+    finish(write_stream(stream_checked(spark, path), path=f"{tmp_path}/next", checkpoint=f"{tmp_path}/c2"))
+    assert spark.read.parquet(f"{tmp_path}/next").count() == 20
+
+
+def test_one_scan_per_source_in_the_bank_chain(spark, tmp_path, monkeypatch):
+    """Malformed lines, failing rows and counts come from the query that stores the rows."""
+    customers, accounts = f"{tmp_path}/customers", f"{tmp_path}/accounts"
+    csv(customers, "1.csv", customer_line(1, "a"), "x,y", customer_line(2, "b").replace("1990-01-01", "1990-31-31"), header=CUSTOMER_HEADER)
+    csv(accounts, "1.csv", "10,1,s,1.0,100,2024-01-02,credit,2.5,atm", "20,1,s,1.0,101,2024-01-02,debitt,much,online", "20,1,s,1.0,,2024-01-02,debitt,1,online")
+    started = []
+    start = DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: started.append(1) or start(self, *a, **k))
+    t = runs.run_bank(spark, customers, accounts, f"{tmp_path}/root", as_of="2024-06-01")
+    assert len(started) == 8
+    assert rows(t.read("bronze_customers_clean"), "customer_id") == [(1,)]
+    assert "malformed_line" not in t.read("bronze_customers_clean").columns
+    lines = rows(t.quarantine("bronze_customers_clean"), "malformed_line", F.col("failed_rules")[0])
+    assert [x[1] for x in lines] == ["well_formed"] * 2 and {x[0][:4] for x in lines} == {"x,y", "2,n2"}
+    assert rows(t.read("bronze_accounts_clean"), "txn_id") == [(100,)]
+    failed = t.quarantine("bronze_accounts_clean")
+    assert rows(failed, F.concat_ws(",", "failed_rules")) == [("valid_txn_id",), ("well_formed,valid_txn_amount",)]
+    totals = {r.rule: (r.passed, r.violations) for r in t.quality("bronze_accounts_clean").collect()}
+    assert totals["well_formed"] == (2, 1) and totals["valid_txn_id"] == (2, 1) and totals["valid_balance"] == (3, 0)
