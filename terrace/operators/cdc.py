@@ -9,7 +9,9 @@ Type 2 keeps every version of a key with the half-open interval ``[valid_from,
 valid_to)`` in which it held. It is one pass of windows per key; hot keys are cut into
 slices (see ``ordered``).
 
-Data columns must be of types Spark can order (no maps). Sequences must not be NULL.
+Data columns must be of types Spark can order (no maps). Sequences must not be NULL, and changes
+of a key that tie and differ are an error unless asked otherwise (``Cdc.ties``); equal
+changes, such as a replay brings, are one.
 """
 
 from __future__ import annotations
@@ -36,15 +38,27 @@ VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
 
+_DIGEST = "_digest"
 _DELETE = "_delete"
 _TRUNCATE = "_truncate"
 _HIDDEN = "_seq"
+_HIGH, _LOW = "_high", "_low"
 
 
 def _listed(value: str | Column | Sequence[str | Column]) -> tuple[str | Column, ...]:
     return (value,) if isinstance(value, (str, Column)) else tuple(value)
 
 
+def _fails(what: str, keys: Sequence[str]) -> Column:
+    """An error that names the key, raised for the rows that reach it; as a condition, it has a type."""
+    named = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    return F.raise_error(F.concat(F.lit(f"{what}: "), named)).cast("boolean")
+
+
+def _digest(columns: Sequence[str]) -> Column:
+    return F.xxhash64(F.col(_DELETE), *columns)
+
+
 @dataclass(frozen=True)
 class Cdc:
     """How to read a change feed.
@@ -61,6 +75,10 @@ class Cdc:
                     columns of the open version are updated in place
     track_except    type 2: the same, given by exclusion
     hot_rows        type 2: cut keys above this many rows into slices (default: 10 million)
+    ties            "error": changes of a key that tie on the sequence and differ are an error
+                    when the result is computed; "values": the larger data columns win
+
+    A NULL in a sequence column is an error when the result is computed.
     """
 
     keys: Sequence[str] | str
@@ -73,6 +91,7 @@ class Cdc:
     track: Sequence[str] | None = None
     track_except: Sequence[str] | None = None
     hot_rows: int | None = None
+    ties: str = "error"
     key_list: tuple[str, ...] = field(init=False)
     order_list: tuple[str | Column, ...] = field(init=False)
 
@@ -81,6 +100,8 @@ class Cdc:
             raise ValueError("give columns or except_columns, not both")
         if self.track is not None and self.track_except is not None:
             raise ValueError("give track or track_except, not both")
+        if self.ties not in ("error", "values"):
+            raise ValueError(f"ties must be 'error' or 'values', not '{self.ties}'")
         object.__setattr__(self, "key_list", _listed(self.keys))
         object.__setattr__(self, "order_list", _listed(self.sequence_by))
         if not self.key_list or not self.order_list:
@@ -136,10 +157,13 @@ class Cdc:
             for name, c in zip(self.sequence(source), self.order_list)
             if name.startswith(_HIDDEN)
         }
+        # The flag is part of every result, so the check is never left out.
+        missing = reduce(lambda a, b: a | b, [(F.col(c) if isinstance(c, str) else c).isNull() for c in self.order_list])
+        deletes = F.when(missing, _fails("a change has NULL in its sequence", self.key_list)).otherwise(self._flag(self.deletes))
         return source.select(
             *self.key_list,
             *[c.alias(n) for n, c in hidden.items()],
-            self._flag(self.deletes).alias(_DELETE),
+            deletes.alias(_DELETE),
             self._flag(self.truncates).alias(_TRUNCATE),
             *self.data_columns(source),
         )
@@ -159,11 +183,7 @@ def sequence_ties(df: DataFrame, cdc: Cdc) -> DataFrame:
 
 
 def require_unique_sequence(df: DataFrame, cdc: Cdc) -> DataFrame:
-    """``df`` unchanged, or an error if changes of one key tie.
-
-    Without the check a tie is settled by the larger data columns: repeatable, but not
-    necessarily the change that came last.
-    """
+    """``df`` unchanged, or an error if changes of one key tie, also equal ones and those of old versions."""
     example = sequence_ties(df, cdc).first()
     if example is not None:
         raise ValueError(f"changes tie on key and sequence, add a tiebreak column: {example.asDict()}")
@@ -204,6 +224,11 @@ def scd1_state(df: DataFrame, cdc: Cdc) -> DataFrame:
     else:
         values = [c for c in data if c not in sequence]
         measures = [F.max(F.struct(*sequence, _DELETE, *values)).alias("_row")]
+    if cdc.ties == "error":
+        # Least and greatest digest at the highest sequence: they differ where changes tie.
+        digest = _digest([c for c in data if c not in sequence])
+        measures += [F.max(F.struct(*sequence, digest.alias("d"))).alias(_HIGH)]
+        measures += [F.max(F.struct(*sequence, F.bitwise_not(digest).alias("d"))).alias(_LOW)]
     return changes.groupBy(*_state_keys(cdc)).agg(*measures)
 
 
@@ -233,7 +258,11 @@ def scd1_rows(state: DataFrame, cdc: Cdc) -> DataFrame:
 
         state = state.filter(after_cut("_row"))
 
-    alive = state.filter(~F.col(f"_row.{_DELETE}"))
+    gone = F.col(f"_row.{_DELETE}")
+    if _HIGH in state.columns and cdc.ties == "error":
+        tie = F.col(f"{_HIGH}.d") != F.bitwise_not(f"{_LOW}.d")
+        gone = F.when(tie, _fails("changes tie on key and sequence, add a tiebreak column", cdc.key_list)).otherwise(gone)
+    alive = state.filter(~gone)
     if cdc.ignore_nulls:
         names = [c.removeprefix("_last_") for c in state.columns if c.startswith("_last_")]
         values = [F.when(after_cut(f"_last_{c}"), F.col(f"`_last_{c}`.value")).alias(c) for c in names]
@@ -282,9 +311,14 @@ def scd2(df: DataFrame, cdc: Cdc, opened_by: str | None = None) -> DataFrame:
             .drop(*[f"_last_{c}" for c in nullable])
         )
 
+    checked = sequence if cdc.ties == "error" else None
+    if checked:
+        changes = changes.withColumn(_DIGEST, _digest([c for c in data if c not in sequence]))
     split = split_hot_keys(changes, order, hot)
-    versions = _versions(_local_changes(split.cold, keys, order, tracked), keys, order, opening)
+    versions = _versions(_local_changes(split.cold, keys, order, tracked, checked), keys, order, opening)
     if split.hot is not None:
+        if checked:
+            _require_no_ties(split.hot, [*keys, *sequence])
         sliced = _local_changes(split.hot, [*keys, SLICE], order, tracked)
         carry = materialize(_slice_carry(sliced, keys, order, tracked, opening), "carry")
         of_hot = _versions(join_carry(sliced, carry, keys), [*keys, SLICE], order, opening, carried=True)
@@ -302,11 +336,21 @@ def scd2(df: DataFrame, cdc: Cdc, opened_by: str | None = None) -> DataFrame:
     )
 
 
+def _require_no_ties(rows: DataFrame, by: Sequence[str]) -> None:
+    """An error if changes tie, for keys cut into slices: a tie may lie on both sides of a cut."""
+    same = rows.groupBy(*by).agg((F.min(_DIGEST) != F.max(_DIGEST)).alias("tie")).filter("tie").drop("tie").first()
+    if same is not None:
+        raise ValueError(f"changes tie on key and sequence, add a tiebreak column: {same.asDict()}")
+
+
 def _local_changes(
-    rows: DataFrame, by: Sequence[str], order: Sequence[str], tracked: Sequence[str]
+    rows: DataFrame, by: Sequence[str], order: Sequence[str], tracked: Sequence[str], checked: Sequence[str] | None = None
 ) -> DataFrame:
     """Compare each row with its neighbours in one pass.
 
+    Rows that are equal in the columns ``checked`` to the one before them and differ from it
+    in their digest are an error.
+
     ``_opens``  differs from the row before it (NULL on the first row of a window)
     ``_closes``  differs from the row after it (NULL on the last row), at ``_closed_at``
     """
@@ -318,11 +362,16 @@ def _local_changes(
         return F.when(deleted.isNotNull(), ~((deleted == F.col(_DELETE)) & (F.col(_DELETE) | same)))
 
     before = {f"_before_{c}": F.lag(c).over(window) for c in (_DELETE, *tracked)}
+    opens = differs("_before_")
+    if checked:
+        before |= {"_before_at": F.lag(F.struct(*checked)).over(window), f"_before_{_DIGEST}": F.lag(_DIGEST).over(window)}
+        tie = (F.col("_before_at") == F.struct(*checked)) & (F.col(f"_before_{_DIGEST}") != F.col(_DIGEST))
+        opens = F.when(tie, _fails("changes tie on key and sequence, add a tiebreak column", by)).otherwise(opens)
     after = {f"_after_{c}": F.lead(c).over(window) for c in (_DELETE, *tracked)}
     return (
         rows.withColumns({**before, **after, "_closed_at": F.lead(order[0]).over(window)})
-        .withColumns({"_opens": differs("_before_"), "_closes": differs("_after_")})
-        .drop(*before, *after)
+        .withColumns({"_opens": opens, "_closes": differs("_after_")})
+        .drop(*before, *after, _DIGEST)
     )
 
 

@@ -127,16 +127,57 @@ def test_null_and_composite_keys_in_slices(spark):
     assert same_rows(scd2(df, plain), scd2(df, sliced))
 
 
-def test_ties_are_settled_the_same_way_everywhere(spark):
+def test_ties_are_settled_the_same_way_everywhere_if_asked(spark):
     data = [(k, seq // 3, a, b, op) for k, seq, a, b, op in random_changes(5)]
     df = frame(spark, data)
-    plain = scd2(df, Cdc("k", "seq", columns=["a", "b"]))
-    sliced = scd2(df.repartition(7), Cdc("k", "seq", columns=["a", "b"], hot_rows=9))
+    settled = {"columns": ["a", "b"], "ties": "values"}
+    plain = scd2(df, Cdc("k", "seq", **settled))
+    sliced = scd2(df.repartition(7), Cdc("k", "seq", **settled, hot_rows=9))
     assert same_rows(plain, sliced)
-    current = scd1(df.repartition(3), Cdc("k", "seq", columns=["a", "b"]))
+    current = scd1(df.repartition(3), Cdc("k", "seq", **settled))
     assert same_rows(plain.filter("is_current").select("k", "a", "b"), current.select("k", "a", "b"))
 
 
+TIE = [(1, 5, "x", None, "U"), (1, 5, "y", None, "U")]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+@pytest.mark.parametrize("options", [{}, {"ignore_nulls": True}, {"deletes": "op = 'D'"}])
+def test_ties_are_an_error(spark, hot_rows, options):
+    cdc = Cdc("k", "seq", columns=["a", "b"], hot_rows=hot_rows, **options)
+    for apply in (scd1, scd2):
+        with pytest.raises(Exception, match="changes tie on key and sequence.*1"):
+            apply(frame(spark, [*TIE, (2, 1, "z", None, "U")]), cdc).collect()
+        # Equal changes are one, and a tie in a column that is left out is none.
+        assert rows(apply(frame(spark, [TIE[0], TIE[0]]), cdc), "k", "a") == [(1, "x")]
+        assert rows(apply(frame(spark, TIE), Cdc("k", "seq", columns=["b"], hot_rows=hot_rows, **options)), "k") == [(1,)]
+    with pytest.raises(ValueError, match="ties must be"):
+        Cdc("k", "seq", ties="any")
+
+
+def test_a_tie_among_old_changes_matters_to_type_2_alone(spark):
+    data = [*TIE, (1, 9, "z", None, "U")]
+    assert rows(scd1(frame(spark, data), Cdc("k", "seq", columns=["a"])), "a") == [("z",)]
+    with pytest.raises(Exception, match="changes tie"):
+        scd2(frame(spark, data), Cdc("k", "seq", columns=["a"])).collect()
+
+
+def test_a_tie_between_merged_states_is_an_error(spark):
+    cdc = Cdc("k", "seq", columns=["a"])
+    one, other = (scd1_state(frame(spark, [t]), cdc) for t in TIE)
+    with pytest.raises(Exception, match="changes tie"):
+        scd1_rows(scd1_merge(one.unionByName(other), cdc), cdc).collect()
+
+
+@pytest.mark.parametrize("sequence", ["seq", ("b", "seq"), "expression"])
+def test_null_in_a_sequence_is_an_error(spark, sequence):
+    sequence = F.col("seq") + 1 if sequence == "expression" else sequence
+    data = [(1, 1, "x", 1, "U"), (2, None, "y", None, "U")]
+    for apply in (scd1, scd2):
+        with pytest.raises(Exception, match="NULL in its sequence.*2"):
+            apply(frame(spark, data), Cdc("k", sequence, columns=["a"])).collect()
+
+
 # --- properties -------------------------------------------------------------
 
 
