@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
+from unittest import mock
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +28,14 @@ from terrace.operators import (
     Cdc,
     Rule,
     append_flows,
+    effective_date_join,
     expect,
     quality,
     quarantine,
     rules,
     scd1,
     scd2,
+    with_dimension_key,
     with_surrogate_key,
 )
 from terrace.operators.datasets import save_table, save_view
@@ -47,16 +52,22 @@ from terrace.sources import (
 )
 from terrace.streaming import (
     backfill,
+    comment_of,
     count_rules,
     current_rows,
+    declare,
     dedup_within_watermark,
     finish,
     history,
+    quarantined,
+    read_checked,
     rule_totals,
     stream_scd,
+    write_checked,
     write_stream,
 )
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
+from terrace.streaming.kept import KeptTable, Load
 
 Query = Callable[[Inputs], DataFrame]
 
@@ -663,6 +674,16 @@ def star_join_effective_date_sweep(i: Inputs) -> DataFrame:
     return sales.star_join(*_star(i), sales.AS_OF, method="sweep")
 
 
+@query(sql.sales(sql.star("as_of", "f.*, region")))
+def effective_date_join_descend(i: Inputs) -> DataFrame:
+    """Groups of two versions, so that customers, who have more, are found over two levels."""
+    fact, customers, products = _star(i)
+    slim = customers.select("customer_id", "region", "valid_from", "valid_to")
+    found = effective_date_join(fact, slim, "customer_id", "sale_timestamp", method="descend", max_versions=2)
+    known = products.select("product_id", "valid_from", "valid_to")
+    return effective_date_join(found, known, "product_id", "sale_timestamp")
+
+
 @query(sql.sales(sql.business("naive")))
 def business_sales_naive(i: Inputs) -> DataFrame:
     return sales.business_sales(*_star(i), sales.NAIVE, CENTS)
@@ -844,6 +865,12 @@ def users_by_type(i: Inputs) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------
 
+_QUARANTINE = (
+    "SELECT *, concat_ws(',', "
+    + ", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN '{n}' END" for n, _, p in sql.ACCOUNT_RULES)
+    + f") AS failed FROM accounts_clean WHERE NOT coalesce({sql.passes(sql.ACCOUNT_RULES)}, false)"
+)
+
 
 def _csv_folder(df: DataFrame, label: str) -> str:
     path = new_work_dir(df.sparkSession, label)
@@ -958,6 +985,61 @@ def stream_quality_report(i: Inputs) -> DataFrame:
     return rule_totals(i.spark, f"{root}/counts")
 
 
+def _checked_accounts(i: Inputs) -> str:
+    """The accounts as a stream of three batches with the account rules, stored."""
+    raw = i.accounts_raw
+    cleaned = bank.clean_accounts(
+        stream_parquet(i.spark, _parquet_folder(raw, "accounts", 3), raw.schema, max_files=1)
+    )
+    root = new_work_dir(i.spark, "checked")
+    finish(write_checked(cleaned, bank.account_rules(), path=f"{root}/table", checkpoint=f"{root}/checkpoint"))
+    return f"{root}/table"
+
+
+@query(sql.bank("SELECT * FROM bronze_accounts"))
+def stream_checked_rows(i: Inputs) -> DataFrame:
+    """Rows that pass, stored by the same pass that counts and sets aside."""
+    return read_checked(i.spark, _checked_accounts(i))
+
+
+@query(sql.bank(_QUARANTINE))
+def stream_quarantine(i: Inputs) -> DataFrame:
+    """Rows of a stream that failed, with the rules they failed."""
+    failing = quarantined(i.spark, _checked_accounts(i))
+    return failing.withColumn("failed", F.concat_ws(",", "failed_rules")).drop("failed_rules")
+
+
+@query(sql.bank(sql.report("accounts_clean", sql.ACCOUNT_RULES)))
+def stream_checked_counts(i: Inputs) -> DataFrame:
+    return rule_totals(i.spark, _checked_accounts(i))
+
+
+_BROKEN = "txn_id % 50 = 7"
+
+
+@query(
+    sql.bank(
+        f"SELECT account_id, txn_id, CASE WHEN NOT coalesce({_BROKEN}, false) THEN txn_date END AS txn_date, "
+        f"CASE WHEN {_BROKEN} THEN concat_ws(',', account_id, customer_id, account_type, txn_id) END AS line, "
+        f"CASE WHEN {_BROKEN} THEN 'well_formed,valid_txn_date' || CASE WHEN txn_channel IS NULL THEN ',valid_txn_channel' ELSE '' END "
+        f"ELSE '' END AS failed FROM accounts_raw WHERE {_BROKEN} OR coalesce({sql.passes(sql.ACCOUNT_RULES)}, false)"
+    )
+)
+def csv_malformed_rows(i: Inputs) -> DataFrame:
+    """A folder of CSV files in which every 50th date is none: what passes, and what is set aside with its line."""
+    broken = F.when(F.expr(_BROKEN), F.lit("30th of June")).otherwise(F.col("txn_date").cast("string"))
+    folder = _csv_folder(i.accounts_raw.withColumn("txn_date", broken), "broken_csv")
+    landed = stream_csv(i.spark, folder, fixed.ACCOUNTS_SCHEMA, malformed="line")
+    root = new_work_dir(i.spark, "broken")
+    finish(write_checked(landed, bank.account_rules(), path=f"{root}/table", checkpoint=f"{root}/checkpoint", malformed="line"))
+    columns = ["account_id", "txn_id", "txn_date"]
+    kept = read_checked(i.spark, f"{root}/table").select(*columns, F.lit(None).cast("string").alias("line"), F.lit("").alias("failed"))
+    cells = F.split("line", ",")
+    line = F.concat_ws(",", *[cells[k] for k in (0, 1, 2, 4)])
+    failing = quarantined(i.spark, f"{root}/table").filter("line IS NOT NULL")
+    return kept.unionByName(failing.select(*columns, line.alias("line"), F.concat_ws(",", "failed_rules").alias("failed")))
+
+
 @query(sql.sales(sql.business("as_of")))
 def stream_sales_chain(i: Inputs) -> DataFrame:
     def stream(df: DataFrame, label: str) -> DataFrame:
@@ -1006,6 +1088,50 @@ def stream_scd1_after_backfill(i: Inputs) -> DataFrame:
     return current_rows(i.spark, f"{root}/table", cdc)
 
 
+@query(sql.scd2("events", ["user_id"], ["ts", "event_id"], ["event_type"], _IN_PLACE, _IS_ERROR))
+def stream_replay_after_failure(i: Inputs) -> DataFrame:
+    """The third of four batches fails when all it writes is there but for its end; the next run repeats it."""
+    cdc = Cdc("user_id", _SEQUENCE, track=["event_type"], deletes=_IS_ERROR)
+    root = new_work_dir(i.spark, "replay")
+    stream = _event_stream_in_batches(i)
+
+    def failing(table: KeptTable, load: Load, commit: Callable = KeptTable.commit) -> None:
+        if load.number == 2:
+            raise OSError("lost before the end of the batch")
+        commit(table, load)
+
+    with mock.patch.object(KeptTable, "commit", failing), suppress(StreamingQueryException):
+        finish(stream_scd(stream, cdc, TYPE_2, f"{root}/table", f"{root}/checkpoint"))
+    finish(stream_scd(stream, cdc, TYPE_2, f"{root}/table", f"{root}/checkpoint"))
+    return history(i.spark, f"{root}/table", cdc)
+
+
+@query(
+    sql.with_tables(
+        {"v": sql.scd2("events", ["user_id"], ["ts", "event_id"], ["event_type"])},
+        "SELECT 'declared' AS moment, 0 AS n, 0 AS n_open, 'versions of users' AS note UNION ALL "
+        "SELECT 'filled', count(*), count(*) FILTER (is_current), 'versions of users' FROM v",
+    )
+)
+def declared_target(i: Inputs) -> DataFrame:
+    """A type 2 target is declared with columns and comment, read while it is empty, then filled and read again."""
+    cdc = Cdc("user_id", _SEQUENCE, columns=["event_type"])
+    target = new_work_dir(i.spark, "declared")
+    declare(i.spark, target, i.events.schema, cdc, TYPE_2, "versions of users")
+
+    def now(moment: str) -> DataFrame:
+        return history(i.spark, target, cdc).agg(
+            F.lit(moment).alias("moment"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("is_current").alias("n_open"),
+            F.lit(comment_of(i.spark, target)).alias("note"),
+        )
+
+    before = now("declared")
+    backfill(i.events, cdc, TYPE_2, target)
+    return before.unionByName(now("filled"))
+
+
 @query(
     sql.scd1(
         "(SELECT user_id, ts, event_id, event_type, CASE WHEN event_id % 2 = 1 THEN value END AS value FROM events) e",
@@ -1027,13 +1153,7 @@ def scd1_new_column(i: Inputs) -> DataFrame:
 # --- extensions -------------------------------------------------------------
 
 
-@query(
-    sql.bank(
-        "SELECT *, concat_ws(',', "
-        + ", ".join(f"CASE WHEN NOT coalesce({p}, false) THEN '{n}' END" for n, _, p in sql.ACCOUNT_RULES)
-        + f") AS failed FROM accounts_clean WHERE NOT coalesce({sql.passes(sql.ACCOUNT_RULES)}, false)"
-    )
-)
+@query(sql.bank(_QUARANTINE))
 def quarantine_rows(i: Inputs) -> DataFrame:
     failing = quarantine(bank.clean_accounts(i.accounts_raw), bank.account_rules())
     return failing.withColumn("failed", F.concat_ws(",", "failed_rules")).drop("failed_rules")
@@ -1049,6 +1169,33 @@ def dim_surrogate_keys(i: Inputs) -> DataFrame:
     return with_surrogate_key(sales.dim_customers(_customers_view(i)), ["customer_id"])
 
 
+_KEY_SQL = "sha256(concat(len(f.{k}::VARCHAR), ':', f.{k}, coalesce(len({d}.valid_from::VARCHAR) || ':' || {d}.valid_from, '~')))"
+
+
+@query(
+    sql.sales(
+        "SELECT f.sales_id, f.total_amount, "
+        + ", ".join(
+            f"{_KEY_SQL.format(k=k, d=d)} AS {k}_key, {d}.valid_from IS NULL AS {k}_inferred"
+            for k, d in (("customer_id", "c"), ("product_id", "p"))
+        )
+        + " FROM fact_sales f "
+        + " ".join(
+            f"LEFT JOIN {t} {d} ON f.{k} = {d}.{k} AND f.sale_timestamp >= {d}.valid_from "
+            f"AND ({d}.valid_to IS NULL OR f.sale_timestamp < {d}.valid_to)"
+            for k, d, t in (("customer_id", "c", "dim_customers"), ("product_id", "p", "dim_products"))
+        )
+    )
+)
+def fact_surrogate_keys(i: Inputs) -> DataFrame:
+    """Sales with the keys of the versions valid at their time; those before the first version keep an inferred member."""
+    fact, customers, products = _star(i)
+    for dim, key in ((customers, "customer_id"), (products, "product_id")):
+        slim = dim.select(key, "valid_from", "valid_to")
+        fact = with_dimension_key(fact, slim, key, "sale_timestamp", f"{key}_key", inferred=f"{key}_inferred")
+    return fact.select("sales_id", "total_amount", *[f"{k}_{x}" for k in ("customer_id", "product_id") for x in ("key", "inferred")])
+
+
 @query(
     "SELECT event_id, sha256(concat(len(user_id::VARCHAR), ':', user_id, len(moment::VARCHAR), ':', moment, "
     "len(event_type), ':', event_type)) AS surrogate_key "

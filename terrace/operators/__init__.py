@@ -3,7 +3,9 @@ from terrace.operators.cdc import Cdc, require_unique_sequence, scd1, scd2, sequ
 from terrace.operators.joins import (
     current_versions,
     effective_date_join,
+    inferred_members,
     inner_using,
+    with_dimension_key,
     with_surrogate_key,
 )
 from terrace.operators.quality import DROP, WARN, Rule, expect, quality_report, quarantine, rules
@@ -19,6 +21,7 @@ __all__ = [
     "current_versions",
     "effective_date_join",
     "expect",
+    "inferred_members",
     "inner_using",
     "joined_transaction_totals",
     "quality_report",
@@ -29,5 +32,6 @@ __all__ = [
     "scd2",
     "sequence_ties",
     "transaction_totals",
+    "with_dimension_key",
     "with_surrogate_key",
 ]

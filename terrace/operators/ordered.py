@@ -30,11 +30,12 @@ def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys above ``rows`` rows: a stored table, or None if there are none."""
+    """Keys above ``rows`` rows: a stored table, or None if there are none; and the most rows of any key."""
 
     keys: tuple[str, ...]
     table: DataFrame | None
     slices: int
+    most: int = 0
 
 
 @dataclass(frozen=True)
@@ -52,11 +53,12 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = Non
     the rows that reach the window, whatever the sizes of the sources they come from.
     """
     hot_rows = hot_rows or DEFAULT_HOT_ROWS
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-    total = counts.agg(F.sum("n").alias("n")).first()["n"]
-    if total is None:
-        return HotKeys(tuple(keys), None, 0)
-    return HotKeys(tuple(keys), materialize(counts, "hot-keys"), -(-total // hot_rows) + 1)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.col("n") > hot_rows
+    found = counts.agg(F.max("n").alias("most"), F.sum(F.when(hot, F.col("n"))).alias("total")).first()
+    if found.total is None:
+        return HotKeys(tuple(keys), None, 0, found.most or 0)
+    return HotKeys(tuple(keys), materialize(counts.filter(hot), "hot-keys"), -(-found.total // hot_rows) + 1, found.most)
 
 
 def settle(df: DataFrame, hot: HotKeys) -> DataFrame:

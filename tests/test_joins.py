@@ -4,9 +4,16 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.operators.joins import effective_date_join, inner_using, with_surrogate_key
+from terrace.operators.joins import (
+    effective_date_join,
+    inferred_members,
+    inner_using,
+    with_dimension_key,
+    with_surrogate_key,
+)
 from terrace.operators.totals import CENTS
 from terrace.plans import bank, sales
+from terrace.session import materialize
 from tests.helpers import plan, rows, same_rows
 
 
@@ -50,26 +57,83 @@ def brute(fact, dim):
     )
 
 
-@pytest.mark.parametrize(("method", "hot_rows"), [("sweep", None), ("sweep", 20), ("range", None), ("auto", None)])
-def test_effective_date_join_against_brute_force(spark, method, hot_rows):
+WAYS = [("sweep", None, 32), ("sweep", 20, 32), ("range", None, 32), ("auto", None, 32), ("auto", None, 3), ("descend", None, 2), ("descend", None, 5)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize(("method", "hot_rows", "max_versions"), WAYS)
+def test_effective_date_join_against_brute_force(spark, method, hot_rows, max_versions, how):
     fact, dim = random_star(1)
     joined = effective_date_join(
-        spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM), "k", "at", method=method, hot_rows=hot_rows
-    )
+        spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM), "k", "at",
+        method=method, how=how, hot_rows=hot_rows, max_versions=max_versions,
+    )
     assert joined.columns == ["id", "k", "at", "amount", "name"]
-    assert rows(joined) == brute(fact, dim)
+    found = brute(fact, dim)
+    if how == "left":
+        alone = {f[0] for f in fact} - {f[0] for f in found}
+        found += [(*f, None) for f in fact if f[0] in alone]
+    order = lambda t: str(t)
+    assert sorted(map(tuple, joined.collect()), key=order) == sorted(found, key=order)
 
 
-def test_auto_sweeps_where_a_key_has_many_versions(spark):
+def test_auto_descends_where_a_key_has_many_versions(spark):
+    """One join per level, all of them equal in the key, and the facts are read once."""
     fact, dim = random_star(2)
     frames = spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM)
-    assert "Window" not in plan(effective_date_join(*frames, "k", "at"))
-    swept = effective_date_join(*frames, "k", "at", max_versions=3)
-    assert "Window" in plan(swept) and "Join" not in plan(swept)
-    assert rows(swept) == brute(fact, dim)
-
-
-@pytest.mark.parametrize("method", ["sweep", "range", "auto"])
+    assert plan(effective_date_join(*frames, "k", "at")).count("Join") == 1
+    descended = effective_date_join(*frames, "k", "at", max_versions=3)
+    assert plan(descended).count("Join") == 3 and "Window" not in plan(descended) and "NestedLoop" not in plan(descended)
+    assert plan(descended).count("Scan ExistingRDD") == 1
+    assert rows(descended) == brute(fact, dim)
+    with pytest.raises(ValueError, match="two versions"):
+        effective_date_join(*frames, "k", "at", method="descend", max_versions=1)
+    with pytest.raises(ValueError, match="how must be"):
+        effective_date_join(*frames, "k", "at", how="full")
+
+
+def test_a_hot_key_with_many_versions_splits(spark):
+    """Half of the facts are of one key that has all the versions: Spark splits each join of the way down."""
+    dim = spark.range(4000).selectExpr("0 k", "concat('v', id) name", "cast(id * 10 as int) valid_from", "cast(id * 10 + 10 as int) valid_to")
+    fact = spark.range(60000).selectExpr("cast(id as int) id", "cast(case when id % 2 = 0 then 0 else id end as int) k", "cast(id % 40000 as int) at", "1.0 amount")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        stored = materialize(fact, "facts")
+        joined = effective_date_join(stored, dim.filter("true"), "k", "at", max_versions=64)
+        joined.collect()
+        assert plan(joined).count("skew=true") >= 1
+        assert joined.count() == 30000 and joined.filter("name != concat('v', cast(floor(at / 10) as int))").isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_facts_get_the_key_valid_at_their_time_or_an_inferred_member(spark):
+    dim = spark.createDataFrame([(1, "a", 10, 20), (1, "b", 20, 30), (2, "c", 5, None)], DIM)
+    fact = spark.createDataFrame([(1, 1, 5, 1.0), (2, 1, 10, 1.0), (3, 1, 25, 1.0), (4, 1, 30, 1.0), (5, 9, 1, 1.0), (6, None, 1, 1.0), (7, 2, None, 1.0)], FACT)
+    keyed = with_dimension_key(fact, dim, "k", "at")
+    members = with_surrogate_key(dim, ["k"])
+    found = {r.id: (r.surrogate_key, r.is_inferred) for r in keyed.collect()}
+    key_of = {r.name: r.surrogate_key for r in members.collect()}
+    assert found[2] == (key_of["a"], False) and found[3] == (key_of["b"], False)
+    assert found[1] == found[4] and found[1][1] and found[5][1] and found[7][1] and found[6] == (None, False)
+    assert len({found[i][0] for i in (1, 5, 7)}) == 3 and not {found[i][0] for i in (1, 5, 7)} & set(key_of.values())
+    added = inferred_members(keyed, members, "k")
+    assert added.columns == members.columns
+    assert rows(added, "k", "name") == [(1, None), (2, None), (9, None)]
+    whole = members.unionByName(added)
+    assert keyed.join(whole, "surrogate_key").count() == 6
+
+
+@pytest.mark.parametrize("method", ["sweep", "range", "descend"])
 @pytest.mark.parametrize("hot_rows", [None, 2])
 @pytest.mark.parametrize("extra", [(1, "open", 0, None), (1, "late", 25, 31), (1, "twin", 40, 45)])
 def test_overlapping_versions_are_an_error(spark, method, hot_rows, extra):
@@ -85,7 +149,7 @@ def test_timestamp_fact_with_date_versions(spark):
         [(1, "old", dt.date(2024, 1, 1), dt.date(2024, 1, 3)), (1, "new", dt.date(2024, 1, 3), None)],
         "k int, name string, valid_from date, valid_to date",
     )
-    for method in ("sweep", "range"):
+    for method in ("sweep", "range", "descend"):
         assert rows(effective_date_join(fact, dim, "k", "at", method=method), "name") == [("old",)]
 
 
