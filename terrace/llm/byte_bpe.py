@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from terrace.llm.common import worker
+
 RANKS = "byte_bpe_50k.tiktoken"
 #: Characters of a block: a text is cut at the first safe place after so many.
 BLOCK = 1 << 16
@@ -95,10 +97,13 @@ class Coder:
 
 @lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> Coder:
-    """One coder per process, file and pattern."""
+    """One coder per process, file and pattern, until the process works on something else."""
     return Coder(path, pattern)
 
 
+worker.memories.append(coder.cache_clear)
+
+
 def ranks(name: str = RANKS) -> str:
     return public_tokenizers.path(name)
 
@@ -131,6 +136,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        worker.begin("byte_bpe")
         ids_of = coder(where, pattern).ids
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -155,6 +161,7 @@ def decode(
     schema = to_arrow_schema(fields)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        worker.begin("byte_bpe")
         decoded = coder(where, pattern).decoded
         for b in batches:
             kept = zip(*(c.to_pylist() for c in b.columns[1:]), strict=True) if keep else iter(tuple, None)

@@ -9,6 +9,8 @@ grows with the input, so a fragment stays within a task's memory.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +46,13 @@ def n_words(name: str = "text") -> Column:
 
 
 class Hashes(dict):
-    """64-bit hashes of words, remembered up to a number of words."""
+    """64-bit hashes of words, remembered up to a number of words, about 10 MB.
 
-    LIMIT = 1 << 19
+    A Python worker lives on from stage to stage, so what it remembers adds up: all
+    operators share the one below.
+    """
+
+    LIMIT = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -58,6 +64,36 @@ class Hashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+known_words = Hashes()
+
+
+class Forgetful:
+    """What a Python worker remembers belongs to the operator at work in it.
+
+    A worker lives on from stage to stage, so without this a pipeline's workers would hold
+    what all operators before remembered. ``begin`` is called where a task's work starts: if
+    another operator was the last one, its memories go and the memory is given back.
+    """
+
+    def __init__(self) -> None:
+        self.owner, self.memories = "", [known_words.clear]
+
+    def begin(self, owner: str) -> None:
+        if owner == self.owner:
+            return
+        self.owner = owner
+        for forget in self.memories:
+            forget()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+worker = Forgetful()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
     h = (h ^ (h >> np.uint64(32))) * MIX

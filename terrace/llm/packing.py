@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import stored
+from terrace.llm.common import stored, worker
 from terrace.llm.token_counts import vocabulary
 from terrace.llm.tokens import table
 
@@ -68,6 +68,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_i
     out = pa.schema([(c.split()[0], pa.int64()) for c in PIECE.split(", ")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("tokens")
         ids_of = table(where).ids
         for b in batches:
             rows = []

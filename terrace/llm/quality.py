@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import MIX, Hashes, chunks, shingles, utf8
+from terrace.llm.common import MIX, chunks, known_words, shingles, utf8, worker
 
 GRAM = 4
 BITS = 16
@@ -90,6 +90,7 @@ def count_grams(docs: DataFrame, trusted: set[int]) -> tuple[np.ndarray, np.ndar
     """n-gram counts over all documents and over the trusted ones, by bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("quality")
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for b in batches:
             texts, ids = utf8(b.column(1)), b.column(0).to_pylist()
@@ -139,6 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
     rest = known.keys() - trusted
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("quality")
         for b in batches:
             picked = b.filter(pa.array([i in rest for i in b.column(0).to_pylist()], pa.bool_()))
             if picked.num_rows:
@@ -155,9 +157,6 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
     return model
 
 
-_hashes = Hashes()
-
-
 def measures(text: bytes) -> tuple[int, int, int, int, int]:
     """The base measures, in the order of ``MEASURES``."""
     words = text.split()
@@ -173,7 +172,7 @@ def measures(text: bytes) -> tuple[int, int, int, int, int]:
             seen.add(line)
     repeat = 0
     if len(words) > WINDOW:
-        s = shingles(_hashes.of(words), WINDOW)
+        s = shingles(known_words.of(words), WINDOW)
         order = np.argsort(s)
         same = s[order][1:] == s[order][:-1]
         twice = np.zeros(len(s) + 1, np.int64)
@@ -195,6 +194,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     fields = ("doc_id", *MEASURES)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("quality")
         own = Model(*shared.value)
         for b in batches:
             texts = utf8(b.column(1))
@@ -221,6 +221,7 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("quality")
         own = Model(*shared.value)
         for b in batches:
             texts = utf8(b.column(at))

@@ -37,16 +37,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import (
-    Hashes,
     chunks,
     connected,
     fragment_of,
     fragments_for,
     from_planes,
+    known_words,
     planes,
     shingles,
     stored,
     utf8,
+    worker,
 )
 
 SHINGLE = 5
@@ -62,9 +63,6 @@ REMEMBERED = 100_000
 PACKED = "fragment int, docs binary, counts binary, data binary"
 SEGMENT = "doc_id long, fragment int, n long, tokens array<long>, freqs array<int>"
 
-_hashes = Hashes()
-
-
 def linked(overlap: Column, n: Column, m: Column) -> Column:
     return 7 * overlap >= 3 * (n + m)
 
@@ -75,7 +73,7 @@ def needed(n: Column) -> Column:
 
 
 def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
-    return np.unique(shingles(_hashes.of(text.lower().split()), size))
+    return np.unique(shingles(known_words.of(text.lower().split()), size))
 
 
 def pack_shingles(docs: DataFrame, fragments: int, size: int = SHINGLE) -> DataFrame:
@@ -100,6 +98,7 @@ def pack_shingles(docs: DataFrame, fragments: int, size: int = SHINGLE) -> DataF
             }
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("shingles")
         seen: set[bytes] = set()
         for b in batches:
             texts, ids = utf8(b.column(1)), b.column(0).to_pylist()
@@ -164,6 +163,7 @@ def segments(packed: DataFrame) -> DataFrame:
         )
 
     def shared(key: tuple, table: pa.Table) -> pa.Table:
+        worker.begin("shared shingles")
         fragment = key[0].as_py()
         rows = table.to_pydict()
         if fragment < 0:
@@ -252,6 +252,7 @@ def links_across(groups: DataFrame, label: DataFrame, parts: DataFrame) -> DataF
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
+        worker.begin("shared shingles")
         outside = table["outside"].to_numpy()
         sides = [table.filter(pa.array(outside)), table.filter(pa.array(~outside))]
         if not all(t.num_rows for t in sides):

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrace.llm.common import worker
 from terrace.llm.tokens import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -40,6 +41,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.begin("tokens")
         of = table(where).count
         for b in batches:
             n = pa.array([of(t) for t in b.column(2).to_pylist()], pa.int64())

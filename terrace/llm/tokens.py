@@ -22,8 +22,10 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words whose ids a process remembers, about 100 MB.
-REMEMBERED = 500_000
+from terrace.llm.common import worker
+
+#: Words whose ids, or their number, a process remembers, about 25 MB each.
+REMEMBERED = 1 << 17
 
 #: A character that is not ASCII, Latin, Greek, Cyrillic, general punctuation or currency,
 #: or one of those whose class or lower case differs between engines or depends on its
@@ -131,5 +133,8 @@ class TokenTable:
 
 @lru_cache(maxsize=4)
 def table(path: str) -> TokenTable:
-    """One table per process and file."""
+    """One table per process and file, until the process works on something else."""
     return TokenTable(path)
+
+
+worker.memories.append(table.cache_clear)
