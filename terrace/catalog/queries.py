@@ -62,8 +62,10 @@ from terrace.streaming import (
     quarantined,
     read_checked,
     rule_totals,
+    stream_checked,
     stream_scd,
     write_checked,
+    write_on_time,
     write_stream,
 )
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
@@ -973,6 +975,19 @@ def stream_bank_chain(i: Inputs) -> DataFrame:
     return layers.read("gold_cust_acc_trans_agg")
 
 
+@query(sql.bank(sql.totals("joined", sql.GOLD_KEYS)))
+def stream_bank_deliveries(i: Inputs) -> DataFrame:
+    """The chain over two deliveries: the second brings gold up to date for the customers it touches."""
+    root = new_work_dir(i.spark, "bank")
+    customers, accounts = f"{root}/customers", f"{root}/accounts"
+    for half in (0, 1):
+        for raw, folder, key in ((i.customers_raw, customers, "customer_id"), (i.accounts_raw, accounts, "account_id")):
+            writer = raw.filter(F.col(key) % 2 == half).write.mode("append")
+            writer.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+        layers = runs.run_bank(i.spark, customers, accounts, f"{root}/layers", as_of=AS_OF, money=CENTS)
+    return layers.read("gold_cust_acc_trans_agg")
+
+
 @query(sql.bank(sql.report("accounts_clean", sql.ACCOUNT_RULES)))
 def stream_quality_report(i: Inputs) -> DataFrame:
     """Rule counts of a stream over all its micro-batches."""
@@ -1209,8 +1224,7 @@ def surrogate_keys_of_microseconds(i: Inputs) -> DataFrame:
     )
 
 
-@query("SELECT event_id, user_id, event_type, value, props, ts FROM events")
-def stream_dedup_watermark(i: Inputs) -> DataFrame:
+def _events_again(i: Inputs) -> DataFrame:
     """Events come in order of time, a quarter of the span in each micro-batch, and again: at
     once, in the next batch if they are within the delay, and, if long past it, in the last."""
     second = F.expr("unix_timestamp(ts)")
@@ -1226,6 +1240,39 @@ def stream_dedup_watermark(i: Inputs) -> DataFrame:
         copies = F.when(own, 2).when(recent | late, 1).otherwise(0)
         batch = events.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
         batch.select(*i.events.columns).coalesce(1).write.mode("append").parquet(folder)
-    twice = stream_parquet(i.spark, folder, i.events.schema, max_files=1)
-    kept = _append_and_read(dedup_within_watermark(twice, ["event_id"], "ts", "1 hour"), "events_once")
-    return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return stream_parquet(i.spark, folder, i.events.schema, max_files=1)
+
+
+@query("SELECT event_id, user_id, event_type, value, props, ts FROM events")
+def stream_dedup_watermark(i: Inputs) -> DataFrame:
+    """Every event once, though some come again."""
+    once = dedup_within_watermark(_events_again(i), ["event_id"], "ts", "1 hour")
+    return _append_and_read(once, "events_once").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(
+    """
+WITH s AS (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS second FROM events),
+q AS (
+  SELECT *, least(((second - (SELECT min(second) FROM s)) * 4) // ((SELECT max(second) FROM s) - (SELECT min(second) FROM s) + 1), 3) AS quarter
+  FROM s),
+n AS (SELECT quarter, max(second) AS newest FROM q GROUP BY quarter)
+SELECT event_id, 2 + CASE WHEN quarter < 3 AND second > newest - 3000 THEN 1 ELSE 0 END AS on_time,
+  CASE WHEN quarter = 0 THEN 1 ELSE 0 END AS late, 1 AS kept
+FROM q JOIN n USING (quarter)
+"""
+)
+def stream_late_rows(i: Inputs) -> DataFrame:
+    """How often each event came on time and late, and was kept: late rows are set aside, not lost."""
+    root = new_work_dir(i.spark, "late")
+    path = f"{root}/table"
+    finish(write_on_time(_events_again(i), "ts", "1 hour", path=path, checkpoint=f"{root}/checkpoint"))
+    once = dedup_within_watermark(stream_checked(i.spark, path), ["event_id"], "ts", "1 hour")
+    counts = [
+        (read_checked(i.spark, path), "on_time"),
+        (quarantined(i.spark, path), "late"),
+        (_append_and_read(once, "events_once"), "kept"),
+    ]
+    names = [name for _, name in counts]
+    ones = [df.select("event_id", *[F.lit(int(n == name)).alias(n) for n in names]) for df, name in counts]
+    return reduce(DataFrame.unionAll, ones).groupBy("event_id").agg(*[F.sum(n).alias(n) for n in names])

@@ -22,7 +22,7 @@ def _when_type(name: str) -> Column:
     return F.when(F.col("txn_type") == name, F.col("txn_amount")).otherwise(F.lit(0.0))
 
 
-def _partial_totals(rows: DataFrame, keys: Sequence[str], money: str | None) -> DataFrame:
+def partial_totals(rows: DataFrame, keys: Sequence[str], money: str | None = None) -> DataFrame:
     """Totals per key, account and channel.
 
     This first step combines on the map side to a few rows per key, so the distinct
@@ -41,6 +41,21 @@ def _partial_totals(rows: DataFrame, keys: Sequence[str], money: str | None) ->
     )
 
 
+def merged_totals(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partial totals of several batches put together, with the same columns."""
+    combine = {"first_txn_date": F.min, "last_txn_date": F.max}
+    by = [*keys, *DETAIL]
+    measures = [c for c in partial.columns if c not in by]
+    return partial.groupBy(*by).agg(
+        *[combine.get(c, F.sum)(c).cast(partial.schema[c].dataType).alias(c) for c in measures]
+    )
+
+
+def totals_of(groups: DataFrame, partial: DataFrame, key: str, keys: Sequence[str]) -> DataFrame:
+    """Totals of customers (``keys`` and ``copies``, how often each was delivered) from partial totals per ``key``."""
+    return groups.join(_totals(partial, [key]), key, "inner").select(*keys, *_measures(F.col("copies")))
+
+
 def _totals(partial: DataFrame, keys: Sequence[str]) -> DataFrame:
     return partial.groupBy(*keys).agg(
         F.count_distinct("account_id").alias("accounts_count"),
@@ -71,7 +86,7 @@ def _measures(copies: Column) -> list[Column]:
 
 def transaction_totals(joined: DataFrame, keys: Sequence[str], money: str | None = None) -> DataFrame:
     """Aggregate an already joined customer x transaction table by ``keys``."""
-    totals = _totals(_partial_totals(joined, keys, money), keys)
+    totals = _totals(partial_totals(joined, keys, money), keys)
     return totals.select(*keys, *_measures(F.lit(1)))
 
 
@@ -84,11 +99,10 @@ def joined_transaction_totals(
     one row per key instead of one per transaction. A customer row delivered ``m`` times
     multiplies counts and sums by ``m``, as it does in the join.
     """
-    totals = _totals(_partial_totals(transactions.filter(F.col(key).isNotNull()), [key], money), [key])
-    totals = totals.withColumn(key, F.col(key).cast("bigint"))
+    known = transactions.filter(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("bigint"))
     groups = (
         customers.withColumn(key, F.col(key).cast("bigint"))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    return groups.join(totals, key, "inner").select(*keys, *_measures(F.col("copies")))
+    return totals_of(groups, partial_totals(known, [key], money), key, keys)

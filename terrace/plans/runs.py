@@ -1,8 +1,8 @@
 """Incremental runs of the bank and sales chains over folders of files.
 
 One call brings every dataset up to date: each hop is a streaming query that takes what
-its source has gained since the last run and stops. The gold tables are recomputed from
-the stored silver tables. Calls repeat safely, since all progress is in the checkpoints.
+its source has gained since the last run and stops. Gold totals are kept as well; the joined
+rows, which are an export of all there is, are recomputed from the stored silver tables. Calls repeat safely, since all progress is in the checkpoints.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from terrace.streaming.quality import (
     stream_checked,
     write_checked,
 )
+from terrace.streaming.kept import KeptTable
+from terrace.streaming.kept_totals import CUSTOMERS, RESULT, TOTALS, KeptTotals
 from terrace.streaming.sinks import finish, write_stream
 
 #: Column of the landing tables with the text of lines that did not parse.
@@ -54,6 +56,9 @@ class Layers:
     def read(self, dataset: str) -> DataFrame:
         if is_checked(self.spark, self.path(dataset)):
             return read_checked(self.spark, self.path(dataset))
+        kept = KeptTable(self.spark, self.path(dataset)).last()
+        if kept and RESULT in kept.schemas:
+            return KeptTable(self.spark, self.path(dataset)).read(kept, RESULT)
         reader = self.spark.read
         if dataset in self._schemas:
             reader = reader.schema(self._schemas[dataset])
@@ -65,6 +70,12 @@ class Layers:
         schema = self._schemas[dataset] if dataset in self._schemas else self.read(dataset).schema
         return stream_parquet(self.spark, self.path(dataset), schema)
 
+    def totals(self, dataset: str, money: str | None = None) -> KeptTotals:
+        """The kept totals at a dataset's path."""
+        kept = KeptTotals(self.spark, self.path(dataset), "customer_id", bank.GOLD_KEYS, money)
+        kept.declare(*(self.read(s).schema for s in ("silver_customers_transformed", "silver_accounts_transactions_transformed")))
+        return kept
+
     def append(self, **datasets: DataFrame) -> None:
         """Bring append-only datasets up to date; the queries run side by side."""
         self._schemas.update({name: df.schema for name, df in datasets.items()})
@@ -180,13 +191,15 @@ def run_bank(
         "silver_accounts_transactions_transformed_view",
         bank.silver_accounts_transactions_transformed_view(t.read("silver_accounts_transactions_transformed")),
     )
-    joined = t.materialize(
+    t.materialize(
         "gold_cust_acc_trns_mv",
         bank.gold_cust_acc_trns_mv(
             t.read("silver_customers_transformed"), t.read("silver_accounts_transactions_transformed")
         ),
     )
-    t.materialize("gold_cust_acc_trans_agg", bank.gold_cust_acc_trans_agg(joined, money))
+    gold = t.totals("gold_cust_acc_trans_agg", money)
+    for part, silver in ((CUSTOMERS, "silver_customers_transformed"), (TOTALS, "silver_accounts_transactions_transformed")):
+        finish(gold.stream(part, t.stream(silver), t.checkpoint(f"gold_cust_acc_trans_agg_{part}")))
     return t
 
 

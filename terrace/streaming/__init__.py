@@ -9,6 +9,7 @@ from terrace.streaming.change_tables import (
     stream_scd,
 )
 from terrace.streaming.dedup import dedup_within_watermark
+from terrace.streaming.kept_totals import KeptTotals
 from terrace.streaming.quality import (
     Declared,
     count_rules,
@@ -19,11 +20,13 @@ from terrace.streaming.quality import (
     rule_totals,
     stream_checked,
     write_checked,
+    write_on_time,
 )
 from terrace.streaming.sinks import finish, write_stream
 
 __all__ = [
     "Declared",
+    "KeptTotals",
     "backfill",
     "comment_of",
     "count_rules",
@@ -42,5 +45,6 @@ __all__ = [
     "stream_checked",
     "stream_scd",
     "write_checked",
+    "write_on_time",
     "write_stream",
 ]

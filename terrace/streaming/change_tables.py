@@ -25,8 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from terrace.operators.cdc import VALID_TO, Cdc, scd1_merge, scd1_rows, scd1_state, scd2
-from terrace.session import materialize, release_path
-from terrace.streaming.kept import BUCKET, BUCKET_BYTES, FIRST_BITS, MOST_ADDED, KeptTable, Load, merged
+from terrace.streaming.kept import BUCKET_BYTES, FIRST_BITS, KeptTable, Load, Replacement, merged
 
 TYPE_1 = 1
 TYPE_2 = 2
@@ -80,95 +79,43 @@ def _same_keys(a: DataFrame, b: DataFrame, keys: tuple[str, ...]) -> Column:
     return reduce(lambda x, y: x & y, [a[f"`{k}`"].eqNullSafe(b[f"`_k{i}`"]) for i, k in enumerate(keys)])
 
 
-class _Batch:
+class _Batch(Replacement):
     """One batch of changes on its way into a table."""
 
-    def __init__(self, table: KeptTable, cdc: Cdc, kind: int, last: Load | None, schemas: dict[str, StructType]):
-        self.table, self.cdc, self.kind, self.last, self.schemas = table, cdc, kind, last, schemas
-        self.number = last.number + 1 if last else 0
-        self.bits = last.bits if last else FIRST_BITS
-        while last and last.size > table.bucket_bytes << self.bits:
-            self.bits += 1
-        # What was stored is read with the columns it has from now on.
-        self.before = Load(last.number, self.bits, last.size, schemas, last.flows) if last else None
-        self.made: list[DataFrame] = []
-
-    def keep(self, df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
-        """``df`` written down for this batch and read again, with all columns of ``schema``."""
-        self.made.append(materialize(df, label, schema))
-        return self.made[-1]
-
-    def release(self) -> None:
-        for df in self.made:
-            release_path(df)
-
-    def bucket(self) -> Column:
-        return self.table.bucket(self.cdc.key_list, self.bits)
-
-    def stored(self, part: str) -> DataFrame:
-        """Rows of the touched buckets; of buckets that are being divided, the rows of all they held."""
-        return self.table.read(self.before, part, self.buckets) if self.before else _no_rows(self.table.spark, self.schemas[part])
-
-    def apply(self, rows: DataFrame) -> int:
-        """Write the batch; returns the bytes by which the table grew."""
-        part = STATE if self.kind == TYPE_1 else CHANGES
-        rows = rows.withColumn(BUCKET, self.bucket())
-        columns = StructType([*self.schemas[part].fields, rows.schema[BUCKET]])
-        new = self.keep(rows, "batch", columns)
-        self.touched = {r[0] for r in new.select(BUCKET).distinct().collect()}
-        self.buckets = [(self.bits, n) for n in self.touched]
-        found = self.table.folders(self.schemas, self.buckets) if self.before else []
-        held = self.table.valid(self.before, found) if self.before else []
-        # A bucket that is divided is replaced by all of its parts.
-        for f in held:
-            if f.bits < self.bits:
-                self.touched |= set(range(f.bucket, 1 << self.bits, 1 << f.bits))
-        self.buckets = [(self.bits, n) for n in self.touched]
-        # Added to what the bucket holds, unless that is in many pieces or in a larger bucket.
-        pieces: dict[tuple[str, int], int] = {}
-        for f in held:
-            if f.bits == self.bits:
-                pieces[f.part, f.bucket] = pieces.get((f.part, f.bucket), 0) + 1
-        divided = {n for n in self.touched if any(f.bits < self.bits and n % (1 << f.bits) == f.bucket for f in held)}
-        self.addable = {
-            p: {n for n in self.touched - divided if 0 < pieces.get((p, n), 0) < MOST_ADDED} for p in (CHANGES, CLOSED)
-        }
-        if self.touched:
-            (self._type_1 if self.kind == TYPE_1 else self._type_2)(new)
-        after = [f for f in self.table.folders(self.schemas, self.buckets) if f.load == self.number]
-        now = Load(self.number, self.bits, 0, self.schemas, {})
-        still = set(self.table.valid(now, [*held, *after]))
-        return self.table.size_of(after) - self.table.size_of(f for f in held if f not in still)
-
-    def _type_1(self, new: DataFrame) -> None:
-        state = scd1_merge(self.stored(STATE).unionByName(new.drop(BUCKET)), self.cdc)
-        self.table.write(self.number, self.bits, self.touched, {STATE: state.withColumn(BUCKET, self.bucket())})
-
-    def _type_2(self, new: DataFrame) -> None:
-        cdc, keys = self.cdc, self.cdc.key_list
-        new = new.drop(BUCKET)
+    def __init__(self, table: KeptTable, cdc: Cdc, last: Load | None, schemas: dict[str, StructType]):
+        super().__init__(table, cdc.key_list, last, schemas)
+        self.cdc = cdc
+
+    def type_1(self, changes: DataFrame) -> _Batch:
+        new = self.begin(scd1_state(changes, self.cdc), STATE)
+        self.write({STATE: scd1_merge(self.stored(STATE).unionByName(new), self.cdc)})
+        return self
+
+    def type_2(self, rows: DataFrame) -> _Batch:
+        new = self.begin(rows, CHANGES)
+        if not self.touched:
+            return self
         changes = self.stored(CHANGES)
-        adds = self.addable[CHANGES]
-        whole = self.touched - adds
-        bucket = self.bucket()
-        log = new if not whole or not self.before else new.unionByName(changes.filter(bucket.isin(*whole)))
-        self.table.write(self.number, self.bits, self.touched, {CHANGES: log.withColumn(BUCKET, bucket)}, {CHANGES: adds})
-
-        if not self.before:
-            since, kept = None, {p: _no_rows(self.table.spark, self.schemas[p]) for p in (OPEN, CLOSED)}
-            versions, late = scd2(new, cdc, OPENED_BY), set()
-        else:
+        adds = self.addable(CHANGES)
+        rewritten = changes.filter(self.bucket().isin(*(self.touched - adds))) if self.touched - adds else None
+        log = new.unionByName(rewritten) if self.before and rewritten is not None else new
+        self.write({CHANGES: log}, {CHANGES: adds})
+
+        if self.before:
             since = self.keep(self._since(new), "since")
             kept, late = self._unaffected(since)
-            versions = scd2(self._changes_since(changes.unionByName(new), since), cdc, OPENED_BY)
-        versions = self.keep(versions.withColumn(BUCKET, bucket), "versions")
-        opened, closed = (versions.filter(F.col(VALID_TO).isNull() if p == OPEN else F.col(VALID_TO).isNotNull()) for p in (OPEN, CLOSED))
-        opened = opened.unionByName(kept[OPEN].withColumn(BUCKET, bucket))
-        adds = self.addable[CLOSED] - late
-        whole = self.touched - adds
-        if whole and self.before:
-            closed = closed.unionByName(kept[CLOSED].withColumn(BUCKET, bucket).filter(F.col(BUCKET).isin(*whole)))
-        self.table.write(self.number, self.bits, self.touched, {OPEN: opened, CLOSED: closed}, {CLOSED: adds})
+            versions = scd2(self._changes_since(changes.unionByName(new), since), self.cdc, OPENED_BY)
+        else:
+            kept, late, versions = {}, set(), scd2(new, self.cdc, OPENED_BY)
+        versions = self.keep(versions, "versions")
+        opened, closed = versions.filter(F.col(VALID_TO).isNull()), versions.filter(F.col(VALID_TO).isNotNull())
+        adds = self.addable(CLOSED) - late
+        if self.before:
+            opened = opened.unionByName(kept[OPEN])
+            if self.touched - adds:
+                closed = closed.unionByName(kept[CLOSED].filter(self.bucket().isin(*(self.touched - adds))))
+        self.write({OPEN: opened, CLOSED: closed}, {CLOSED: adds})
+        return self
 
     def _position(self, rows: DataFrame) -> DataFrame:
         """Keys (as _k0, ...) and the sequence of each change, as ``OPENED_BY`` has it."""
@@ -214,22 +161,12 @@ class _Batch:
 
 def _add(table: KeptTable, flow: str, number: int, changes: DataFrame, cdc: Cdc, kind: int) -> None:
     """Apply a flow's batch, unless it has been applied."""
-    with table.lock():
-        last = table.last()
-        if last and last.flows.get(flow, -1) >= number:
-            return
-        table.sweep(last)
-        try:
-            schemas = _schemas(table.spark, changes.schema, cdc, kind, last)
-            batch = _Batch(table, cdc, kind, last, schemas)
-            grown = batch.apply(scd1_state(changes, cdc) if kind == TYPE_1 else changes)
-            flows = {**(last.flows if last else {}), flow: number}
-            size = (last.size if last else 0) + grown
-            table.commit(Load(batch.number, batch.bits, size, schemas, flows, last.comment if last else None))
-        except BaseException:
-            table.failed()
-            raise
-        batch.release()
+
+    def make(last: Load | None) -> _Batch:
+        batch = _Batch(table, cdc, last, _schemas(table.spark, changes.schema, cdc, kind, last))
+        return batch.type_1(changes) if kind == TYPE_1 else batch.type_2(changes)
+
+    table.apply_once(flow, number, make)
 
 
 def stream_scd(

@@ -20,14 +20,16 @@ from __future__ import annotations
 
 import json
 import threading
-from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from terrace.session import materialize, release_path
+
 PART = "_part"
 BUCKET = "_bucket"
 LOAD = "_load"
@@ -195,7 +197,7 @@ class KeptTable:
         return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(1 << bits))
 
     def write(
-        self, load: int, bits: int, touched: Iterable[int], rows: dict[str, DataFrame], adds: dict[str, set[int]] | None = None
+        self, load: int, bits: int, touched: set[int], rows: dict[str, DataFrame], adds: dict[str, set[int]] | None = None
     ) -> None:
         """Rows by part, with a column ``BUCKET`` that holds numbers of ``bits`` bits; parts with the same columns.
 
@@ -212,7 +214,7 @@ class KeptTable:
         # Buckets together as far as sizes allow: Spark gives a large one to several tasks.
         whole.hint("rebalance", PART, BUCKET).write.mode("append").partitionBy(PART, BUCKET, LOAD).parquet(self.root)
         for part in rows:
-            for n in set(touched) - adds.get(part, set()):
+            for n in touched - adds.get(part, set()):
                 # A bucket without rows has a folder too: it replaces what was there.
                 self._fs.mkdirs(self._path(Folder(part, bits, n, load, True).name))
 
@@ -237,3 +239,96 @@ class KeptTable:
                 if n.isdigit() and int(n) < last.number:
                     self.delete(f"loads/{n}")
             return len(found) - len(kept)
+
+    def apply_once(self, flow: str, number: int, make: Callable[[Load | None], Replacement | None]) -> None:
+        """Let ``make`` write a flow's batch as the next load, unless that batch has been applied."""
+        with self.lock():
+            last = self.last()
+            if last and last.flows.get(flow, -1) >= number:
+                return
+            self.sweep(last)
+            try:
+                done = make(last)
+                flows = {**(last.flows if last else {}), flow: number}
+                size = (last.size if last else 0) + done.grown()
+                self.commit(Load(done.number, done.bits, size, done.schemas, flows, last.comment if last else None))
+            except BaseException:
+                self.failed()
+                raise
+            done.release()
+
+
+class Replacement:
+    """A load in the making: the rows that come, the buckets they touch and what those hold."""
+
+    def __init__(self, table: KeptTable, keys: Sequence[str], last: Load | None, schemas: dict[str, StructType]):
+        self.table, self.keys, self.schemas = table, list(keys), schemas
+        self.number = last.number + 1 if last else 0
+        self.bits = last.bits if last else FIRST_BITS
+        while last and last.size > table.bucket_bytes << self.bits:
+            self.bits += 1
+        # What was stored is read with the columns it has from now on.
+        self.before = Load(last.number, self.bits, last.size, schemas, last.flows) if last else None
+        self.touched: set[int] = set()
+        self.held: list[Folder] = []
+        self.made: list[DataFrame] = []
+
+    def keep(self, df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
+        """``df`` written down for this load and read again, with all columns of ``schema``."""
+        self.made.append(materialize(df, label, schema))
+        return self.made[-1]
+
+    def release(self) -> None:
+        for df in self.made:
+            release_path(df)
+
+    def bucket(self) -> Column:
+        return self.table.bucket(self.keys, self.bits)
+
+    @property
+    def buckets(self) -> list[tuple[int, int]]:
+        return [(self.bits, n) for n in self.touched]
+
+    def begin(self, rows: DataFrame, part: str) -> DataFrame:
+        """The rows of the load, for the part they go to, written down; finds the buckets they touch."""
+        rows = rows.withColumn(BUCKET, self.bucket())
+        columns = StructType([*self.schemas[part].fields, rows.schema[BUCKET]])
+        new = self.keep(rows, "load", columns)
+        self.touched = {r[0] for r in new.select(BUCKET).distinct().collect()}
+        if self.before:
+            self.held = self.table.valid(self.before, self.table.folders(self.schemas, self.buckets))
+        # A bucket that is divided is replaced by all of its parts.
+        for f in self.held:
+            if f.bits < self.bits:
+                self.touched |= set(range(f.bucket, 1 << self.bits, 1 << f.bits))
+        return new.drop(BUCKET)
+
+    def stored(self, part: str) -> DataFrame:
+        """Rows of the touched buckets."""
+        if not self.before:
+            return self.table.spark.createDataFrame([], self.schemas[part])
+        return self.table.read(self.before, part, self.buckets)
+
+    def divides(self) -> bool:
+        """Whether this load divides buckets."""
+        return any(f.bits < self.bits for f in self.held)
+
+    def addable(self, part: str) -> set[int]:
+        """Touched buckets that rows can be added to: not divided by this load, and not in too many pieces."""
+        pieces = Counter(f.bucket for f in self.held if f.part == part and f.bits == self.bits)
+        divided = {(f.bits, f.bucket) for f in self.held if f.bits < self.bits}
+        whole = {n for n in self.touched if not any(n % (1 << bits) == bucket for bits, bucket in divided)}
+        return {n for n in whole if 0 < pieces[n] < MOST_ADDED}
+
+    def write(self, rows: dict[str, DataFrame], adds: dict[str, set[int]] | None = None) -> None:
+        """Rows by part, of parts with the same columns; see ``KeptTable.write``."""
+        if self.touched:
+            dealt = {part: df.withColumn(BUCKET, self.bucket()) for part, df in rows.items()}
+            self.table.write(self.number, self.bits, self.touched, dealt, adds)
+
+    def grown(self) -> int:
+        """Bytes by which the table grows."""
+        after = [f for f in self.table.folders(self.schemas, self.buckets) if f.load == self.number]
+        now = Load(self.number, self.bits, 0, self.schemas, {})
+        still = set(self.table.valid(now, [*self.held, *after]))
+        return self.table.size_of(after) - self.table.size_of(f for f in self.held if f not in still)

@@ -24,6 +24,9 @@ from terrace.sources import stream_parquet
 ABOUT = "about.json"
 WELL_FORMED = "well_formed"
 ROWS, FAILED, COUNTS = "rows", "failed", "counts"
+TIMES, ON_TIME = "times", "on_time"
+_NEWEST = "newest"
+TIMES_SCHEMA = f"{_NEWEST} long"
 REPORT = "rule string, action string, passed long, violations long"
 _OUTCOME = "_outcome"
 
@@ -124,29 +127,61 @@ def write_checked(
     rule_list = resolve(df, rule_list)
     columns = StructType([f for f in df.schema.fields if f.name != malformed])
     declare_checked(df.sparkSession, path, Declared(columns, rule_list, comment, malformed))
+    writer = df.writeStream.foreachBatch(lambda batch, number: _store(batch, number, rule_list, path))
+    writer = writer.option("checkpointLocation", checkpoint)
+    if name is not None:
+        writer = writer.queryName(name)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def _store(batch: DataFrame, number: int, rule_list: list[Rule], path: str, time: str | None = None) -> None:
+    """Rows, failing rows and counts of a batch, in one pass; with ``time`` also its newest value of that column."""
+    spark = batch.sparkSession
+    folders = _Folders(spark, path)
+    if folders.exists(folders.of(ROWS, number)):
+        return
+    new = f"{path}/new/{number}-{uuid.uuid4().hex}"
+    seen = Observation()
+    failed = failed_rules([r for r in rule_list if r.action == DROP])
+    outcome = F.when(F.size(FAILED_RULES) > 0, FAILED).otherwise(ROWS)
+    newest = [F.unix_micros(F.max(F.col(f"`{time}`").cast("timestamp"))).alias(_NEWEST)] if time else []
+    checked = batch.observe(seen, *counters(rule_list), *newest).withColumn(FAILED_RULES, failed)
+    checked.withColumn(_OUTCOME, outcome).write.partitionBy(_OUTCOME).parquet(new)
+    counts = seen.get
+    report = [(r.name, r.action, counts["rows"] - counts[r.name], counts[r.name]) for r in rule_list]
+    spark.createDataFrame(report, REPORT).coalesce(1).write.parquet(f"{new}/{COUNTS}")
+    if time:
+        spark.createDataFrame([(counts[_NEWEST],)], TIMES_SCHEMA).coalesce(1).write.parquet(f"{new}/{TIMES}")
+        folders.put(f"{new}/{TIMES}", folders.of(TIMES, number))
+    folders.put(f"{new}/{COUNTS}", folders.of(COUNTS, number))
+    folders.put(f"{new}/{_OUTCOME}={FAILED}", folders.of(FAILED, number))
+    folders.put(f"{new}/{_OUTCOME}={ROWS}", folders.of(ROWS, number))
+    folders.fs.delete(folders.hadoop(new), True)
+
+
+def write_on_time(
+    df: DataFrame, time: str, delay: str, *, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Start storing the stream ``df`` apart into rows on time and rows behind the watermark.
+
+    The watermark is the newest ``time`` of all earlier batches less ``delay``, as a streaming
+    operator with such a watermark has it, so what is on time here is not dropped there. Rows
+    behind it, or without a time, fail the rule ``on_time`` and are read with ``quarantined``.
+    """
+    spark = df.sparkSession
+    behind = f"`{time}` IS NOT NULL AND `{time}` >= (newest `{time}` of earlier batches) - INTERVAL {delay}"
+    declare_checked(spark, path, Declared(df.schema, [Rule(ON_TIME, behind)]))
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        folders = _Folders(spark, path)
-        if folders.exists(folders.of(ROWS, number)):
-            return
-        new = f"{path}/new/{number}-{uuid.uuid4().hex}"
-        seen = Observation()
-        failed = failed_rules([r for r in rule_list if r.action == DROP])
-        outcome = F.when(F.size(FAILED_RULES) > 0, FAILED).otherwise(ROWS)
-        checked = batch.observe(seen, *counters(rule_list)).withColumn(FAILED_RULES, failed)
-        checked.withColumn(_OUTCOME, outcome).write.partitionBy(_OUTCOME).parquet(new)
-        counts = seen.get
-        report = [(r.name, r.action, counts["rows"] - counts[r.name], counts[r.name]) for r in rule_list]
-        spark.createDataFrame(report, REPORT).coalesce(1).write.parquet(f"{new}/{COUNTS}")
-        folders.put(f"{new}/{COUNTS}", folders.of(COUNTS, number))
-        folders.put(f"{new}/{_OUTCOME}={FAILED}", folders.of(FAILED, number))
-        folders.put(f"{new}/{_OUTCOME}={ROWS}", folders.of(ROWS, number))
-        folders.fs.delete(folders.hadoop(new), True)
+        earlier = [f"{path}/{TIMES}/b{n:012d}" for n in range(number)]
+        newest = batch.sparkSession.read.schema(TIMES_SCHEMA).parquet(*earlier).agg(F.max(_NEWEST)).first()[0] if earlier else None
+        holds = f"`{time}` IS NOT NULL"
+        if newest is not None:
+            holds += f" AND cast(`{time}` AS TIMESTAMP) >= timestamp_micros({newest}) - INTERVAL {delay}"
+        _store(batch, number, [Rule(ON_TIME, holds)], path, time)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if name is not None:
-        writer = writer.queryName(name)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
 

@@ -1,8 +1,11 @@
 import collections
+import datetime as dt
 import os
 import random
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -10,12 +13,12 @@ from terrace import fixed_values as fixed
 from terrace.operators.append import append_flows
 from terrace.operators.cdc import Cdc, scd1, scd2
 from terrace.operators.quality import DROP, WARN, expect, quality_report, quarantine, rules
+from terrace.operators.totals import CENTS, joined_transaction_totals
 from terrace.plans import bank, runs
 from terrace.sources import read_csv, stream_csv, stream_parquet, with_audit_columns
 from terrace.streaming import (
     Declared,
     backfill,
-    change_tables,
     comment_of,
     current_rows,
     declare,
@@ -38,6 +41,7 @@ from terrace.streaming import (
 from terrace.streaming import quality as quality_streams
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
 from terrace.streaming.kept import KeptTable
+from terrace.streaming.kept_totals import CUSTOMERS, TOTALS, KeptTotals
 from tests.helpers import plan, rows, same_rows
 
 SCHEMA = "k int, seq int, a string, op string"
@@ -100,7 +104,7 @@ def test_stream_equals_batch_over_runs(spark, tmp_path, case, kind):
 
 @pytest.mark.parametrize("kind", [TYPE_1, TYPE_2])
 def test_removal_after_every_batch_and_buckets_in_many_pieces(spark, tmp_path, monkeypatch, kind):
-    monkeypatch.setattr(change_tables, "MOST_ADDED", 2)
+    monkeypatch.setattr(kept, "MOST_ADDED", 2)
     cdc = Cdc("k", "seq", columns=["a"], deletes="op = 'D'")
     data = changes(120)
     target = f"{tmp_path}/t"
@@ -449,7 +453,8 @@ def test_one_scan_per_source_in_the_bank_chain(spark, tmp_path, monkeypatch):
     start = DataStreamWriter.start
     monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: started.append(1) or start(self, *a, **k))
     t = runs.run_bank(spark, customers, accounts, f"{tmp_path}/root", as_of="2024-06-01")
-    assert len(started) == 8
+    # Landing, rules, silver, change tables and gold totals, of customers and of transactions.
+    assert len(started) == 10
     assert rows(t.read("bronze_customers_clean"), "customer_id") == [(1,)]
     assert "malformed_line" not in t.read("bronze_customers_clean").columns
     lines = rows(t.quarantine("bronze_customers_clean"), "malformed_line", F.col("failed_rules")[0])
@@ -459,3 +464,52 @@ def test_one_scan_per_source_in_the_bank_chain(spark, tmp_path, monkeypatch):
     assert rows(failed, F.concat_ws(",", "failed_rules")) == [("valid_txn_id",), ("well_formed,valid_txn_amount",)]
     totals = {r.rule: (r.passed, r.violations) for r in t.quality("bronze_accounts_clean").collect()}
     assert totals["well_formed"] == (2, 1) and totals["valid_txn_id"] == (2, 1) and totals["valid_balance"] == (3, 0)
+
+
+# --- kept totals ------------------------------------------------------------
+
+PEOPLE = "customer_id int, city string"
+MOVES = "customer_id long, account_id long, txn_type string, txn_amount double, txn_channel string, txn_date date"
+
+
+def moves(spark, r, n, customers):
+    data = [
+        (r.choice([0, 0, *range(customers), None]), r.randrange(5), r.choice(["CREDIT", "DEBIT", "UNKNOWN"]), r.choice([None, 1.25, 10.5]), r.choice(["ATM", "ONLINE", None]), dt.date(2024, 1, r.randrange(1, 29)))
+        for _ in range(n)
+    ]
+    return spark.createDataFrame(data, MOVES)
+
+
+def test_kept_totals_equal_those_of_the_whole(spark, tmp_path):
+    """Batches of both streams in any order, repeated deliveries, replays, buckets that are divided."""
+    r = random.Random(4)
+    kept_totals = KeptTotals(spark, f"{tmp_path}/t", "customer_id", ["customer_id", "city"], CENTS, bucket_bytes=500)
+    people = [spark.createDataFrame([(k, f"c{k % 3}") for k in range(n, 30, 3)] + [(0, "c0"), (None, "x")], PEOPLE) for n in range(3)]
+    batches = [moves(spark, r, 80, 40) for _ in range(3)]
+    kept_totals.declare(people[0].schema, batches[0].schema)
+    assert kept_totals.read().isEmpty()
+    for n in range(3):
+        for _ in range(2):
+            kept_totals.add(TOTALS, batches[n], "moves", n)
+            kept_totals.add(CUSTOMERS, people[n], "people", n)
+        whole = [reduce(DataFrame.unionAll, x[: n + 1]) for x in (people, batches)]
+        expected_totals = joined_transaction_totals(*whole, "customer_id", ["customer_id", "city"], CENTS)
+        assert same_rows(kept_totals.read(), expected_totals)
+    last = kept_totals.table.last()
+    assert last.flows == {"moves": 2, "people": 2} and last.bits > kept.FIRST_BITS
+    assert "Exchange" not in plan(kept_totals.read())
+
+
+def test_a_batch_of_totals_touches_its_customers_alone(spark, tmp_path):
+    r = random.Random(5)
+    kept_totals = KeptTotals(spark, f"{tmp_path}/t", "customer_id", ["customer_id", "city"], CENTS)
+    people = spark.createDataFrame([(k, "c") for k in range(200)], PEOPLE)
+    kept_totals.declare(people.schema, moves(spark, r, 1, 1).schema)
+    kept_totals.add(CUSTOMERS, people, "people", 0)
+    kept_totals.add(TOTALS, moves(spark, r, 900, 200), "moves", 0)
+    kept_totals.add(TOTALS, moves(spark, r, 5, 1).filter("customer_id = 0"), "moves", 1)
+    number = kept_totals.table.last().number
+    assert len(written(f"{tmp_path}/t", number)[1]) == 1
+    assert {f.part for f in kept_totals.table.folders() if f.load == number} == {"totals", "result"}
+    with pytest.raises(ValueError, match="declare"):
+        KeptTotals(spark, f"{tmp_path}/other", "customer_id", ["customer_id"]).add(CUSTOMERS, people, "people", 0)
