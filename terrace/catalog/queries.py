@@ -38,7 +38,7 @@ from terrace.operators import (
     with_dimension_key,
     with_surrogate_key,
 )
-from terrace.operators.datasets import save_table, save_view
+from terrace.operators.datasets import comment_of, save_table, save_view
 from terrace.plans import bank, runs, sales, users
 from terrace.session import new_work_dir
 from terrace.sources import (
@@ -52,7 +52,6 @@ from terrace.sources import (
 )
 from terrace.streaming import (
     backfill,
-    comment_of,
     count_rules,
     current_rows,
     declare,
@@ -68,6 +67,7 @@ from terrace.streaming import (
     write_on_time,
     write_stream,
 )
+from terrace.streaming import change_tables
 from terrace.streaming.change_tables import TYPE_1, TYPE_2
 from terrace.streaming.kept import KeptTable, Load
 
@@ -383,9 +383,14 @@ def view_passthrough(i: Inputs) -> DataFrame:
 
 @query(sql.bank("SELECT * FROM silver_transactions"))
 def materialize_copy(i: Inputs) -> DataFrame:
-    path = new_work_dir(i.spark, "silver_transactions_view")
-    _silver_transactions(i).write.mode("overwrite").parquet(path)
-    return i.spark.read.parquet(path).drop("acc_transformation_date")
+    """A stored table, recomputed from an older state of itself and then from its source."""
+    schema = f"terrace_{uuid.uuid4().hex}"
+    i.spark.sql(f"CREATE DATABASE {schema} LOCATION '{new_work_dir(i.spark, 'schema')}/tables'")
+    view = bank.silver_accounts_transactions_transformed_view(_silver_transactions(i))
+    name = f"{schema}.silver_accounts_transactions_transformed_view"
+    half = save_table(view.filter("txn_id % 2 = 0"), name)
+    save_table(half.unionByName(half), name)
+    return save_table(view, name, comment_of(bank.silver_accounts_transactions_transformed_view)).drop("acc_transformation_date")
 
 
 # --- bank: gold -------------------------------------------------------------
@@ -1139,7 +1144,7 @@ def declared_target(i: Inputs) -> DataFrame:
             F.lit(moment).alias("moment"),
             F.count(F.lit(1)).alias("n"),
             F.count_if("is_current").alias("n_open"),
-            F.lit(comment_of(i.spark, target)).alias("note"),
+            F.lit(change_tables.comment_of(i.spark, target)).alias("note"),
         )
 
     before = now("declared")

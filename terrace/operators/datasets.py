@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import inspect
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,29 @@ def set_comment(spark: SparkSession, table: str, comment: str) -> None:
 
 
 def save_table(df: DataFrame, table: str, comment: str | None = None) -> DataFrame:
-    """Recompute a stored table in full and return it."""
+    """Recompute a stored table in full and return it.
+
+    The rows are written beside the last ones and take their place when they are complete: a
+    run that fails leaves the table as it was, and a table may be recomputed from itself.
+    """
     spark = df.sparkSession
-    df.write.mode("overwrite").saveAsTable(table)
+    name = f"{table.rsplit('.', 1)[-1]}_{uuid.uuid4().hex}"
+    new = ".".join([*table.rsplit(".", 1)[:-1], name])
+    df.write.saveAsTable(new)
     if comment:
-        set_comment(spark, table, comment)
+        set_comment(spark, new, comment)
+    old = f"{new}_old"
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {old}")
     return spark.read.table(table)
 
 

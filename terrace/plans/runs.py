@@ -21,6 +21,7 @@ from terrace.operators.cdc import Cdc
 from terrace.operators.datasets import save_view
 from terrace.operators.quality import Rule
 from terrace.plans import bank, sales
+from terrace.session import swap_in
 from terrace.sources import stream_csv, stream_parquet
 from terrace.streaming.change_tables import TYPE_1, TYPE_2, current_rows, history, stream_scd
 from terrace.streaming.quality import (
@@ -120,16 +121,9 @@ class Layers:
         It is written beside the last one, which stays as it is if that fails, and then
         takes its place.
         """
-        path = self.path(dataset)
-        new, old = (f"{self.root}/replaced/{dataset}-{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+        new = f"{self.root}/replaced/{dataset}-{uuid.uuid4().hex}"
         df.write.parquet(new)
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.mkdirs(hadoop(path).getParent())
-        if fs.exists(hadoop(path)):
-            fs.rename(hadoop(path), hadoop(old))
-        fs.rename(hadoop(new), hadoop(path))
-        fs.delete(hadoop(old), True)
+        swap_in(self.spark, new, self.path(dataset))
         self._schemas[dataset] = df.schema
         return self.read(dataset)
 

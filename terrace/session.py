@@ -60,8 +60,10 @@ def work_root(spark: SparkSession) -> str:
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path below the work root."""
-    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path below the work root, which ``release`` deletes."""
+    path = f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -70,7 +72,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what ``materialize`` stored for this application, once its results are written."""
+    """Delete all that this application stored in its work folder, once its results are written."""
     for path in _stored.pop(spark.sparkContext.applicationId, []):
         _delete(spark, path)
 
@@ -86,6 +88,28 @@ def release_path(df: DataFrame) -> None:
             _delete(spark, known)
 
 
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``, which stays as it is if that fails."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = f"{new}-old"
+    fs.mkdirs(hadoop(path).getParent())
+    had = fs.exists(hadoop(path))
+    if had and not fs.rename(hadoop(path), hadoop(old)):
+        raise OSError(f"cannot move {path} away")
+    moved = False
+    try:
+        moved = fs.rename(hadoop(new), hadoop(path))
+    finally:
+        # Some file systems say that a move failed, others raise.
+        if had and not moved:
+            fs.rename(hadoop(old), hadoop(path))
+    if not moved:
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(hadoop(old), True)
+
+
 def materialize(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` to the work folder and read it back, with the columns of ``schema`` if given.
 
@@ -94,6 +118,5 @@ def materialize(df: DataFrame, label: str, schema: StructType | None = None) ->
     """
     spark = df.sparkSession
     path = new_work_dir(spark, label)
-    _stored.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)

@@ -34,7 +34,7 @@ PART = "_part"
 BUCKET = "_bucket"
 LOAD = "_load"
 #: Bits of the bucket number of a new table, and bytes of a bucket above which it gets one more.
-FIRST_BITS = 4
+FIRST_BITS = 2
 BUCKET_BYTES = 128 << 20
 #: Folders that are added to a bucket before it is replaced as a whole.
 MOST_ADDED = 50

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from terrace.operators.totals import merged_totals, partial_totals, totals_of
-from terrace.streaming.kept import BUCKET_BYTES, KeptTable, Load, Replacement, merged
+from terrace.streaming.kept import BUCKET_BYTES, FIRST_BITS, KeptTable, Load, Replacement, merged
 
 TOTALS, CUSTOMERS, RESULT = "totals", "customers", "result"
 
@@ -50,7 +50,7 @@ class KeptTotals:
         """Name the columns of both streams; the result is empty until they meet."""
         with self.table.lock():
             if self.table.last() is None:
-                self.table.commit(Load(0, 4, 0, self._schemas(customers, transactions), {}))
+                self.table.commit(Load(0, FIRST_BITS, 0, self._schemas(customers, transactions), {}))
 
     def add(self, part: str, rows: DataFrame, flow: str, number: int) -> None:
         """Apply a batch of one of the streams, unless it has been applied."""

@@ -35,6 +35,25 @@ def test_tables_are_replaced_and_commented(spark, schema, capsys):
     assert spark.catalog.currentDatabase() == before
 
 
+def test_a_recomputation_that_fails_leaves_the_table_as_it_was(spark, schema):
+    save_table(spark.range(3), f"{schema}.t")
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION|no good"):
+        save_table(spark.range(5).selectExpr("CASE WHEN id = 4 THEN raise_error('no good') ELSE id END id"), f"{schema}.t")
+    assert scan_table(spark, f"{schema}.t").count() == 3
+    doubled = scan_table(spark, f"{schema}.t")
+    assert save_table(doubled.unionByName(doubled), f"{schema}.t").count() == 6
+
+
+def test_a_folder_that_cannot_be_replaced_stays(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/t")
+    with pytest.raises(Exception):
+        session.swap_in(spark, f"{tmp_path}/missing", f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    spark.range(5).write.parquet(f"{tmp_path}/new")
+    session.swap_in(spark, f"{tmp_path}/new", f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
+
+
 def test_view_over_a_stream_and_stream_over_a_table(spark, schema, tmp_path):
     spark.range(4).write.parquet(f"{tmp_path}/in")
     view = save_view(stream_parquet(spark, f"{tmp_path}/in", "id long"), "a_view")
