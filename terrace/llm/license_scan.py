@@ -41,6 +41,8 @@ COVERAGE = 0.75
 PUNCTUATION = b".,;:!?\"'()[]{}<>*_"
 MARKS = PUNCTUATION + b"#/\\-=+|~`&%$@^"
 REMEMBERED = 500_000
+#: Words of a stretch of text whose matches are compared with each other.
+CELL = 128
 #: A match is looked for within so many times the template's words, in the text or on a side of a name.
 WIDE = 4
 #: Words of a template that is a text, not a notice.
@@ -418,15 +420,25 @@ class Scanner:
     def fullest(found: list[tuple[str, int, int, int, int]]) -> list[tuple[str, int, int, int, int]]:
         """Of matches with one wording the one with most words aligned: texts in one place, notices with one end."""
 
-        def same(m: tuple, o: tuple) -> bool:
-            if m[4] < LONG or o[4] < LONG:
-                return m[2] == o[2] and m[4] < LONG and o[4] < LONG
+        def covers(o: tuple, m: tuple) -> bool:
             return 2 * (min(m[2], o[2]) - max(m[1], o[1]) + 1) > m[2] - m[1] + 1
 
-        kept: list[tuple[str, int, int, int, int]] = []
+        kept: set[tuple[str, int, int, int, int]] = set()
+        ends: set[int] = set()
+        # What covers more than half of a text covers its middle: the texts kept so far by place.
+        cells: dict[int, list[tuple[str, int, int, int, int]]] = {}
         for m in sorted(found, key=lambda m: (-m[3], m[2] - m[1])):
-            if not any(same(m, o) for o in kept):
-                kept.append(m)
+            if m[4] < LONG:
+                if m[2] in ends:
+                    continue
+                ends.add(m[2])
+            else:
+                middle = m[1] + (m[2] - m[1]) // 2
+                if any(covers(o, m) for o in cells.get(middle // CELL, ())):
+                    continue
+                for cell in range(m[1] // CELL, m[2] // CELL + 1):
+                    cells.setdefault(cell, []).append(m)
+            kept.add(m)
         return [m for m in found if m in kept]
 
 

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -373,3 +374,37 @@ def test_an_empty_table_gives_no_rows(none, run):
 
 def test_quality_of_an_empty_table(none, labels):
     assert quality.rate_documents(none, labels).count() == 0
+
+
+def test_very_many_notices_in_one_text():
+    """Matches are compared with their neighbours alone."""
+    notice = "Licensed under the Apache License, Version 2.0 (the License). " + "own words here " * 3
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, license_scan.COVERAGE, license_scan.NAMES)
+    few = len(scanner.scan((notice * 20).encode()))
+    found = [(f"t{k % 3}", k * 7, k * 7 + 5, 6, 6 + k % 2 * 30) for k in range(50_000)]
+    began = time.time()
+    assert few > 0 and len(license_scan.Scanner.fullest(found)) == 50_000
+    assert time.time() - began < 10
+
+
+def test_fullest_against_all_pairs():
+    r = random.Random(3)
+
+    def plain(found):
+        def same(m, o):
+            if m[4] < license_scan.LONG or o[4] < license_scan.LONG:
+                return m[2] == o[2] and m[4] < license_scan.LONG and o[4] < license_scan.LONG
+            return 2 * (min(m[2], o[2]) - max(m[1], o[1]) + 1) > m[2] - m[1] + 1
+
+        kept = []
+        for m in sorted(found, key=lambda m: (-m[3], m[2] - m[1])):
+            if not any(same(m, o) for o in kept):
+                kept.append(m)
+        return [m for m in found if m in kept]
+
+    for _ in range(300):
+        found = []
+        for _ in range(r.randrange(60)):
+            start = r.randrange(600)
+            found.append((r.choice("ab"), start, start + r.randrange(1, 400), r.randrange(1, 9), r.choice([5, 19, 20, 90])))
+        assert license_scan.Scanner.fullest(found) == plain(found)
