@@ -56,7 +56,7 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    kept = line_dedup.drop_repeated_lines(read(spark, folder, "documents"))
+    kept = line_dedup.drop_repeated_lines(read(spark, folder, "documents"), words=line_dedup.WORDS)
     return kept.withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256)).drop("kept")
 
 
@@ -146,14 +146,17 @@ WITH l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
   FROM documents),
 k AS (
-  SELECT *, row_number() OVER w AS k, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3
+  SELECT *, row_number() OVER w AS k, lead(line, 1) OVER w AS line2, lead(line, 2) OVER w AS line3,
+    len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n
   FROM l WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
-s AS (
-  SELECT doc_id, k, row_number() OVER (PARTITION BY line, line2, line3 ORDER BY doc_id, k) > 1 AS again
-  FROM k WHERE line3 IS NOT NULL),
+p AS (
+  SELECT doc_id, k, 3 AS size, [line, line2, line3] AS part FROM k WHERE line3 IS NOT NULL
+  UNION ALL SELECT a.doc_id, a.k, 2, [a.line, b.line] FROM k a JOIN k b ON b.doc_id = a.doc_id AND b.k = a.k + 1 WHERE a.n + b.n >= 50
+  UNION ALL SELECT doc_id, k, 1, [line] FROM k WHERE n >= 50),
+s AS (SELECT doc_id, k, size, row_number() OVER (PARTITION BY part ORDER BY doc_id, k) > 1 AS again FROM p),
 m AS (
   SELECT k.doc_id, k.k, k.place, bool_or(coalesce(s.again, false)) AS gone
-  FROM k LEFT JOIN s ON s.doc_id = k.doc_id AND s.k BETWEEN k.k - 2 AND k.k GROUP BY ALL),
+  FROM k LEFT JOIN s ON s.doc_id = k.doc_id AND k.k BETWEEN s.k AND s.k + s.size - 1 GROUP BY ALL),
 runs AS (
   SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY k), false) AS begins FROM m),
 t AS (

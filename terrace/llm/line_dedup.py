@@ -10,8 +10,9 @@ run, whichever earlier places its parts come from.
 
 Lines are what newlines separate, compared byte for byte; lines without a word are no part
 of runs and stay. Strings are compared by the 64-bit hashes of each of their lines.
-Positions are counted and their firsts found before the shuffle where they can be, and
-Spark splits a fingerprint that a third of the documents hold.
+Positions are counted and their firsts found before the shuffle where they can be. What
+they are then joined with is a stored table, so that Spark splits a fingerprint or a string
+that a third of the documents hold.
 
 With ``words``, runs of fewer lines count as well if they have that many words together:
 each is a string of its own besides the fingerprints', as long lines are few for their text.
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from terrace.llm.common import WORD, stored, text_or_empty
 
 RUN = 3
+#: Words with which fewer lines are a run as well, where that is asked for.
+WORDS = 50
 
 
 def lines_of(text: Column) -> Column:
@@ -85,25 +88,27 @@ def long_strings(docs: DataFrame, run: int, words: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
-    """doc_id, gone: the lines (from 0) that are in a later repeat, per document that has any."""
+    """doc_id, gone, ranks: the lines in a later repeat, per document that has any.
+
+    ``gone`` counts all lines from 0, ``ranks`` those with a word.
+    """
     lined = (
         docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
         .select(F.col("doc_id").cast("long"), lines_of(F.col("text")).alias("lines"))
         .filter(F.size("lines") >= run)
     )
-    found = lined.select("doc_id", "lines", F.explode(fingerprints(F.col("lines"), run)).alias("k"))
-    first = F.greatest(F.col("k") - (run - 1), F.lit(0))
-    marks = stored(
-        found.select(
-            "doc_id",
-            F.col("lines")[F.col("k")]["hash"].alias("mark"),
-            first.alias("first"),
-            # All lines that strings of ``run`` lines through the fingerprint hold.
-            F.slice("lines", first + 1, F.col("k") - first + run).alias("around"),
-        ),
-        "marks",
-    )
-    several = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark")
+    # Only what belongs to a fingerprint goes along with it, never all lines of the text.
+    lines = F.col("lines")
+
+    def mark(k: Column) -> Column:
+        first = F.greatest(k - (run - 1), F.lit(0))
+        # All lines that strings of ``run`` lines through the fingerprint hold.
+        around = F.slice(lines, first + 1, k - first + run)
+        return F.struct(lines[k]["hash"].alias("mark"), first.alias("first"), around.alias("around"))
+
+    found = lined.select("doc_id", F.explode(F.transform(fingerprints(lines, run), mark)).alias("found"))
+    marks = stored(found.select("doc_id", "found.*"), "marks")
+    several = stored(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("mark"), "several")
     shared = marks.join(several, "mark")
     strings = F.transform(
         F.sequence(F.lit(1), F.size("around") - run + 1), lambda s: F.slice("around", s, run)
@@ -124,48 +129,32 @@ def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) ->
         .filter("n > 1")
         .select("hashes", "earliest")
     )
+    firsts = stored(firsts, "firsts")
     later = string.join(firsts, "hashes").filter(place > F.col("earliest"))
-    return later.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("gone"))
+    ranks = F.sequence("start", F.col("start") + F.size("ats") - 1)
+    together = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    return later.groupBy("doc_id").agg(together("ats").alias("gone"), together(ranks).alias("ranks"))
 
 
 def drop_repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_lines (with a word), n_removed, n_runs, kept (text)."""
     gone = stored(repeated_lines(docs, run, words), "gone").withColumnRenamed("doc_id", "gone_id")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    parts = F.split(text_or_empty(), "\n", -1)
+    n_lines = F.size(F.filter(parts, lambda line: line.rlike(WORD)))
+    # The lines go through the join as such: what looks them up by number then has them at hand.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), parts.alias("parts"), n_lines.cast("long").alias("n_lines"))
     # Sorted and merged at any size: what is moved then grows as the texts do.
     held = rows.join(gone.hint("merge"), F.col("doc_id") == F.col("gone_id"), "left")
     none = F.array().cast("array<int>")
-    ats = F.transform(lines_of(F.col("text")), lambda x: x["at"])
-    return (
-        held.withColumn("gone", F.coalesce("gone", none))
-        .withColumn("ats", ats)
-        .select(
-            "doc_id",
-            F.size("ats").cast("long").alias("n_lines"),
-            F.size("gone").cast("long").alias("n_removed"),
-            # A run begins where the worded line before stays.
-            F.size(
-                F.filter(
-                    F.transform("ats", lambda x, k: F.struct(x.alias("at"), k.alias("k"))),
-                    lambda x: F.array_contains("gone", x["at"])
-                    & ((x["k"] == 0) | ~F.array_contains("gone", F.element_at("ats", F.greatest(x["k"], F.lit(1))))),
-                )
-            )
-            .cast("long")
-            .alias("n_runs"),
-            F.when(F.size("gone") == 0, F.col("text"))
-            .otherwise(
-                F.array_join(
-                    F.transform(
-                        F.filter(
-                            F.transform(F.split("text", "\n", -1), lambda x, k: F.struct(x.alias("line"), k.alias("k"))),
-                            lambda x: ~F.array_contains("gone", x["k"]),
-                        ),
-                        lambda x: x["line"],
-                    ),
-                    "\n",
-                )
-            )
-            .alias("kept"),
-        )
+    held = held.withColumns({"gone": F.coalesce("gone", none), "ranks": F.coalesce("ranks", none)})
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
+    return held.select(
+        "doc_id",
+        "n_lines",
+        F.size("gone").cast("long").alias("n_removed"),
+        # A run begins where the worded line before stays: at ranks whose neighbour is none of them.
+        F.size(F.array_except(F.transform("ranks", lambda r: r - 1), F.col("ranks"))).cast("long").alias("n_runs"),
+        F.when(F.size("gone") == 0, F.array_join("parts", "\n"))
+        .otherwise(F.array_join(F.transform(stay, lambda k: F.col("parts")[k]), "\n"))
+        .alias("kept"),
     )

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -210,6 +211,22 @@ def test_long_lines_are_runs_too(spark):
     assert (kept[2], kept[4], kept[6]) == ("", lines[2], "b")
 
 
+def test_very_many_lines_in_one_text(spark):
+    """Two equal texts of 100,000 lines: the work per line does not grow with their number."""
+    text = "\n".join(f"line {k}" for k in range(100_000))
+    began = time.time()
+    got = line_dedup.drop_repeated_lines(make(spark, [(1, text, "s"), (2, "own\n" + text + "\nlast", "s")]), words=50)
+    rows = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.kept) for r in got.collect()}
+    assert rows == {1: (100_000, 0, 0, text), 2: (100_002, 100_000, 1, "own\nlast")}
+    assert time.time() - began < 60
+
+
+def test_a_hot_fingerprint_is_joined_with_a_stored_table(spark, awkward):
+    """Both sides of the joins are plain exchanges, which Spark splits where a key is hot."""
+    joined = line_dedup.repeated_lines(awkward, words=50)._jdf.queryExecution().executedPlan().toString()
+    assert joined.count("Scan parquet") >= 2 and joined.count("Aggregate") <= 2
+
+
 def test_lines_run_on_dataframe_functions_alone(awkward):
     plan = line_dedup.drop_repeated_lines(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
