@@ -112,3 +112,17 @@ SALES_PRODUCT_RULES = {
 SALES_RULES = {
     "rule_1": "sales_id IS NOT NULL",
 }
+
+# Customer columns that transaction totals are grouped by, and columns of users in use.
+GOLD_KEYS = (
+    "customer_id",
+    "name",
+    "gender",
+    "city",
+    "status",
+    "income_range",
+    "risk_segment",
+    "customer_age",
+    "tenure_days",
+)
+USER_COLUMNS = ("user_id", "email", "name", "user_type")

@@ -20,18 +20,6 @@ from terrace.operators.joins import inner_using
 from terrace.operators.quality import DROP, WARN, Rule, expect, rules
 from terrace.operators.totals import joined_transaction_totals, transaction_totals
 
-GOLD_KEYS = (
-    "customer_id",
-    "name",
-    "gender",
-    "city",
-    "status",
-    "income_range",
-    "risk_segment",
-    "customer_age",
-    "tenure_days",
-)
-
 
 def customer_rules(strict_email: bool = False) -> list[Rule]:
     drops = dict(fixed.CUSTOMER_DROP_RULES)
@@ -176,9 +164,9 @@ def gold_cust_acc_trns_mv(
 
 def gold_cust_acc_trans_agg(joined: DataFrame, money: str | None = None) -> DataFrame:
     """Transaction totals per customer over the joined table."""
-    return transaction_totals(joined, GOLD_KEYS, money)
+    return transaction_totals(joined, fixed.GOLD_KEYS, money)
 
 
 def gold_totals(customers: DataFrame, transactions: DataFrame, money: str | None = None) -> DataFrame:
     """``gold_cust_acc_trans_agg`` of the join, computed without storing the join."""
-    return joined_transaction_totals(customers, transactions, "customer_id", GOLD_KEYS, money)
+    return joined_transaction_totals(customers, transactions, "customer_id", fixed.GOLD_KEYS, money)

@@ -73,7 +73,7 @@ class Layers:
 
     def totals(self, dataset: str, money: str | None = None) -> KeptTotals:
         """The kept totals at a dataset's path."""
-        kept = KeptTotals(self.spark, self.path(dataset), "customer_id", bank.GOLD_KEYS, money)
+        kept = KeptTotals(self.spark, self.path(dataset), "customer_id", fixed.GOLD_KEYS, money)
         kept.declare(*(self.read(s).schema for s in ("silver_customers_transformed", "silver_accounts_transactions_transformed")))
         return kept
 
@@ -192,8 +192,13 @@ def run_bank(
         ),
     )
     gold = t.totals("gold_cust_acc_trans_agg", money)
-    for part, silver in ((CUSTOMERS, "silver_customers_transformed"), (TOTALS, "silver_accounts_transactions_transformed")):
-        finish(gold.stream(part, t.stream(silver), t.checkpoint(f"gold_cust_acc_trans_agg_{part}")))
+    flows = {CUSTOMERS: "silver_customers_transformed", TOTALS: "silver_accounts_transactions_transformed"}
+    finish(
+        *[
+            gold.stream(part, t.stream(silver), t.checkpoint(f"gold_cust_acc_trans_agg_{part}"))
+            for part, silver in flows.items()
+        ]
+    )
     return t
 
 

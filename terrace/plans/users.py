@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrace import fixed_values as fixed
 from terrace.functions import is_valid_email
 
 
 def sample_users(users: DataFrame) -> DataFrame:
     """The columns of users in use."""
-    return users.select("user_id", "email", "name", "user_type")
+    return users.select(*fixed.USER_COLUMNS)
 
 
 def users_by_type(users: DataFrame) -> DataFrame:

@@ -135,8 +135,11 @@ def write_checked(
     return writer.start()
 
 
-def _store(batch: DataFrame, number: int, rule_list: list[Rule], path: str, time: str | None = None) -> None:
-    """Rows, failing rows and counts of a batch, in one pass; with ``time`` also its newest value of that column."""
+def _store(
+    batch: DataFrame, number: int, rule_list: list[Rule], path: str, time: str | None = None, before: int | None = None
+) -> None:
+    """Rows, failing rows and counts of a batch, in one pass; with ``time`` also the newest value of that
+    column so far, which was ``before`` until now."""
     spark = batch.sparkSession
     folders = _Folders(spark, path)
     if folders.exists(folders.of(ROWS, number)):
@@ -145,7 +148,8 @@ def _store(batch: DataFrame, number: int, rule_list: list[Rule], path: str, time
     seen = Observation()
     failed = failed_rules([r for r in rule_list if r.action == DROP])
     outcome = F.when(F.size(FAILED_RULES) > 0, FAILED).otherwise(ROWS)
-    newest = [F.unix_micros(F.max(F.col(f"`{time}`").cast("timestamp"))).alias(_NEWEST)] if time else []
+    own = F.unix_micros(F.max(F.col(f"`{time}`").cast("timestamp")))
+    newest = [F.greatest(own, F.lit(before).cast("long")).alias(_NEWEST)] if time else []
     checked = batch.observe(seen, *counters(rule_list), *newest).withColumn(FAILED_RULES, failed)
     checked.withColumn(_OUTCOME, outcome).write.partitionBy(_OUTCOME).parquet(new)
     counts = seen.get
@@ -174,12 +178,12 @@ def write_on_time(
     declare_checked(spark, path, Declared(df.schema, [Rule(ON_TIME, behind)]))
 
     def write(batch: DataFrame, number: int) -> None:
-        earlier = [f"{path}/{TIMES}/b{n:012d}" for n in range(number)]
-        newest = batch.sparkSession.read.schema(TIMES_SCHEMA).parquet(*earlier).agg(F.max(_NEWEST)).first()[0] if earlier else None
+        before = f"{path}/{TIMES}/b{number - 1:012d}"
+        newest = batch.sparkSession.read.schema(TIMES_SCHEMA).parquet(before).first()[0] if number else None
         holds = f"`{time}` IS NOT NULL"
         if newest is not None:
             holds += f" AND cast(`{time}` AS TIMESTAMP) >= timestamp_micros({newest}) - INTERVAL {delay}"
-        _store(batch, number, [Rule(ON_TIME, holds)], path, time)
+        _store(batch, number, [Rule(ON_TIME, holds)], path, time, newest)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

@@ -12,6 +12,7 @@ from terrace.operators.joins import (
     with_surrogate_key,
 )
 from terrace.operators.totals import CENTS
+from terrace import fixed_values as fixed
 from terrace.plans import bank, sales
 from terrace.session import materialize
 from tests.helpers import plan, rows, same_rows
@@ -261,7 +262,7 @@ def bank_rows(spark):
 
 def plain_totals(joined):
     amount = F.col("txn_amount").cast(CENTS)
-    return joined.groupBy(*bank.GOLD_KEYS).agg(
+    return joined.groupBy(*fixed.GOLD_KEYS).agg(
         F.count_distinct("account_id").alias("accounts_count"),
         F.count("*").alias("txn_count"),
         F.sum(F.when(F.col("txn_type") == "CREDIT", amount).otherwise(0)).cast("double").alias("total_credits"),

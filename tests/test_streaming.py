@@ -36,6 +36,7 @@ from terrace.streaming import (
     stream_checked,
     stream_scd,
     write_checked,
+    write_on_time,
     write_stream,
 )
 from terrace.streaming import quality as quality_streams
@@ -466,6 +467,23 @@ def test_one_scan_per_source_in_the_bank_chain(spark, tmp_path, monkeypatch):
     assert totals["well_formed"] == (2, 1) and totals["valid_txn_id"] == (2, 1) and totals["valid_balance"] == (3, 0)
 
 
+def test_late_rows_are_set_aside_and_rows_on_time_all_arrive(spark, tmp_path):
+    """Rows behind the newest of earlier batches less the delay; a batch without times changes nothing."""
+    at = lambda minute: None if minute is None else dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+    batches = [[0, 100, 50], [40, 39, 200, None], [None], [139, 140, 90], [300]]
+    for n, minutes in enumerate(batches):
+        rows_ = [(10 * n + k, at(m)) for k, m in enumerate(minutes)]
+        spark.createDataFrame(rows_, "id int, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    stream = stream_parquet(spark, f"{tmp_path}/in/*", "id int, ts timestamp_ntz", max_files=1)
+    path = f"{tmp_path}/t"
+    finish(write_on_time(stream, "ts", "1 hour", path=path, checkpoint=f"{tmp_path}/c"))
+    assert rows(read_checked(spark, path), "id") == [(0,), (1,), (2,), (10,), (12,), (31,), (40,)]
+    assert rows(quarantined(spark, path), "id") == [(11,), (13,), (20,), (30,), (32,)]
+    once = dedup_within_watermark(stream_checked(spark, path), ["id"], "ts", "1 hour")
+    finish(write_stream(once, path=f"{tmp_path}/once", checkpoint=f"{tmp_path}/c2"))
+    assert spark.read.parquet(f"{tmp_path}/once").count() == 7
+
+
 # --- kept totals ------------------------------------------------------------
 
 PEOPLE = "customer_id int, city string"
