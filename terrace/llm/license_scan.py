@@ -21,7 +21,7 @@ template has before and after it is aligned. Marks without a letter or digit (th
 ``//`` of a comment) are no words.
 
 Defined cases: null and empty texts match nothing; ties between stretches go to the first;
-repeated rows give repeated rows; an empty table gives none; an empty template is an
+repeated rows give repeated rows; a null id stays null; an empty table gives none; an empty template is an
 error; other columns take no part.
 """
 

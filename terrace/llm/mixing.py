@@ -16,7 +16,8 @@ A source with a third of all documents is no single group: documents are range-s
 place in the range plus the counts of earlier ranges.
 
 Defined cases: null text has size 0; a source without words has target 0 and takes no
-words; repeated rows are documents of their own; an empty table gives no rows; other
+words; repeated rows are documents of their own; a null id stays null and comes before any
+other of its size; an empty table gives no rows; other
 columns, whatever their names, take no part. The offset of a source is a hash of its name
 and ``seed``, so reruns agree.
 """

@@ -10,7 +10,9 @@ enough that its few open sequences do not matter, and its size does not depend o
 Ids never leave the task that makes them: pieces carry their place, length and checksum.
 
 Defined cases: null and empty texts are documents of the end id alone; repeated rows are
-packed each on its own; an empty table gives none; other columns take no part.
+packed each on its own; a null id stays null, as a document of its own; a text of any length
+is encoded as a whole, in the task that reads it; an empty table gives none; other columns
+take no part.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,14 +95,16 @@ def pack(
     rest = cut.filter(F.col("length") < length)
     groups = max(1, round(rest.count() / group))
 
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "start", "ids_crc32"], ignore_index=True)
-        bins, offsets = first_fit_decreasing(rows["length"].to_numpy(), length)
-        return rows.drop(columns="part").assign(sequence_id=key[0] * STRIDE + bins, offset=offsets)
+    def fit(key: tuple, rows: pa.Table) -> pa.Table:
+        # Arrow keeps null ids apart from numbers; pandas would make floats of all ids of the group.
+        rows = rows.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        bins, offsets = first_fit_decreasing(rows.column("length").to_numpy(), length)
+        sequence = pa.array(key[0].as_py() * STRIDE + bins, pa.int64())
+        return rows.drop_columns("part").append_column("sequence_id", sequence).append_column("offset", pa.array(offsets))
 
     # The checksum takes part, so that many rows of one id are still dealt out.
     dealt = rest.withColumn("part", F.pmod(F.xxhash64("doc_id", "doc_tokens", "ids_crc32"), F.lit(groups)))
-    packed = dealt.groupBy("part").applyInPandas(fit, PACKED)
+    packed = dealt.groupBy("part").applyInArrow(fit, PACKED)
     # Whole pieces: ids below 0, distinct within and across the tasks of a written table.
     whole = cut.filter(F.col("length") == length).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")

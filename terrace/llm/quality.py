@@ -14,6 +14,7 @@ as many, so its size is fixed. Nothing here shuffles a text.
 
 Defined cases: null and empty texts have no words and fail the base rules; n-grams of
 texts under four bytes are none, the score is then 0; repeated rows are rows of their own;
+a null id stays null and has no label;
 labels without a document, or null, are ignored, and the lowest of contradicting labels
 counts; without good labels every score is 0 and, as without bad ones, only the base rules
 reject; an empty table gives no rows; other columns, whatever their names, pass through.

@@ -7,7 +7,8 @@ tokens; strings of special tokens inside a text count as the library treats them
 
 One pass over the table, no shuffle; a worker holds one batch of texts and the table.
 
-Defined cases: null and empty texts have no tokens; repeated rows give repeated rows; an
+Defined cases: null and empty texts have no tokens; repeated rows give repeated rows; a null
+id stays null; a text of any length is counted as a whole, in the task that reads it; an
 empty table gives none; other columns, whatever their names, take no part.
 """
 

@@ -24,8 +24,8 @@ from tokenizers import Tokenizer
 
 from terrace.llm.common import worker
 
-#: Words whose ids, or their number, a process remembers, about 25 MB each.
-REMEMBERED = 1 << 17
+#: Words whose ids, or their number, a process remembers, about 80 MB.
+REMEMBERED = 400_000
 
 #: A character that is not ASCII, Latin, Greek, Cyrillic, general punctuation or currency,
 #: or one of those whose class or lower case differs between engines or depends on its

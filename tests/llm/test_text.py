@@ -408,3 +408,15 @@ def test_fullest_against_all_pairs():
             start = r.randrange(600)
             found.append((r.choice("ab"), start, start + r.randrange(1, 400), r.randrange(1, 9), r.choice([5, 19, 20, 90])))
         assert license_scan.Scanner.fullest(found) == plain(found)
+
+
+def test_null_ids_stay_null_and_others_exact(spark):
+    """An id that no floating-point number holds is the same in every result, beside null ids."""
+    large = 2**60 + 1
+    rows = [(None, "Released under the MIT License.", "a"), (None, None, "a"), (large, "other words " * 30, "b"), (3, "x y z " * 20, None)]
+    docs = make(spark, rows)
+    labels = spark.createDataFrame([(large, 1, 0), (3, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    expected = sorted((i for i, _, _ in rows), key=str)
+    for of in (mixing.mix, token_counts.token_counts, packing.pack, lambda d: quality.rate_documents(d, labels)):
+        assert sorted((r.doc_id for r in of(docs).collect()), key=str) == expected
+    assert [r.doc_id for r in license_scan.license_scan(docs).collect()] == [None]
