@@ -94,6 +94,8 @@ def exact_dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     groups = rows.groupBy(DIGEST).agg(F.min("doc_id").alias("keep_id"), F.sum("repeats").alias("group_size"))
     new = index.add(groups.select(DIGEST, "keep_id", "group_size")).select(DIGEST, F.lit(True).alias("is_new"))
     facts = groups.select(DIGEST, "group_size").join(index.rows().hint("merge"), DIGEST).join(new, DIGEST, "left")
+    # Stored, so that both sides are plain exchanges and Spark splits a text with very many ids.
+    facts = stored(facts, "digest-facts")
     return (
         rows.join(facts, DIGEST)
         .withColumn("place", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))

@@ -376,7 +376,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
     by_text = stored(by_text, "text-digests")
     firsts = by_text.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    copies = by_text.join(firsts.filter("first < last"), "digest").filter("doc_id > first").select("doc_id").distinct()
+    # Stored, so that Spark splits a text that a third of the documents have.
+    firsts = stored(firsts.filter("first < last"), "text-firsts")
+    copies = by_text.join(firsts, "digest").filter("doc_id > first").select("doc_id").distinct()
     none = F.lit(None).cast("binary")
     places = (
         found.filter(F.octet_length("covered") > 0)
