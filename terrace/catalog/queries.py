@@ -38,7 +38,7 @@ from terrace.operators import (
     with_dimension_key,
     with_surrogate_key,
 )
-from terrace.operators.datasets import comment_of, save_table, save_view
+from terrace.operators.datasets import comment_of, named, save_table, save_view
 from terrace.plans import bank, runs, sales, users
 from terrace.session import new_work_dir
 from terrace.sources import (
@@ -393,6 +393,33 @@ def materialize_copy(i: Inputs) -> DataFrame:
     return save_table(view, name, comment_of(bank.silver_accounts_transactions_transformed_view)).drop("acc_transformation_date")
 
 
+@query(sql.bank("SELECT customer_id, true AS same_age, true AS same_tenure, true AS same_flag FROM customers_raw"))
+def dates_default_to_today(i: Inputs) -> DataFrame:
+    today = F.current_date()
+    return i.customers_raw.select(
+        "customer_id",
+        fn.age_years(F.col("dob")).eqNullSafe(fn.age_years(F.col("dob"), today)).alias("same_age"),
+        fn.tenure_days(F.col("join_date")).eqNullSafe(F.datediff(today, F.col("join_date"))).alias("same_tenure"),
+        fn.out_of_range(F.col("dob")).eqNullSafe(fn.out_of_range(F.col("dob"), today)).alias("same_flag"),
+    )
+
+
+@query(
+    sql.bank(
+        "SELECT 'customers' AS dataset, count(*) AS n, 1 AS load_times FROM silver_customers UNION ALL "
+        "SELECT 'transactions', count(*), 1 FROM silver_transactions"
+    )
+)
+def audit_timestamps(i: Inputs) -> DataFrame:
+    """All rows of a load carry its time, and the same one."""
+    both = (("customers", _silver_customers(i), "transformation_date"), ("transactions", _silver_transactions(i), "acc_transformation_date"))
+    sizes = [
+        df.agg(F.lit(name).alias("dataset"), F.count(time).alias("n"), F.count_distinct(time).alias("load_times"))
+        for name, df, time in both
+    ]
+    return reduce(DataFrame.unionAll, sizes)
+
+
 # --- bank: gold -------------------------------------------------------------
 
 
@@ -870,6 +897,21 @@ def users_by_type(i: Inputs) -> DataFrame:
     return users.users_by_type(users.sample_users(i.users_raw))
 
 
+@query(
+    sql.users(
+        "SELECT 'sample_users' AS dataset, count(*) AS n FROM users_raw UNION ALL "
+        "SELECT 'users_by_type', count(DISTINCT user_type) FROM users_raw"
+    )
+)
+def named_datasets(i: Inputs) -> DataFrame:
+    """Datasets under the names of the functions that define them, each over the one before."""
+    df, sizes = i.users_raw, []
+    for name, dataset in named(users.sample_users, users.users_by_type).items():
+        df = dataset(df)
+        sizes.append(df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionAll, sizes)
+
+
 # --- streaming --------------------------------------------------------------
 
 _QUARANTINE = (
@@ -1108,6 +1150,15 @@ def stream_scd1_after_backfill(i: Inputs) -> DataFrame:
     return current_rows(i.spark, f"{root}/table", cdc)
 
 
+@query("SELECT 'users_flow' AS flow, count(DISTINCT user_id) AS n FROM events")
+def stream_flow_name(i: Inputs) -> DataFrame:
+    """A flow with a name, which its query carries."""
+    cdc, root = Cdc("user_id", _SEQUENCE), new_work_dir(i.spark, "named-flow")
+    flow = stream_scd(_event_stream(i), cdc, TYPE_1, f"{root}/table", f"{root}/checkpoint", name="users_flow")
+    finish(flow)
+    return current_rows(i.spark, f"{root}/table", cdc).agg(F.lit(flow.name).alias("flow"), F.count(F.lit(1)).alias("n"))
+
+
 @query(sql.scd2("events", ["user_id"], ["ts", "event_id"], ["event_type"], _IN_PLACE, _IS_ERROR))
 def stream_replay_after_failure(i: Inputs) -> DataFrame:
     """The third of four batches fails when all it writes is there but for its end; the next run repeats it."""
