@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from functools import lru_cache
 
@@ -80,7 +81,7 @@ class TokenTable:
         self.specials = [t["content"] for t in rules["added_tokens"]]
         self.proved = self._prove(rules["model"]["vocab"], rules["model"]["end_of_word_suffix"])
         self.counts = _Memo(lambda word: len(self.word_ids(word)))
-        self.bytes = _Memo(lambda word: np.array(self.word_ids(word), "<u4").tobytes())
+        self.bytes = _Memo(lambda word: struct.pack(f"<{len(ids := self.word_ids(word))}I", *ids))
 
     def _prove(self, vocab: dict[str, int], suffix: str) -> dict[str, int]:
         """Strings that the library encodes, alone, as the one token that is that string."""
@@ -102,7 +103,8 @@ class TokenTable:
     def word_ids(self, word: str) -> list[int]:
         """Ids of a lower-case word: proved pre-tokens directly, the rest by merging."""
         ids: list[int] = []
-        for piece in PIECES(word):
+        # A word of letters alone is one piece.
+        for piece in (word,) if word.isalpha() else PIECES(word):
             known = self.proved.get(piece)
             if known is None:
                 letters = piece.encode().decode("latin-1").translate(self.letters)
