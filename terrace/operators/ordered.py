@@ -6,6 +6,10 @@ into *slices*: contiguous ranges of the key's order, produced by Spark's own ran
 partitioning. Windows then run per (key, slice), and what one slice needs from the
 others travels in a carry table with one row per slice. The result is the same as
 that of the plain window.
+
+Range partitioning draws a sample for the driver with every partition it makes, and each
+is a task with a result. Where ``hot_rows`` asks for more slices than the cluster shuffles
+into, the ranges stay that many and are divided further where their rows are.
 """
 
 from __future__ import annotations
@@ -30,12 +34,17 @@ def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys above ``rows`` rows: a stored table, or None if there are none; and the most rows of any key."""
+    """Keys above ``rows`` rows: a stored table, or None if there are none; and the most rows of any key.
+
+    Their rows make about ``slices`` slices, of at least ``ranges`` range partitions.
+    """
 
     keys: tuple[str, ...]
     table: DataFrame | None
     slices: int
     most: int = 0
+    rows: int = DEFAULT_HOT_ROWS
+    ranges: int = 0
 
 
 @dataclass(frozen=True)
@@ -58,7 +67,8 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = Non
     found = counts.agg(F.max("n").alias("most"), F.sum(F.when(hot, F.col("n"))).alias("total")).first()
     if found.total is None:
         return HotKeys(tuple(keys), None, 0, found.most or 0)
-    return HotKeys(tuple(keys), materialize(counts.filter(hot), "hot-keys"), -(-found.total // hot_rows) + 1, found.most)
+    slices, ranges = (int(-(-found.total // n) + 1) for n in (hot_rows, max(hot_rows, DEFAULT_HOT_ROWS)))
+    return HotKeys(tuple(keys), materialize(counts.filter(hot), "hot-keys"), slices, found.most, hot_rows, ranges)
 
 
 def settle(df: DataFrame, hot: HotKeys) -> DataFrame:
@@ -78,11 +88,16 @@ def split_hot_keys(df: DataFrame, order: Sequence[str], hot: HotKeys) -> Split:
     if hot.table is None:
         return Split(df, None)
     match = null_safe(df, hot.table, hot.keys)
+    ranges = min(hot.slices, max(hot.ranges, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     sliced = (
         df.join(hot.table, match, "left_semi")
-        .repartitionByRange(int(hot.slices), *[F.col(c) for c in [*hot.keys, *order]])
+        .repartitionByRange(ranges, *[F.col(c) for c in [*hot.keys, *order]])
         .withColumn(SLICE, F.spark_partition_id())
     )
+    if ranges < hot.slices:
+        # By rank, so that equal rows stay together here as well.
+        inner = F.floor((F.rank().over(per_key([*hot.keys, SLICE], order)) - 1) / F.lit(hot.rows))
+        sliced = sliced.withColumn(SLICE, F.shiftleft(F.col(SLICE).cast("long"), 32) + inner)
     # Stored, because the partition id is only meaningful for this one shuffle.
     return Split(df.join(hot.table, match, "left_anti"), materialize(sliced, "hot-slices"))
 

@@ -30,6 +30,25 @@ def test_slices_are_bounded_and_lose_nothing(skewed):
     assert {r.k for r in split.hot.select("k").distinct().collect()} == {0}
 
 
+def test_many_slices_need_no_more_tasks_than_the_cluster_shuffles_into(spark, skewed):
+    """A sample goes to the driver for every range partition, and a result for every task."""
+    split = cut(skewed, 10)
+    assert len(split.hot.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = {r["k"]: r for r in split.hot.groupBy("k", SLICE).count().groupBy("k").agg(F.max("count").alias("most"), F.count("*").alias("n")).collect()}
+    assert max(r.most for r in sizes.values()) <= 10 and all(r.n > 1 for r in sizes.values()) and sizes[0].n >= 1000
+    assert sizes.keys() == {r.k for r in skewed.groupBy("k").count().filter("count > 10").collect()}
+    edge = F.struct("at", "id")
+    spans = split.hot.filter("k = 0").groupBy(SLICE).agg(F.min(edge).alias("lo"), F.max(edge).alias("hi")).orderBy(SLICE).collect()
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
+
+
+def test_equal_rows_share_a_slice_also_where_ranges_are_divided(skewed):
+    rows = skewed.select("k", "at").filter("k = 0")
+    hot = find_hot_keys(rows, ["k"], 7)
+    slices = split_hot_keys(settle(rows, hot), ["at"], hot).hot.groupBy("at").agg(F.count_distinct(SLICE).alias("n"))
+    assert slices.agg(F.max("n")).first()[0] == 1
+
+
 def test_slices_are_contiguous_in_order(skewed):
     split = cut(skewed, 1000)
     edge = F.struct("at", "id")
