@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,6 +30,7 @@ _NEWEST = "newest"
 TIMES_SCHEMA = f"{_NEWEST} long"
 REPORT = "rule string, action string, passed long, violations long"
 _OUTCOME = "_outcome"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 class _Folders:
@@ -135,6 +137,17 @@ def write_checked(
     return writer.start()
 
 
+@contextmanager
+def _unsorted(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Writes by partition keep up to ``folders`` files open in a task, instead of sorting all its rows."""
+    had = spark.conf.get(WRITERS)
+    spark.conf.set(WRITERS, max(folders, int(had)))
+    try:
+        yield
+    finally:
+        spark.conf.set(WRITERS, had)
+
+
 def _store(
     batch: DataFrame, number: int, rule_list: list[Rule], path: str, time: str | None = None, before: int | None = None
 ) -> None:
@@ -151,7 +164,8 @@ def _store(
     own = F.unix_micros(F.max(F.col(f"`{time}`").cast("timestamp")))
     newest = [F.greatest(own, F.lit(before).cast("long")).alias(_NEWEST)] if time else []
     checked = batch.observe(seen, *counters(rule_list), *newest).withColumn(FAILED_RULES, failed)
-    checked.withColumn(_OUTCOME, outcome).write.partitionBy(_OUTCOME).parquet(new)
+    with _unsorted(spark, 2):
+        checked.withColumn(_OUTCOME, outcome).write.partitionBy(_OUTCOME).parquet(new)
     counts = seen.get
     report = [(r.name, r.action, counts["rows"] - counts[r.name], counts[r.name]) for r in rule_list]
     spark.createDataFrame(report, REPORT).coalesce(1).write.parquet(f"{new}/{COUNTS}")

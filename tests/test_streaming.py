@@ -485,6 +485,20 @@ def test_late_rows_are_set_aside_and_rows_on_time_all_arrive(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/once").count() == 7
 
 
+def test_storing_a_batch_sorts_no_rows(spark, tmp_path):
+    """A task writes rows on time and late ones side by side, so its memory does not grow with its rows."""
+    times = spark.range(1000).select("id", F.timestamp_seconds(F.when(F.col("id") % 7 != 0, F.col("id") * 60)).alias("ts"))
+    times.coalesce(1).write.parquet(f"{tmp_path}/in")
+    path = f"{tmp_path}/t"
+    finish(write_on_time(stream_parquet(spark, f"{tmp_path}/in", times.schema), "ts", "1 hour", path=path, checkpoint=f"{tmp_path}/c"))
+    assert read_checked(spark, path).count() == 857 and quarantined(spark, path).count() == 143
+    ran = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [ran.apply(k).physicalPlanDescription() for k in range(ran.size())]
+    written = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p and f"{path}/new/" in p and "_outcome" in p]
+    assert len(written) == 1 and "Sort" not in written[0]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 # --- kept totals ------------------------------------------------------------
 
 PEOPLE = "customer_id int, city string"
