@@ -2,7 +2,9 @@
 
 The vocabulary file splits a text into pre-tokens and merges each on its own, so the ids
 of a text are the ids of its pre-tokens in a row. No pre-token holds white space, so the
-same is true of the words between white space, which is the unit remembered here.
+same is true of the words between white space, which is the unit remembered here. A word of
+several pre-tokens is put together from theirs, remembered in the same way: most words with
+a comma or a bracket are then no news.
 
 ``TokenTable`` reads the rules from the file and proves, once per process and by the
 library itself, which vocabulary strings encode alone as exactly one token. A pre-token
@@ -54,19 +56,29 @@ def byte_letters() -> str:
 
 
 class _Memo(dict):
-    """Values of words, computed when first asked for; forgotten together when too many."""
+    """Values of words, put together from those of their pieces when first asked for; forgotten together when too many."""
 
-    def __init__(self, compute):
+    def __init__(self, of_piece, join):
         super().__init__()
-        self.compute = compute
+        self.of_piece, self.join = of_piece, join
 
     def __missing__(self, word: str):
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = self.compute(word)
+        # A word of letters alone is one piece.
+        if word.isalpha() or len(pieces := PIECES(word)) == 1:
+            value = self.of_piece(word)
+        else:
+            value = self.join(map(self.__getitem__, pieces))
+        self[word] = value
         return value
 
 
+@lru_cache
+def _packer(n: int):
+    return struct.Struct(f"<{n}I").pack
+
+
 class TokenTable:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -80,8 +92,8 @@ class TokenTable:
         self.letters = byte_letters()
         self.specials = [t["content"] for t in rules["added_tokens"]]
         self.proved = self._prove(rules["model"]["vocab"], rules["model"]["end_of_word_suffix"])
-        self.counts = _Memo(lambda word: len(self.word_ids(word)))
-        self.bytes = _Memo(lambda word: struct.pack(f"<{len(ids := self.word_ids(word))}I", *ids))
+        self.counts = _Memo(lambda piece: len(self.piece_ids(piece)), sum)
+        self.bytes = _Memo(lambda piece: _packer(len(ids := self.piece_ids(piece)))(*ids), b"".join)
 
     def _prove(self, vocab: dict[str, int], suffix: str) -> dict[str, int]:
         """Strings that the library encodes, alone, as the one token that is that string."""
@@ -100,18 +112,12 @@ class TokenTable:
     def library_ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def word_ids(self, word: str) -> list[int]:
-        """Ids of a lower-case word: proved pre-tokens directly, the rest by merging."""
-        ids: list[int] = []
-        # A word of letters alone is one piece.
-        for piece in (word,) if word.isalpha() else PIECES(word):
-            known = self.proved.get(piece)
-            if known is None:
-                letters = piece.encode().decode("latin-1").translate(self.letters)
-                ids += [t.id for t in self.merge(letters)]
-            else:
-                ids.append(known)
-        return ids
+    def piece_ids(self, piece: str) -> list[int]:
+        """Ids of a lower-case pre-token: proved ones directly, the rest by merging."""
+        known = self.proved.get(piece)
+        if known is not None:
+            return [known]
+        return [t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.letters))]
 
     def words(self, text: str) -> list[str] | None:
         """Lower-case words of a text; None where the text has to go to the library."""

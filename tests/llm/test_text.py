@@ -92,6 +92,26 @@ def test_proved_strings_encode_alone():
         assert TABLE.library_ids(piece) == [TABLE.proved[piece]]
 
 
+def test_a_piece_is_merged_once_whatever_words_it_is_in(monkeypatch):
+    text = "qzxvbk qzxvbk, (qzxvbk) qzxvbk-wjfgpq wjfgpq; wjfgpq-qzxvbk."
+    fresh = tokens.TokenTable(token_counts.vocabulary())
+    merged, merge = [], fresh.merge
+    monkeypatch.setattr(fresh, "merge", lambda letters: merged.append(letters) or merge(letters))
+    assert np.frombuffer(fresh.ids(text), "<u4").tolist() == fresh.library_ids(text)
+    assert merged and len(merged) == len(set(merged))
+    merged.clear()
+    assert fresh.count(text) == len(fresh.library_ids(text))
+    assert merged and len(merged) == len(set(merged))
+
+
+def test_ids_outlive_forgetting_in_the_middle_of_a_word(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 2)
+    fresh = tokens.TokenTable(token_counts.vocabulary())
+    for text in ("qzx-vbk.(wjf) a1b2 vbk-qzx", "x", "qzx,vbk,qzx,wjf", "12:34:56 it's"):
+        assert np.frombuffer(fresh.ids(text), "<u4").tolist() == fresh.library_ids(text)
+        assert fresh.count(text) == len(fresh.library_ids(text))
+
+
 # --- packing ----------------------------------------------------------------
 
 
