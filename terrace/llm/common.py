@@ -72,12 +72,20 @@ class Forgetful:
 
     A worker lives on from stage to stage, so without this a pipeline's workers would hold
     what all operators before remembered. ``begin`` is called where a task's work starts: if
-    another operator was the last one, its memories go and the memory is given back.
+    another operator was the last one, its memories go and the memory is given back. At the
+    end of a task ``give_back`` returns what the task freed, or an idle worker would keep it
+    beside whatever the executor does next.
+
+    Functions that Spark sends to a worker name ``worker`` by reference, so a task meets the
+    one of its process and not a copy that forgets with every task.
     """
 
     def __init__(self) -> None:
         self.owner, self.memories = "", [known_words.clear]
 
+    def __reduce__(self) -> str:
+        return "worker"
+
     def begin(self, owner: str) -> None:
         if owner == self.owner:
             return
@@ -85,6 +93,10 @@ class Forgetful:
         for forget in self.memories:
             forget()
         gc.collect()
+        self.give_back()
+
+    def give_back(self) -> None:
+        """Return freed memory to the system; nothing is forgotten."""
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:
@@ -125,6 +137,13 @@ def chunks(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, for tasks that turn the rows of a batch into objects."""
+    for b in batches:
+        for start in range(0, b.num_rows, rows):
+            yield b.slice(start, rows)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     binary = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import stored, worker
+from terrace.llm.common import slices, stored, worker
 from terrace.llm.token_counts import vocabulary
 from terrace.llm.tokens import table
 
@@ -71,7 +71,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.begin("tokens")
         ids_of = table(where).ids
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = ids_of(text) + end
@@ -83,6 +83,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_i
             if rows:
                 columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
+        worker.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECE)
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import MIX, chunks, known_words, shingles, utf8, worker
+from terrace.llm.common import MIX, chunks, known_words, shingles, slices, utf8, worker
 
 GRAM = 4
 BITS = 16
@@ -41,6 +41,8 @@ UNIT = 1_000_000
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
+#: Bytes of text whose n-grams are hashed at a time: numpy holds about 50 bytes for each.
+GRAM_BYTES = 1 << 19
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -93,15 +95,16 @@ def count_grams(docs: DataFrame, trusted: set[int]) -> tuple[np.ndarray, np.ndar
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.begin("quality")
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for b in batches:
+        for b in slices(batches):
             texts, ids = utf8(b.column(1)), b.column(0).to_pylist()
-            for start, stop in chunks(texts):
+            for start, stop in chunks(texts, GRAM_BYTES):
                 raw += np.bincount(gram_buckets(texts[start:stop])[0].astype(np.int64), minlength=BUCKETS)
             of_good = [t for t, i in zip(texts, ids, strict=True) if i in trusted]
-            for start, stop in chunks(of_good):
+            for start, stop in chunks(of_good, GRAM_BYTES):
                 good += np.bincount(gram_buckets(of_good[start:stop])[0].astype(np.int64), minlength=BUCKETS)
         held = np.flatnonzero(raw)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(held, pa.int32()), "raw": raw[held], "good": good[held]})
+        worker.give_back()
 
     counted = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "bucket int, raw long, good long")
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -142,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.begin("quality")
-        for b in batches:
+        for b in slices(batches):
             picked = b.filter(pa.array([i in rest for i in b.column(0).to_pylist()], pa.bool_()))
             if picked.num_rows:
                 texts = utf8(picked.column(1))
@@ -150,6 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Model:
                 yield pa.RecordBatch.from_pydict(
                     {"doc_id": picked.column(0), "score": pa.array(model.scores(texts)), "passed": passed}
                 )
+        worker.give_back()
 
     held = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score long, passed boolean")
     # One row per id and so no more than ``most``, even where rows repeat.
@@ -197,9 +201,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.begin("quality")
         own = Model(*shared.value)
-        for b in batches:
+        for b in slices(batches):
             texts = utf8(b.column(1))
-            for start, stop in chunks(texts):
+            for start, stop in chunks(texts, GRAM_BYTES):
                 part = texts[start:stop]
                 rows = [measures(t) for t in part]
                 scores = own.scores(part)
@@ -211,6 +215,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     "score": pa.array(scores),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
+        worker.give_back()
 
     schema = ", ".join(f"{c} long" for c in fields) + ", base_failed boolean, kept boolean, score long"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rate, schema)
@@ -224,13 +229,14 @@ def keep(docs: DataFrame, model: Model) -> DataFrame:
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker.begin("quality")
         own = Model(*shared.value)
-        for b in batches:
+        for b in slices(batches):
             texts = utf8(b.column(at))
             kept: list[bool] = []
-            for start, stop in chunks(texts):
+            for start, stop in chunks(texts, GRAM_BYTES):
                 good = own.scores(texts[start:stop]) >= own.threshold
                 kept += [bool(g) and not base_failed(measures(t)) for g, t in zip(good, texts[start:stop], strict=True)]
             yield b.filter(pa.array(kept, pa.bool_()))
+        worker.give_back()
 
     return docs.mapInArrow(sieve, docs.schema)
 

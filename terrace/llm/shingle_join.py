@@ -132,6 +132,7 @@ def pack_shingles(docs: DataFrame, fragments: int, size: int = SHINGLE) -> DataF
                     rows += packed(known, sets)
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
+        worker.give_back()
 
     schema = pa.schema(
         [("fragment", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("data", pa.binary())]
@@ -164,6 +165,11 @@ def segments(packed: DataFrame) -> DataFrame:
 
     def shared(key: tuple, table: pa.Table) -> pa.Table:
         worker.begin("shared shingles")
+        made = held_twice(key, table)
+        worker.give_back()
+        return made
+
+    def held_twice(key: tuple, table: pa.Table) -> pa.Table:
         fragment = key[0].as_py()
         rows = table.to_pydict()
         if fragment < 0:

@@ -106,8 +106,8 @@ class TokenTable:
                 except UnicodeDecodeError:
                     continue
         words = [w for w in asked if w and not OTHER(w) and PIECES(w) == [w]]
-        encoded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: asked[w] for w, e in zip(words, encoded, strict=True) if e.ids == [asked[w]]}
+        # One by one: ``encode_batch`` starts threads, which keep memory of their own.
+        return {w: asked[w] for w in words if self.library_ids(w) == [asked[w]]}
 
     def library_ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -142,7 +142,9 @@ class TokenTable:
 @lru_cache(maxsize=4)
 def table(path: str) -> TokenTable:
     """One table per process and file, until the process works on something else."""
-    return TokenTable(path)
+    made = TokenTable(path)
+    worker.give_back()
+    return made
 
 
 worker.memories.append(table.cache_clear)
