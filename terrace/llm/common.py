@@ -36,6 +36,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
+def stored_alone(df: DataFrame, label: str) -> DataFrame:
+    """``stored``, and the shuffle files that this took are deleted as soon as it is done.
+
+    Otherwise they stay until the driver happens to collect its garbage, beside those of
+    the next steps.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -13,14 +13,18 @@ refinements are used at once. Only buckets with several documents need any of it
 3. What is left are the edges of repeats: anchors that an earlier document shares, in other
    surroundings. Their surroundings are compared byte for byte: buckets of 8 bytes are
    refined to 16 by the identifier 8 further on, these to 32, these to ``SPAN``; suffixes
-   alone in their bucket are dropped at each step. Edges of a q-gram that more than
-   ``HOT_EDGES`` have do not meet in one task: each of their strings is a key of its own,
-   and Spark takes the smallest id per key, combined before the shuffle.
+   alone in their bucket are dropped at each step. A q-gram that more than ``HOT_EDGES``
+   edges have is a group of its own, whose strings are keys, one offset from the q-gram
+   after the other. With more edges than a task has of all (``edges_per_task``) they do not
+   meet in one task: each of their strings is a row, and Spark takes the smallest id per
+   key, combined before the shuffle. That is 31 rows for an edge, so it is left to q-grams
+   that would hold up a task.
 
 Steps 1 and 2 work on packed arrays, a fragment of the hash space at a time (``common``);
 a task packs equal texts once, so copies hardly add to the exchange, and copies of a
 smaller id are resolved by their digest. Identifiers in steps 1 and 2 are hashes of 40 and
-56 bits used together, besides the fragment.
+56 bits used together, besides the fragment. What a step shuffled or stored is deleted once
+the steps that read it are stored, so disk is what the largest step needs.
 
 Defined cases: null text is empty; texts under ``SPAN`` bytes stay whole; repeated rows
 (same id) do not remove each other and give repeated rows; rows with a null id stay whole
@@ -38,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import fragment_of, fragments_for, from_planes, mixed, opened, planes, squeezed, stored, text_or_empty, utf8
+from terrace.llm.common import fragment_of, fragments_for, from_planes, mixed, opened, planes, squeezed, stored_alone, text_or_empty, utf8
+from terrace.session import release_path
 
 SPAN = 50
 GRAM = 20
@@ -51,8 +56,10 @@ SLICE = 1 << 20
 PAD = 64
 #: Groups of edges for each fragment: bytes take far more room there than packed anchors.
 EDGE_GROUPS = 16
-#: Edges with one q-gram that may meet in one task.
+#: Edges with one q-gram that may meet those of others in a group.
 HOT_EDGES = 2048
+#: Edges with one q-gram that may meet in one task at most, about 8 MB.
+TASK_EDGES = 1 << 16
 REMEMBERED = 100_000
 BASE = 0x9E3779B97F4A7C15 | 1
 PACKED = "fragment int, docs binary, counts binary, places binary, grams binary, around binary"
@@ -225,9 +232,9 @@ def bucket_starts(*keys: np.ndarray) -> np.ndarray:
 
 
 def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
-    """The bytes around each edge anchor, with the group that all equal anchors meet in."""
-    names = ("part", "gram", "doc_id", "place", "data")
-    schema = pa.schema(list(zip(names, [pa.int32(), *[pa.int64()] * 3, pa.binary()], strict=True)))
+    """The bytes around each edge anchor, its place in them, and the group that all equal anchors meet in."""
+    names = ("part", "gram", "doc_id", "place", "inner", "data")
+    schema = pa.schema(list(zip(names, [pa.int32(), *[pa.int64()] * 3, pa.int32(), pa.binary()], strict=True)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -236,7 +243,7 @@ def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
                 for at in np.unique(np.frombuffer(b"".join(lists), "<u4")).tolist():
                     low = max(0, at - (SPAN - GRAM))
                     gram = xxhash.xxh3_64_intdigest(text[at : at + GRAM])
-                    rows.append((gram % groups, gram - (1 << 63), doc, low, text[low : at + SPAN]))
+                    rows.append((gram % groups, gram - (1 << 63), doc, low, at - low, text[low : at + SPAN]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema
@@ -244,7 +251,7 @@ def surroundings(edges: DataFrame, docs: DataFrame, groups: int) -> DataFrame:
 
     held = edges.groupBy("doc_id").agg(F.collect_list("edges").alias("edges"))
     return squeezed(docs, SPAN).join(held, "doc_id").select("doc_id", "data", "edges").mapInArrow(
-        cut, "part int, gram long, doc_id long, place long, data binary"
+        cut, "part int, gram long, doc_id long, place long, inner int, data binary"
     )
 
 
@@ -299,13 +306,40 @@ def repeated_strings(doc: np.ndarray, texts: list[bytes]) -> np.ndarray:
     return np.stack([run[found], found - starts[run[found]]], axis=1)
 
 
+def repeated_keys(doc: np.ndarray, inner: np.ndarray, data: pa.Array) -> np.ndarray:
+    """``repeated_strings`` for runs that all hold a q-gram, at ``inner``, and that may be many.
+
+    Equal strings hold their anchor at equal places, so strings are compared with those that
+    start as far from the q-gram; each is a key of its own. Memory is a string for each run.
+    """
+    starts = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+    bytes_ = np.frombuffer(data.buffers()[2] or b"", np.uint8)
+    found = [np.zeros((0, 2), np.int64)]
+    for before in range(WINDOW):
+        start = starts[:-1] + inner - before
+        run = np.flatnonzero((before <= inner) & (start + SPAN <= starts[1:]))
+        if not len(run):
+            continue
+        strings = np.lib.stride_tricks.sliding_window_view(bytes_, SPAN)[start[run]]
+        keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SPAN), len(run), [None, pa.py_buffer(strings)]).dictionary_encode()
+        key, own = keys.indices.to_numpy(), doc[run]
+        low = np.full(len(keys.dictionary), np.iinfo(np.int64).max)
+        np.minimum.at(low, key, own)
+        run = run[low[key] < own]
+        found.append(np.stack([run, inner[run] - before], axis=1))
+    return np.concatenate(found)
+
+
 def refine_edges(around: DataFrame) -> DataFrame:
-    """Starts of repeated strings at the edges, per document."""
+    """Starts of repeated strings at the edges, per document; a part below 0 is one of a hot q-gram."""
     schema = pa.schema([("doc_id", pa.int64()), ("starts", pa.binary())])
 
     def refine(key: tuple, table: pa.Table) -> pa.Table:
         doc, place = table["doc_id"].to_numpy(), table["place"].to_numpy()
-        found = repeated_strings(doc, table["data"].to_pylist())
+        if key[0].as_py() < 0:
+            found = repeated_keys(doc, table["inner"].to_numpy().astype(np.int64), table["data"].combine_chunks())
+        else:
+            found = repeated_strings(doc, table["data"].to_pylist())
         if not len(found):
             return schema.empty_table()
         owner, start = doc[found[:, 0]], place[found[:, 0]] + found[:, 1]
@@ -344,15 +378,27 @@ def hot_starts(around: DataFrame) -> DataFrame:
     return starts.mapInArrow(pack, "doc_id long, starts binary")
 
 
+def edges_per_task(around: DataFrame) -> int:
+    """Edges that may meet in one task for a q-gram they share: no more than a task has of all edges."""
+    tasks = int(around.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(HOT_EDGES, min(TASK_EDGES, around.count() // tasks))
+
+
 def edge_starts(around: DataFrame) -> DataFrame:
     """Starts of repeated strings at all edges, per document in one row or more."""
-    around = stored(around, "edge-bytes")
-    counts = around.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    hot = stored(counts.filter(F.col("n") > HOT_EDGES).select("gram"), "hot-grams")
-    few = around.join(hot, "gram", "left_anti").drop("gram")
-    if hot.isEmpty():
-        return refine_edges(few)
-    return refine_edges(few).unionByName(hot_starts(around.join(hot, "gram")))
+    around = stored_alone(around, "edge-bytes")
+    counts = around.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_EDGES)
+    hot = stored_alone(counts.select("gram", (F.col("n") > edges_per_task(around)).alias("split")), "hot-grams")
+    own = F.when(F.col("split").isNull(), F.col("part")).otherwise((-1 - F.pmod("gram", F.lit((1 << 31) - 1))).cast("int"))
+    meet = around.join(hot, "gram", "left").filter("split IS NULL OR NOT split").withColumn("part", own).drop("gram", "split")
+    starts = refine_edges(meet)
+    split = hot.filter("split").select("gram")
+    if not split.isEmpty():
+        starts = starts.unionByName(hot_starts(around.join(split, "gram")))
+    starts = stored_alone(starts, "edge-starts")
+    release_path(around)
+    release_path(hot)
+    return starts
 
 
 def removed_runs(length: int, covered: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -368,16 +414,16 @@ def removed_runs(length: int, covered: np.ndarray, starts: np.ndarray) -> np.nda
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, covered, starts (lists of packed places), copy (a smaller id has the whole text)."""
     fragments = fragments_for(docs, FRAGMENT_BYTES)
-    found = stored(refine_anchors(pack_anchors(docs, fragments)), "anchors")
+    found = stored_alone(refine_anchors(pack_anchors(docs, fragments)), "anchors")
     edges = found.filter(F.octet_length("edges") > 0).select("doc_id", "edges")
-    starts = stored(edge_starts(surroundings(edges, docs, EDGE_GROUPS * fragments)), "edge-starts")
+    starts = edge_starts(surroundings(edges, docs, EDGE_GROUPS * fragments))
     by_text = docs.filter("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long"), F.sha2(text_or_empty().cast("binary"), 256).alias("digest")
     )
-    by_text = stored(by_text, "text-digests")
+    by_text = stored_alone(by_text, "text-digests")
     firsts = by_text.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # Stored, so that Spark splits a text that a third of the documents have.
-    firsts = stored(firsts.filter("first < last"), "text-firsts")
+    firsts = stored_alone(firsts.filter("first < last"), "text-firsts")
     copies = by_text.join(firsts, "digest").filter("doc_id > first").select("doc_id").distinct()
     none = F.lit(None).cast("binary")
     places = (
@@ -386,9 +432,13 @@ def repeats(docs: DataFrame) -> DataFrame:
         .unionByName(starts.select("doc_id", none.alias("covered"), "starts", F.lit(False).alias("copy")))
         .unionByName(copies.select("doc_id", none.alias("covered"), none.alias("starts"), F.lit(True).alias("copy")))
     )
-    return places.groupBy("doc_id").agg(
+    places = places.groupBy("doc_id").agg(
         F.collect_list("covered").alias("covered"), F.collect_list("starts").alias("starts"), F.max("copy").alias("copy")
     )
+    places = stored_alone(places, "repeats")
+    for step in (found, starts, by_text, firsts):
+        release_path(step)
+    return places
 
 
 def runs_of(text: bytes, covered: list[bytes], starts: list[bytes], copy: bool) -> np.ndarray:
@@ -424,10 +474,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], schema=schema)
 
-    found = stored(repeats(docs), "repeats")
     return (
         squeezed(docs)
-        .join(found, "doc_id", "left")
+        .join(repeats(docs), "doc_id", "left")
         .select("doc_id", "data", "covered", "starts", "copy")
         .mapInArrow(
             remove,

@@ -1,15 +1,20 @@
 """Exact copies, shingle links, repeated bytes and lines, against brute force and on awkward rows."""
 
 import hashlib
+import os
 import random
 import time
 import re
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from terrace import session
 from terrace.llm import common, exact_dedup, line_dedup, shingle_join, suffix_dedup
 from tests.llm import brute
 from tests.llm.conftest import awkward_rows, make
@@ -147,6 +152,41 @@ def test_a_hot_gram_splits_by_its_surroundings(spark, monkeypatch):
     assert sizes and sizes[0] <= 60  # the hot gram has 97 edges
 
 
+@pytest.mark.parametrize("together", [20, 1000])
+def test_strings_of_a_hot_gram_are_rows_only_where_a_task_cannot_hold_them(spark, monkeypatch, together):
+    r = random.Random(17)
+    phrase = "licensed under the terms that all of them hold"
+    sides = ["".join(r.choice("abc ") for _ in range(60)) for _ in range(6)]
+    own = lambda: "".join(r.choice("defg") for _ in range(r.choice([0, 10, 20, 60])))
+    rows = [(k * 37 % 127, r.choice(sides)[r.randrange(61) :] + phrase + r.choice(["", own(), *sides]) + own(), "s") for k in range(120)]
+    split, whole = [], suffix_dedup.hot_starts
+    monkeypatch.setattr(suffix_dedup, "HOT_EDGES", 20)
+    monkeypatch.setattr(suffix_dedup, "edges_per_task", lambda around: together)
+    monkeypatch.setattr(suffix_dedup, "hot_starts", lambda around: split.append(around) or whole(around))
+    got = suffix_dedup.remove_repeats(make(spark, rows))
+    assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.removed([(i, t) for i, t, _ in rows])
+    assert bool(split) == (together == 20)
+
+
+def test_what_steps_shuffled_and_stored_is_deleted(spark, monkeypatch):
+    """Disk holds what a step needs, not what all steps before left."""
+    r = random.Random(19)
+    part = "".join(r.choice("abcdefgh") for _ in range(20_000))
+    docs = make(spark, [(k, "".join(r.choice("abcdefgh") for _ in range(9_000)) + part[k * 300 :], "s") for k in range(40)]).repartition(4)
+    docs = docs.localCheckpoint()
+    files = lambda: list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+    shuffled = lambda: {f for f in files() if "/shuffle_" in f and f.endswith(".data")}
+    work = Path(urlparse(session.work_root(spark)).path)
+    made, new = [], session.new_work_dir
+    monkeypatch.setattr(session, "new_work_dir", lambda spark, label: made.append(new(spark, label)) or made[-1])
+    at_first = shuffled()
+    got = suffix_dedup.remove_repeats(docs)
+    assert sum(os.path.getsize(f) for f in shuffled() - at_first if os.path.exists(f)) < 10_000
+    left = [path for path in made if (work / path.rsplit("/", 1)[-1]).exists()]
+    assert len(made) == 7 and [path.rsplit("/", 1)[-1].split("-")[0] for path in left] == ["repeats"]
+    assert sum(r.n_removed for r in got.collect()) > 100_000
+
+
 def test_long_texts_are_cut_without_a_seam(monkeypatch):
     r = random.Random(2)
     text = bytes(r.randrange(97, 101) for _ in range(5000))
@@ -169,6 +209,21 @@ def test_refined_buckets_are_exact(texts):
     assert set(map(tuple, found.tolist())) == expected
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.text("ab", max_size=30), st.text("ab", max_size=30)), min_size=1, max_size=12))
+def test_strings_of_a_hot_gram_are_compared_where_they_hold_it(rows):
+    gram = b"c" * suffix_dedup.GRAM
+    inner = np.array([len(left) for _, left, _ in rows])
+    doc = np.array([d for d, _, _ in rows])
+    texts = [left.encode() + gram + right.encode() for _, left, right in rows]
+    found = suffix_dedup.repeated_keys(doc, inner, pa.array([b"x", *texts], pa.binary())[1:])
+    strings = [(k, p, t[p : p + 50]) for k, t in enumerate(texts) for p in range(len(t) - 49)]
+    first = {}
+    for k, p, s in strings:
+        first[s] = min(first.get(s, doc[k]), doc[k])
+    assert sorted(map(tuple, found.tolist())) == [(k, p) for k, p, s in strings if first[s] < doc[k]]
+
+
 # --- lines ------------------------------------------------------------------
 
 
